@@ -6,6 +6,8 @@ Each function takes a frame and the name of an integer column with distinct row
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -179,8 +181,11 @@ def category_sales(ids: DataFrame, id: str = "id") -> DataFrame:
     )
 
 
-def micro(ids: DataFrame, id: str = "id") -> DataFrame:
-    """Keys, categories, 32-bit values, times on a one-second grid over ten days, short texts."""
+def micro(ids: DataFrame, id: str = "id", extra: Sequence[str] = ()) -> DataFrame:
+    """Keys, categories, 32-bit values, times on a one-second grid over ten days, short texts.
+
+    ``extra`` columns of the input are kept.
+    """
     n = F.col(id).cast("bigint")
     return ids.select(
         below(n, 1, 200_000).cast("int").alias("id"),
@@ -188,6 +193,7 @@ def micro(ids: DataFrame, id: str = "id") -> DataFrame:
         normal(n, 3, 100.0, 15.0).cast("float").alias("val"),
         timestamp_from_seconds(below(n, 4, _DAY * 10) + _START_MICRO).alias("ts"),
         choice(n, 5, MICRO_TEXTS).alias("txt"),
+        *extra,
     )
 
 

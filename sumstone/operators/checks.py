@@ -16,10 +16,12 @@ class RowCountError(ValueError):
 def dataset_summary(df: DataFrame) -> DataFrame:
     """File name, rows, columns and size in MB for every file a frame was read from."""
     per_file = df.select(
-        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("_bytes")
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("_bytes"),
     )
     return (
-        per_file.groupBy("file", "_bytes")
+        per_file.groupBy("_path", "file", "_bytes")
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
             "file",
