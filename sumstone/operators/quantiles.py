@@ -13,6 +13,12 @@ from sumstone.operators.ordered import ROWS_PER_TASK, group_sizes, running_total
 BROADCAST_GROUPS = 100_000
 
 
+def _groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Number of groups and rows of the largest one."""
+    shape = group_sizes(df, keys).agg(F.count(F.lit(1)), F.max("_rows")).first()
+    return shape[0], shape[1] or 0
+
+
 def quantiles_by(
     df: DataFrame,
     keys: Sequence[str],
@@ -20,20 +26,22 @@ def quantiles_by(
     quantiles: dict[str, float],
     approximate: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    largest_group: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation per key, one output column per entry.
 
     Spark's ``percentile`` holds all distinct values of a group in one task.  It is used while the
     largest group is small; otherwise values are counted, ordered over ranges, and the values at
     the wanted positions are picked from the running counts.  ``approximate`` trades exactness for
-    one pass with a fixed-size sketch.
+    one pass with a fixed-size sketch.  ``largest_group`` saves the count where it is known.
     """
     names, probs = list(quantiles), list(quantiles.values())
     if approximate:
         cols = [F.percentile_approx(value, p, 10_000).alias(n) for n, p in quantiles.items()]
         return df.groupBy(*keys).agg(*cols)
-    largest = group_sizes(df, keys).agg(F.max("_rows")).first()[0] or 0
-    if largest <= rows_per_task:
+    if largest_group is None:
+        _, largest_group = _groups(df, keys)
+    if largest_group <= rows_per_task:
         found = df.groupBy(*keys).agg(
             F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
         )
@@ -93,13 +101,12 @@ def box_stats(
     Whiskers are the extreme values within 1.5 times the inter-quartile range of the box; values
     beyond them are outliers.
     """
-    boxes = quantiles_by(
-        df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, approximate, rows_per_task
-    )
+    n_groups, largest = _groups(df, keys)
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    boxes = quantiles_by(df, keys, value, quartiles, approximate, rows_per_task, largest)
     boxes = boxes.select(
         *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "q1", "median", "q3"
     )
-    n_groups = group_sizes(df, keys).count()
     if n_groups <= BROADCAST_GROUPS:
         boxes = F.broadcast(boxes)  # size just counted; beyond it the planner decides
     condition = F.lit(True)

@@ -8,10 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sumstone.functions.exact import scaled
 from sumstone.functions.scalar import epoch_micros
 
 _SECOND = 1_000_000
-_SECONDS_PER_DAY = 86_400
+_SLOT_BITS = 20  # a slot is 2^20 microseconds, about one second
+_BLOCK_BITS = 17  # a block is 2^17 slots, about 38 hours
 
 
 def rolling_mean(
@@ -21,106 +23,125 @@ def rolling_mean(
     width: dt.timedelta,
     out: str = "rolling_mean",
     scale: int = 6,
+    wide: bool = True,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Mean of ``value`` over ``(t - width, t]`` for every row, rows of equal time included.
 
-    A window ordered by time without a partition key would run in one task.  Here the sum over a
-    range is the difference of two running sums, and running sums are built in three levels:
-    within a second, over the seconds of a day, over days.  A group never exceeds two million
-    entries (one per microsecond, plus one per range start) on the first level, 86,400 on the
-    second and the days of the calendar on the third, however many rows share an instant, an hour
-    or the whole table: rows of one instant are added up before anything is shuffled.
+    The sum over a range is the difference of two running sums, so the cost per row does not grow
+    with the width.  Rows of one instant are added up before anything is shuffled.  A table of at
+    most ``rows_per_task`` rows (counted first) takes its running sums from one sorted pass; a
+    larger one from :func:`_running_sums_by_slot`, in which no task sees more than a few million
+    entries.
 
-    Values are added as decimals with ``scale`` digits, so the difference is exact.  A row without
-    time gets NULL, as does a range without values.
+    Values are added as decimals with ``scale`` digits, so the difference is exact; with
+    ``wide=False`` as scaled 64-bit integers, which is faster and stops the job should the sum of
+    the whole table exceed their range.  A row without time gets NULL, as does a range without
+    values.
     """
-    micros = int(width.total_seconds() * _SECOND)
+    micros = round(width.total_seconds() * _SECOND)
     keyed = df.withColumn("_t", epoch_micros(df, ts))
-    amount = F.col(value).cast(f"decimal(24,{scale})")
+    if wide:
+        amount, nothing = F.col(value).cast(f"decimal(18,{scale})"), f"decimal(28,{scale})"
+    else:
+        amount, nothing = scaled(F.col(value), scale), "bigint"
+    nothing = F.lit(0).cast(nothing)
     points = (
         keyed.filter(F.col("_t").isNotNull())
         .groupBy("_t")
         .agg(F.sum(amount).alias("_s"), F.count(value).alias("_c"))
-        .withColumn("_s", F.coalesce(F.col("_s"), F.lit(0)).cast(f"decimal(34,{scale})"))
     )
     # Each instant asks for the running sum at its own time and at the open end of its range.
     own = F.struct(
-        F.col("_t").alias("_at"), F.lit(1).alias("_sign"), F.col("_s"), F.col("_c")
+        F.col("_t").alias("_at"),
+        F.lit(False).alias("_start"),
+        F.coalesce(F.col("_s"), nothing).alias("_s"),
+        F.col("_c"),
     )
     start = F.struct(
         (F.col("_t") - F.lit(micros)).alias("_at"),
-        F.lit(-1).alias("_sign"),
-        F.lit(0).cast(f"decimal(34,{scale})").alias("_s"),
+        F.lit(True).alias("_start"),
+        nothing.alias("_s"),
         F.lit(0).cast("bigint").alias("_c"),
     )
-    entries = (
-        points.select(F.col("_t").alias("_for"), F.inline(F.array(own, start)))
-        .withColumn("_sec", F.floor(F.col("_at") / F.lit(_SECOND)))
-    )
+    entries = points.select(F.col("_t").alias("_for"), F.inline(F.array(own, start)))
+
+    if df.count() <= rows_per_task:
+        by_time = Window.orderBy("_at")
+        upto = entries.select(
+            "_for",
+            "_start",
+            F.sum("_s").over(by_time).alias("_s"),
+            F.sum("_c").over(by_time).alias("_c"),
+        )
+    else:
+        upto = _running_sums_by_slot(entries)
+
+    def difference(total: str) -> Column:
+        at_end = F.max(F.when(~F.col("_start"), F.col(total)))
+        return at_end - F.max(F.when(F.col("_start"), F.col(total)))
+
+    unit = F.lit(1.0 if wide else float(10**scale))
+    mean = F.try_divide(difference("_s").cast("double") / unit, difference("_c").cast("double"))
+    ranges = upto.groupBy("_for").agg(mean.alias(out))
+    return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
 
-    in_second = Window.partitionBy("_sec").orderBy("_at")
+
+def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
+    """Running sums over all entries in time order, without a task that sees them all.
+
+    Built in three levels: within a slot of about a second, over the slots of a block of about 38
+    hours, over blocks.  A group never exceeds 2^21 entries (one per microsecond, plus one per range
+    start) on the first level, 2^17 on the second and the blocks of the calendar on the third,
+    however the rows are spread over time.
+    """
+    entries = entries.withColumn("_slot", F.shiftright("_at", _SLOT_BITS))
+    in_slot = Window.partitionBy("_slot").orderBy("_at")
     upto = entries.select(
         "_for",
-        "_sign",
-        "_sec",
-        _total("_s", in_second).alias("_s"),
-        _total("_c", in_second).alias("_c"),
+        "_start",
+        "_slot",
+        F.sum("_s").over(in_slot).alias("_s"),
+        F.sum("_c").over(in_slot).alias("_c"),
     )
 
-    seconds = entries.groupBy("_sec").agg(_add("_s"), _add("_c"))
-    seconds = seconds.withColumn("_day", F.floor(F.col("_sec") / F.lit(_SECONDS_PER_DAY)))
-    days = seconds.groupBy("_day").agg(_add("_s"), _add("_c"))
-    # One row per calendar day: the only window without a partition key.
-    earlier_days = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select(
-        F.col("_day"),
-        _zero(F.sum("_s").over(earlier_days)).alias("_day_s"),
-        _zero(F.sum("_c").over(earlier_days)).alias("_day_c"),
+    slots = entries.groupBy("_slot").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    slots = slots.withColumn("_block", F.shiftright("_slot", _BLOCK_BITS))
+    blocks = slots.groupBy("_block").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    # One row per block of time: the only window without a partition key.
+    earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(
+        F.col("_block").alias("_b"),
+        F.sum("_s").over(earlier_blocks).alias("_blocks_s"),
+        F.sum("_c").over(earlier_blocks).alias("_blocks_c"),
+    )
+    earlier = (
+        Window.partitionBy("_block").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy("_day").orderBy("_sec").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        seconds.withColumns(
-            {
-                "_sec_s": _zero(F.sum("_s").over(earlier)),
-                "_sec_c": _zero(F.sum("_c").over(earlier)),
-            }
+        slots.select(
+            F.col("_slot").alias("_of"),
+            "_block",
+            F.sum("_s").over(earlier).alias("_slots_s"),
+            F.sum("_c").over(earlier).alias("_slots_c"),
         )
-        .join(days, "_day")
+        .join(blocks, F.col("_block") == F.col("_b"), "left")
         .select(
-            "_sec",
-            (F.col("_sec_s") + F.col("_day_s")).alias("_before_s"),
-            (F.col("_sec_c") + F.col("_day_c")).alias("_before_c"),
+            "_of",
+            (_zero("_slots_s") + _zero("_blocks_s")).alias("_before_s"),
+            (_zero("_slots_c") + _zero("_blocks_c")).alias("_before_c"),
         )
     )
-
-    sign = F.col("_sign")
-    ranges = (
-        upto.join(before, "_sec")
-        .groupBy("_for")
-        .agg(
-            F.sum(sign * (F.col("_s") + F.col("_before_s"))).alias("_range_s"),
-            F.sum(sign * (F.col("_c") + F.col("_before_c"))).alias("_range_c"),
-        )
-        .select(
-            F.col("_for"),
-            F.try_divide(
-                F.col("_range_s").cast("double"), F.col("_range_c").cast("double")
-            ).alias(out),
-        )
+    return upto.join(before, F.col("_slot") == F.col("_of"), "left").select(
+        "_for",
+        "_start",
+        (F.col("_s") + F.col("_before_s")).alias("_s"),
+        (F.col("_c") + F.col("_before_c")).alias("_c"),
     )
-    return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
-
-
-def _total(name: str, window) -> Column:
-    return F.sum(name).over(window)
-
-
-def _add(name: str) -> Column:
-    return F.sum(name).alias(name)
 
 
-def _zero(col: Column) -> Column:
-    return F.coalesce(col, F.lit(0))
+def _zero(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0))
 
 
 def tumbling(

@@ -118,11 +118,11 @@ def star_sales(spark, sf):
         joined,
         ["order_year", "n_name", "c_mktsegment", "p_brand", "s_name", "o_orderpriority"],
         {
-            "total_sales": exact_sum(F.col("l_extendedprice")),
-            "quantity": exact_sum(F.col("l_quantity")),
-            "tax": exact_sum(F.col("l_tax")),
-            "avg_retail": exact_mean(F.col("p_retailprice")),
-            "avg_discount": exact_mean(F.col("l_discount")),
+            "total_sales": exact_sum(F.col("l_extendedprice"), wide=False),
+            "quantity": exact_sum(F.col("l_quantity"), wide=False),
+            "tax": exact_sum(F.col("l_tax"), wide=False),
+            "avg_retail": exact_mean(F.col("p_retailprice"), wide=False),
+            "avg_discount": exact_mean(F.col("l_discount"), wide=False),
             "transactions": F.count("l_linenumber"),
         },
         ["total_sales", "quantity"],
@@ -525,22 +525,30 @@ def left_join_m2o(spark, sf):
     return reports.with_weight(orders, customers, "o_custkey")
 
 
-@register(
-    "rolling_2h",
-    "N14 W1",
-    """
+_ROLLING_SQL = """
     SELECT event_id,
            cast(sum(cast(value AS decimal(18,2))) OVER w AS double) / count(value) OVER w AS roll
     FROM events
     WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN 7199999999 PRECEDING AND CURRENT ROW)
-    """,
-)
-def rolling_2h(spark, sf):
+    """
+
+
+def _rolling(spark, sf, **options):
     events = table(spark, sf, "events").select("event_id", "ts", "value")
-    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2)
+    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2, **options)
     return rolled.select("event_id", "roll")
 
 
+@register("rolling_2h", "N14 W1", _ROLLING_SQL)
+def rolling_2h(spark, sf):
+    return _rolling(spark, sf, wide=False)
+
+
+@register("rolling_2h_by_slot", "W1 (tables larger than one task)", _ROLLING_SQL)
+def rolling_2h_by_slot(spark, sf):
+    return _rolling(spark, sf, rows_per_task=0)
+
+
 @register(
     "strings_flag",
     "N14 P12 P13",

@@ -143,11 +143,11 @@ def star_report(
         joined,
         ["CalendarYear", "County", "StoreName", "VendorName", "CategoryName", "ItemName"],
         {
-            "total_sales": exact_sum(F.col("SaleDollars")),
+            "total_sales": exact_sum(F.col("SaleDollars"), wide=False),
             "bottles_sold": F.sum("BottlesSold"),
-            "volume_liters": exact_sum(F.col("VolumeSoldLiters"), 4),
-            "avg_retail": exact_mean(F.col("StateBottleRetail")),
-            "avg_cost": exact_mean(F.col("StateBottleCost")),
+            "volume_liters": exact_sum(F.col("VolumeSoldLiters"), 4, wide=False),
+            "avg_retail": exact_mean(F.col("StateBottleRetail"), wide=False),
+            "avg_cost": exact_mean(F.col("StateBottleCost"), wide=False),
             "transactions": F.count("ID"),
         },
         ["total_sales", "bottles_sold"],
