@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sumstone.session import scratch_path
@@ -26,58 +26,122 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame | None:
+    """Keys with more rows than one task should handle, with their ``_rows``; None if there are none.
+
+    The list has at most rows / rows_per_task entries.  It is written to the scratch folder, so
+    that its size is known to the planner and it is counted once.
+    """
+    spark = df.sparkSession
+    hot = group_sizes(df, keys).filter(F.col("_rows") > rows_per_task)
+    if hot.isEmpty():
+        return None
+    path = scratch_path(spark, "hot-keys")
+    hot.write.parquet(path)
+    return spark.read.schema(hot.schema).parquet(path)
+
+
+def join_per_group(
+    df: DataFrame, per_group: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
+) -> DataFrame:
+    """Attach one row per group to every row of the group; NULL keys match.
+
+    With ``hot`` (see :func:`hot_keys`) the rows of these keys are joined by broadcasting just
+    their few group rows, so that no task receives a whole hot group.
+    """
+
+    def attach(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        renamed = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+        return rows.join(renamed, condition).drop(*[f"_g_{k}" for k in keys])
+
+    if hot is None:
+        return attach(df, per_group)
+    hot = hot.select(*keys)
+    few = F.broadcast(per_group.join(hot, same_keys(per_group, hot, keys), "left_semi"))
+    frequent = df.join(hot, same_keys(df, hot, keys), "left_semi")
+    others = df.join(hot, same_keys(df, hot, keys), "left_anti")
+    return attach(frequent, few).unionByName(attach(others, per_group))
+
+
+def range_count(spark: SparkSession, rows: int) -> int:
+    """Number of ranges for that many rows: enough that each is a comfortable task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_TASK + 1, 2)
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str],
     totals: dict[str, Column],
     parts: int | None = None,
+    group_totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Running sums per key in ``order_by`` order, whatever the size of a group.
 
     The table is range-partitioned by key *and* order, so a hot key spans many partitions of equal
     size, and written once to the shared scratch folder together with the partition number.  Each
-    partition then computes its own running sums, and a small table with one row per key and
-    partition supplies what came before.  That table has at most one row per key plus one per
-    partition.
+    partition then computes its own running sums.  Only a key that crosses from one partition into
+    the next needs what came before; partitions are in key order, so there are fewer than twice as
+    many such (key, partition) pairs as partitions, and they are broadcast.
 
+    ``group_totals`` maps a name in ``totals`` to an output column with the sum of the whole key.
     Rows with equal (key, order) share a running sum and stay in one partition: make
     ``order_by`` unique, or aggregate first.  Writing the partition number makes it a fact of the
     data, so a task that is run again after a lost executor cannot see another numbering.
     """
     spark = df.sparkSession
-    n = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
     path = scratch_path(spark, "ranges")
     (
         df.withColumns({f"_add_{name}": col for name, col in totals.items()})
-        .repartitionByRange(n, *keys, *order_by)
+        .repartitionByRange(parts or range_count(spark, 0), *keys, *order_by)
         .withColumn("_part", F.spark_partition_id())
         .write.parquet(path)
     )
     ranged = spark.read.parquet(path)
 
-    sums = [F.sum(f"_add_{name}").alias(f"_sum_{name}") for name in totals]
-    per_part = ranged.groupBy(*keys, "_part").agg(*sums)
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_part").alias("_p"),
-        *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in totals],
+    names = list(totals)
+    per_part = ranged.groupBy(*keys, "_part").agg(
+        *[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in names]
+    )
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    crossing = F.broadcast(
+        per_part.select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+            F.col("_part").alias("_p"),
+            F.count(F.lit(1)).over(of_key).alias("_parts"),
+            *[F.sum(f"_sum_{n}").over(earlier).alias(f"_before_{n}") for n in names],
+            *[F.sum(f"_sum_{n}").over(of_key).alias(f"_all_{n}") for n in names],
+        ).filter("_parts > 1")
     )
 
-    here = Window.partitionBy(*keys, "_part").orderBy(*order_by)
-    local = ranged.withColumns({name: F.sum(f"_add_{name}").over(here) for name in totals})
+    in_part = Window.partitionBy(*keys, "_part")
+    here = in_part.orderBy(*order_by)
+    local = ranged.withColumns(
+        {
+            **{n: F.sum(f"_add_{n}").over(here) for n in names},
+            **{f"_here_{n}": F.sum(f"_add_{n}").over(in_part) for n in group_totals or {}},
+        }
+    )
     condition = F.col("_part") == F.col("_p")
     for i, k in enumerate(keys):
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    joined = local.join(offsets, condition, "left")
+    joined = local.join(crossing, condition, "left")
+    before = {n: F.col(f"_before_{n}") for n in names}
     return joined.select(
         *df.columns,
         *[
-            F.when(F.col(f"_before_{n}").isNull(), F.col(n))
-            .otherwise(F.col(n) + F.col(f"_before_{n}"))
-            .alias(n)
-            for n in totals
+            F.when(before[n].isNull(), F.col(n)).otherwise(F.col(n) + before[n]).alias(n)
+            for n in names
+        ],
+        *[
+            F.coalesce(F.col(f"_all_{n}"), F.col(f"_here_{n}")).alias(out)
+            for n, out in (group_totals or {}).items()
         ],
     )
 
@@ -96,11 +160,8 @@ def ordinal_rank(
     rank.  Keys with more than ``rows_per_task`` rows are ranked over ranges (see
     :func:`running_totals`); all others by one window over the key.
     """
-    ranked = df.filter(F.col(value).isNotNull())
-    unranked = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("bigint"))
-
-    hot = group_sizes(ranked, keys).filter(F.col("_rows") > rows_per_task).select(*keys)
-    if hot.isEmpty():
+    hot = hot_keys(df, keys, rows_per_task)
+    if hot is None:
         # Null values sort last in the window, so no split of the table is needed.
         window = Window.partitionBy(*keys).orderBy(
             F.col(value).asc_nulls_last(), F.col(tie_key).asc_nulls_last()
@@ -108,14 +169,14 @@ def ordinal_rank(
         number = F.row_number().over(window).cast("bigint")
         return df.withColumn(out, F.when(F.col(value).isNotNull(), number))
 
-    # The list of hot keys has at most rows / rows_per_task entries.  It is written so that its
-    # size is known to the planner, which then decides how to join it.
-    path = scratch_path(df.sparkSession, "hot-keys")
-    hot.write.parquet(path)
-    hot = df.sparkSession.read.parquet(path)
+    parts = range_count(df.sparkSession, hot.agg(F.sum("_rows")).first()[0])
+    hot = hot.select(*keys)
+    ranked = df.filter(F.col(value).isNotNull())
+    unranked = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("bigint"))
     plain = ranked.join(hot, same_keys(ranked, hot, keys), "left_anti")
     window = Window.partitionBy(*keys).orderBy(value, F.col(tie_key).asc_nulls_last())
     plain = plain.withColumn(out, F.row_number().over(window).cast("bigint"))
     large = ranked.join(hot, same_keys(ranked, hot, keys), "left_semi")
-    large = running_totals(large, keys, [value, tie_key], {out: F.lit(1).cast("bigint")})
+    one = F.lit(1).cast("bigint")
+    large = running_totals(large, keys, [value, tie_key], {out: one}, parts)
     return plain.unionByName(large).unionByName(unranked)

@@ -3,20 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.operators.ordered import ROWS_PER_TASK, group_sizes, running_totals
-
+from sumstone.operators.ordered import (
+    ROWS_PER_TASK,
+    group_sizes,
+    hot_keys,
+    join_per_group,
+    range_count,
+    running_totals,
+)
+
+# Spark's percentile keeps about 100 bytes per distinct value of a group in one task.
+VALUES_PER_TASK = 1_000_000
 # A table with at most this many groups is small enough to send to every executor.
 BROADCAST_GROUPS = 100_000
 
 
-def _groups(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """Number of groups and rows of the largest one."""
-    shape = group_sizes(df, keys).agg(F.count(F.lit(1)), F.max("_rows")).first()
-    return shape[0], shape[1] or 0
+class _Shape(NamedTuple):
+    groups: int
+    largest: int
+    rows: int
+
+
+def _shape(df: DataFrame, keys: Sequence[str]) -> _Shape:
+    """Number of groups, rows of the largest one and rows of all, in one pass over the keys."""
+    found = group_sizes(df, keys).agg(
+        F.count(F.lit(1)), F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))
+    )
+    return _Shape(*found.first())
 
 
 def quantiles_by(
@@ -25,44 +43,43 @@ def quantiles_by(
     value: str,
     quantiles: dict[str, float],
     approximate: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
-    largest_group: int | None = None,
+    rows_per_task: int = VALUES_PER_TASK,
+    shape: _Shape | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation per key, one output column per entry.
 
     Spark's ``percentile`` holds all distinct values of a group in one task.  It is used while the
     largest group is small; otherwise values are counted, ordered over ranges, and the values at
     the wanted positions are picked from the running counts.  ``approximate`` trades exactness for
-    one pass with a fixed-size sketch.  ``largest_group`` saves the count where it is known.
+    one pass with a fixed-size sketch.
     """
     names, probs = list(quantiles), list(quantiles.values())
     if approximate:
         cols = [F.percentile_approx(value, p, 10_000).alias(n) for n, p in quantiles.items()]
         return df.groupBy(*keys).agg(*cols)
-    if largest_group is None:
-        _, largest_group = _groups(df, keys)
-    if largest_group <= rows_per_task:
+    shape = shape or _shape(df, keys)
+    if shape.largest <= rows_per_task:
         found = df.groupBy(*keys).agg(
             F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
         )
         return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    return _quantiles_over_ranges(df, keys, value, names, probs)
+    parts = range_count(df.sparkSession, shape.rows)
+    return _quantiles_over_ranges(df, keys, value, names, probs, parts)
 
 
 def _quantiles_over_ranges(
-    df: DataFrame, keys: Sequence[str], value: str, names: list[str], probs: list[float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    names: list[str],
+    probs: list[float],
+    parts: int,
 ) -> DataFrame:
-    measured = df.filter(F.col(value).isNotNull())
-    counts = measured.groupBy(*keys, F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
+    # NULL is counted zero times: it has no position, but its group stays.
+    counts = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_n"))
+    placed = running_totals(
+        counts, keys, ["_v"], {"_upto": F.col("_n")}, parts, group_totals={"_upto": "_size"}
     )
-    upto = running_totals(counts, keys, ["_v"], {"_upto": F.col("_n")})
-    sizes = measured.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    sizes = sizes.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_size")
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_s{i}"))
-    placed = upto.join(sizes, condition)
 
     picks: list[Column] = []
     for i, p in enumerate(probs):
@@ -78,15 +95,7 @@ def _quantiles_over_ranges(
         lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         between = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
         out.append(F.when(F.floor(at) == F.ceil(at), lo).otherwise(between).alias(name))
-    found = picked.select(*keys, *out)
-    # Groups without a single value are kept, with NULL quantiles.
-    groups = df.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).distinct()
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_g{i}"))
-    return groups.join(found, condition, "left").select(
-        *[F.col(f"_g{i}").alias(k) for i, k in enumerate(keys)], *names
-    )
+    return picked.select(*keys, *out)
 
 
 def box_stats(
@@ -94,39 +103,32 @@ def box_stats(
     keys: Sequence[str],
     value: str,
     approximate: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
     """Quartiles, whiskers and number of outliers per group: the data behind a box plot.
 
     Whiskers are the extreme values within 1.5 times the inter-quartile range of the box; values
     beyond them are outliers.
     """
-    n_groups, largest = _groups(df, keys)
+    shape = _shape(df, keys)
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    boxes = quantiles_by(df, keys, value, quartiles, approximate, rows_per_task, largest)
-    boxes = boxes.select(
-        *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)], "q1", "median", "q3"
-    )
-    if n_groups <= BROADCAST_GROUPS:
-        boxes = F.broadcast(boxes)  # size just counted; beyond it the planner decides
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_b{i}"))
+    boxes = quantiles_by(df, keys, value, quartiles, approximate, rows_per_task, shape)
+    if shape.groups <= BROADCAST_GROUPS:
+        boxes = F.broadcast(boxes)  # size just counted
+        hot = None
+    else:
+        hot = hot_keys(df, keys) if shape.largest > ROWS_PER_TASK else None
+    measured = join_per_group(df.select(*keys, value), boxes, keys, hot)
     v = F.col(value)
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = (v >= low) & (v <= high)
-    return (
-        df.select(*keys, value)
-        .join(boxes, condition)
-        .groupBy(*keys)
-        .agg(
-            F.count(v).alias("n"),
-            F.first("q1").alias("q1"),
-            F.first("median").alias("median"),
-            F.first("q3").alias("q3"),
-            F.min(F.when(inside, v)).alias("whisker_low"),
-            F.max(F.when(inside, v)).alias("whisker_high"),
-            F.count_if((v < low) | (v > high)).alias("outliers"),
-        )
+    return measured.groupBy(*keys).agg(
+        F.count(v).alias("n"),
+        F.max("q1").alias("q1"),
+        F.max("median").alias("median"),
+        F.max("q3").alias("q3"),
+        F.min(F.when(inside, v)).alias("whisker_low"),
+        F.max(F.when(inside, v)).alias("whisker_high"),
+        F.count_if((v < low) | (v > high)).alias("outliers"),
     )

@@ -15,12 +15,13 @@ def read_arrow_ipc(
     path: str,
     columns: Sequence[str] | None = None,
     batches_per_task: int = 16,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Arrow IPC files below ``path`` (file, folder or glob) as one table.
 
     Files are listed without content and opened by the executors.  A file is split into runs of
-    record batches that are spread over the tasks, so one large file is read by many of them.
-    Only the wanted columns are decoded.
+    record batches that are spread over ``tasks`` (four per core by default), so one large file is
+    read by many of them.  Only the wanted columns are decoded.
     """
     files = spark.read.format("binaryFile").load(path).select("path")
     first = files.first()
@@ -60,7 +61,7 @@ def read_arrow_ipc(
                         data = pa.Table.from_batches([reader.get_batch(i)]).select(wanted)
                         yield from data.cast(target).to_batches()
 
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or 4 * spark.sparkContext.defaultParallelism
     runs = files.mapInArrow(plan, "path string, start int")
     return runs.repartition(tasks, "path", "start").mapInArrow(load, out_schema)
 

@@ -178,3 +178,26 @@ def test_star_report_with_and_without_broadcast(spark, conf):
     assert wanted == sorted(wanted, key=lambda r: r[:6])
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     assert [tuple(r) for r in star_report(*inputs).collect()] == wanted
+
+
+def test_join_per_group_with_hot_keys(spark, skewed):
+    from sumstone.operators.ordered import hot_keys, join_per_group
+
+    per_group = skewed.groupBy("k").agg(F.max("v").alias("top"))
+    plain = join_per_group(skewed, per_group, ["k"])
+    hot = hot_keys(skewed, ["k"], rows_per_task=300)
+    assert [r.k for r in hot.collect()] == ["hot"]
+    assert hot_keys(skewed, ["k"], rows_per_task=10_000) is None
+    split = join_per_group(skewed, per_group, ["k"], hot)
+    assert plain.count() == skewed.count()
+    assert frames_equal(plain, split.select(*plain.columns))
+
+
+def test_box_with_many_groups_and_a_hot_one(spark, skewed, monkeypatch):
+    from sumstone.operators import quantiles
+
+    wanted = box_stats(skewed, ["k"], "v")
+    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", 2)
+    monkeypatch.setattr(quantiles, "ROWS_PER_TASK", 300)
+    monkeypatch.setattr(quantiles.hot_keys, "__defaults__", (300,))
+    assert frames_equal(wanted, box_stats(skewed, ["k"], "v"), digits=9)
