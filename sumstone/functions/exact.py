@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LOW_BITS = 20
+LOW_BITS = 20
 
 
 def scaled(col: Column, scale: int) -> Column:
@@ -21,6 +21,20 @@ def scaled(col: Column, scale: int) -> Column:
     return F.rint(col.cast("double") * F.lit(float(10**scale))).cast("bigint")
 
 
+def high_part(units: Column) -> Column:
+    return F.shiftright(units, LOW_BITS)
+
+
+def low_part(units: Column) -> Column:
+    return units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))
+
+
+def joined_parts(high: Column, low: Column, scale: int) -> Column:
+    """Double from the sums of both parts."""
+    whole = high.cast("double") * F.lit(float(1 << LOW_BITS)) + low.cast("double")
+    return whole / F.lit(float(10**scale))
+
+
 def exact_sum(col: Column, scale: int = 2, wide: bool = True) -> Column:
     """Sum of ``col`` rounded to ``scale`` decimals, as a double; NULL if nothing to add.
 
@@ -31,10 +45,7 @@ def exact_sum(col: Column, scale: int = 2, wide: bool = True) -> Column:
     units = scaled(col, scale)
     if not wide:
         return F.sum(units).cast("double") / F.lit(float(10**scale))
-    high = F.sum(F.shiftright(units, _LOW_BITS))
-    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint")))
-    whole = high.cast("double") * F.lit(float(1 << _LOW_BITS)) + low.cast("double")
-    return whole / F.lit(float(10**scale))
+    return joined_parts(F.sum(high_part(units)), F.sum(low_part(units)), scale)
 
 
 def exact_mean(col: Column, scale: int = 2, wide: bool = True) -> Column:

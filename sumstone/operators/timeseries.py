@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sumstone.functions.exact import scaled
+from sumstone.functions.exact import high_part, joined_parts, low_part, scaled
 from sumstone.functions.scalar import epoch_micros
+from sumstone.operators.ordered import ROWS_PER_TASK
 
 _SECOND = 1_000_000
 _SLOT_BITS = 20  # a slot is 2^20 microseconds, about one second
@@ -23,8 +24,7 @@ def rolling_mean(
     width: dt.timedelta,
     out: str = "rolling_mean",
     scale: int = 6,
-    wide: bool = True,
-    rows_per_task: int = 1_000_000,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Mean of ``value`` over ``(t - width, t]`` for every row, rows of equal time included.
 
@@ -34,59 +34,56 @@ def rolling_mean(
     larger one from :func:`_running_sums_by_slot`, in which no task sees more than a few million
     entries.
 
-    Values are added as decimals with ``scale`` digits, so the difference is exact; with
-    ``wide=False`` as scaled 64-bit integers, which is faster and stops the job should the sum of
-    the whole table exceed their range.  A row without time gets NULL, as does a range without
+    Values are rounded to ``scale`` decimals and added exactly (see ``sumstone.functions.exact``),
+    so nothing is lost in the difference.  A row without time gets NULL, as does a range without
     values.
     """
     micros = round(width.total_seconds() * _SECOND)
     keyed = df.withColumn("_t", epoch_micros(df, ts))
-    if wide:
-        amount, nothing = F.col(value).cast(f"decimal(18,{scale})"), f"decimal(28,{scale})"
-    else:
-        amount, nothing = scaled(F.col(value), scale), "bigint"
-    nothing = F.lit(0).cast(nothing)
+    units = scaled(F.col(value), scale)
     points = (
         keyed.filter(F.col("_t").isNotNull())
         .groupBy("_t")
-        .agg(F.sum(amount).alias("_s"), F.count(value).alias("_c"))
+        .agg(
+            F.sum(high_part(units)).alias("_h"),
+            F.sum(low_part(units)).alias("_l"),
+            F.count(value).alias("_n"),
+        )
     )
-    # Each instant asks for the running sum at its own time and at the open end of its range.
+    # Each instant asks for the running sums at its own time and at the open end of its range.
     own = F.struct(
         F.col("_t").alias("_at"),
         F.lit(False).alias("_start"),
-        F.coalesce(F.col("_s"), nothing).alias("_s"),
-        F.col("_c"),
+        *[_zero(c).alias(c) for c in _SUMS],
     )
     start = F.struct(
         (F.col("_t") - F.lit(micros)).alias("_at"),
         F.lit(True).alias("_start"),
-        nothing.alias("_s"),
-        F.lit(0).cast("bigint").alias("_c"),
+        *[F.lit(0).cast("bigint").alias(c) for c in _SUMS],
     )
     entries = points.select(F.col("_t").alias("_for"), F.inline(F.array(own, start)))
 
     if df.count() <= rows_per_task:
         by_time = Window.orderBy("_at")
         upto = entries.select(
-            "_for",
-            "_start",
-            F.sum("_s").over(by_time).alias("_s"),
-            F.sum("_c").over(by_time).alias("_c"),
+            "_for", "_start", *[F.sum(c).over(by_time).alias(c) for c in _SUMS]
         )
     else:
         upto = _running_sums_by_slot(entries)
 
-    def difference(total: str) -> Column:
+    def in_range(total: str) -> Column:
         at_end = F.max(F.when(~F.col("_start"), F.col(total)))
         return at_end - F.max(F.when(F.col("_start"), F.col(total)))
 
-    unit = F.lit(1.0 if wide else float(10**scale))
-    mean = F.try_divide(difference("_s").cast("double") / unit, difference("_c").cast("double"))
+    total = joined_parts(in_range("_h"), in_range("_l"), scale)
+    mean = F.try_divide(total, in_range("_n").cast("double"))
     ranges = upto.groupBy("_for").agg(mean.alias(out))
     return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
 
 
+_SUMS = ["_h", "_l", "_n"]
+
+
 def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
     """Running sums over all entries in time order, without a task that sees them all.
 
@@ -98,22 +95,18 @@ def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
     entries = entries.withColumn("_slot", F.shiftright("_at", _SLOT_BITS))
     in_slot = Window.partitionBy("_slot").orderBy("_at")
     upto = entries.select(
-        "_for",
-        "_start",
-        "_slot",
-        F.sum("_s").over(in_slot).alias("_s"),
-        F.sum("_c").over(in_slot).alias("_c"),
+        "_for", "_start", "_slot", *[F.sum(c).over(in_slot).alias(c) for c in _SUMS]
     )
 
-    slots = entries.groupBy("_slot").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
+    added = [F.sum(c).alias(c) for c in _SUMS]
+    slots = entries.groupBy("_slot").agg(*added)
     slots = slots.withColumn("_block", F.shiftright("_slot", _BLOCK_BITS))
-    blocks = slots.groupBy("_block").agg(F.sum("_s").alias("_s"), F.sum("_c").alias("_c"))
     # One row per block of time: the only window without a partition key.
     earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = slots.groupBy("_block").agg(*added)
     blocks = blocks.select(
         F.col("_block").alias("_b"),
-        F.sum("_s").over(earlier_blocks).alias("_blocks_s"),
-        F.sum("_c").over(earlier_blocks).alias("_blocks_c"),
+        *[F.sum(c).over(earlier_blocks).alias(f"_blocks{c}") for c in _SUMS],
     )
     earlier = (
         Window.partitionBy("_block").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -122,21 +115,15 @@ def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
         slots.select(
             F.col("_slot").alias("_of"),
             "_block",
-            F.sum("_s").over(earlier).alias("_slots_s"),
-            F.sum("_c").over(earlier).alias("_slots_c"),
+            *[F.sum(c).over(earlier).alias(f"_slots{c}") for c in _SUMS],
         )
         .join(blocks, F.col("_block") == F.col("_b"), "left")
         .select(
-            "_of",
-            (_zero("_slots_s") + _zero("_blocks_s")).alias("_before_s"),
-            (_zero("_slots_c") + _zero("_blocks_c")).alias("_before_c"),
+            "_of", *[(_zero(f"_slots{c}") + _zero(f"_blocks{c}")).alias(f"_before{c}") for c in _SUMS]
         )
     )
     return upto.join(before, F.col("_slot") == F.col("_of"), "left").select(
-        "_for",
-        "_start",
-        (F.col("_s") + F.col("_before_s")).alias("_s"),
-        (F.col("_c") + F.col("_before_c")).alias("_c"),
+        "_for", "_start", *[(F.col(c) + F.col(f"_before{c}")).alias(c) for c in _SUMS]
     )
 
 

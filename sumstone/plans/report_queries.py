@@ -541,7 +541,7 @@ def _rolling(spark, sf, **options):
 
 @register("rolling_2h", "N14 W1", _ROLLING_SQL)
 def rolling_2h(spark, sf):
-    return _rolling(spark, sf, wide=False)
+    return _rolling(spark, sf)
 
 
 @register("rolling_2h_by_slot", "W1 (tables larger than one task)", _ROLLING_SQL)

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.functions.exact import exact_mean, exact_sum
+from sumstone.functions.exact import exact_mean, exact_sum, scaled
 from sumstone.functions.scalar import (
     affine_score,
     bytes_to_gib,
@@ -27,7 +27,7 @@ from sumstone.functions.scalar import (
 from sumstone.operators import aggregate as agg
 from sumstone.operators.clean import clean_table
 from sumstone.operators.filters import all_of, among, on_or_after
-from sumstone.operators.joins import in_top, lookup, star_join
+from sumstone.operators.joins import in_top, lookup, one_name_per_key, star_join
 from sumstone.operators.ordered import ordinal_rank
 from sumstone.operators.pivot import crosstab, pivot_mean
 from sumstone.operators.quantiles import box_stats
@@ -125,32 +125,46 @@ def star_report(
 ) -> DataFrame:
     """Sales by year, county, store, vendor, category and item from ``from_year`` on, sorted.
 
-    The year filter is applied to the calendar before the join and prunes the fact table by
-    ``DateID`` through it.
+    Facts are filtered through the calendar and aggregated by their integer keys; names are
+    attached to the aggregated rows, so the shuffle carries numbers only.  Where a dimension gives
+    one name to several keys (or repeats a key), the sums are added up once more by name, which
+    is the same as grouping the joined facts by name.
     """
-    inserted = "Inserted"
-    joined = star_join(
-        sales.drop(inserted),
-        [
-            (date.drop(inserted).filter(F.col("CalendarYear") >= from_year), "DateID", "DateID"),
-            (category.drop(inserted), "CategoryID", "CategoryID"),
-            (store.drop(inserted), "StoreID", "StoreID"),
-            (vendor.drop(inserted), "VendorID", "VendorID"),
-            (item.drop(inserted), "ItemID", "ItemID"),
-        ],
+    dates = date.filter(F.col("CalendarYear") >= from_year).select("DateID", "CalendarYear")
+    ids = ["StoreID", "VendorID", "CategoryID", "ItemID"]
+    dims = [
+        (store.select("StoreID", "County", "StoreName"), "StoreID"),
+        (vendor.select("VendorID", "VendorName"), "VendorID"),
+        (category.select("CategoryID", "CategoryName"), "CategoryID"),
+        (item.select("ItemID", "ItemName"), "ItemID"),
+    ]
+    sums = {
+        "total_sales": F.sum(scaled(F.col("SaleDollars"), 2)),
+        "bottles_sold": F.sum("BottlesSold"),
+        "volume_liters": F.sum(scaled(F.col("VolumeSoldLiters"), 4)),
+        "_retail": F.sum(scaled(F.col("StateBottleRetail"), 2)),
+        "_retails": F.count("StateBottleRetail"),
+        "_cost": F.sum(scaled(F.col("StateBottleCost"), 2)),
+        "_costs": F.count("StateBottleCost"),
+        "transactions": F.count("ID"),
+    }
+    facts = star_join(sales, [(dates, "DateID", "DateID")])
+    named = agg.grouped(facts, ["CalendarYear", *ids], sums)
+    named = star_join(named, [(dim, key, key) for dim, key in dims])
+    keys = ["CalendarYear", "County", "StoreName", "VendorName", "CategoryName", "ItemName"]
+    if not one_name_per_key(dims):
+        named = agg.grouped(named, keys, {c: F.sum(c) for c in sums})
+    report = named.select(
+        *keys,
+        (F.col("total_sales") / 100.0).alias("total_sales"),
+        "bottles_sold",
+        (F.col("volume_liters") / 10_000.0).alias("volume_liters"),
+        F.try_divide(F.col("_retail") / 100.0, F.col("_retails")).alias("avg_retail"),
+        F.try_divide(F.col("_cost") / 100.0, F.col("_costs")).alias("avg_cost"),
+        "transactions",
     )
-    return star_summary(
-        joined,
-        ["CalendarYear", "County", "StoreName", "VendorName", "CategoryName", "ItemName"],
-        {
-            "total_sales": exact_sum(F.col("SaleDollars"), wide=False),
-            "bottles_sold": F.sum("BottlesSold"),
-            "volume_liters": exact_sum(F.col("VolumeSoldLiters"), 4, wide=False),
-            "avg_retail": exact_mean(F.col("StateBottleRetail"), wide=False),
-            "avg_cost": exact_mean(F.col("StateBottleCost"), wide=False),
-            "transactions": F.count("ID"),
-        },
-        ["total_sales", "bottles_sold"],
+    return agg.mixed_sort(
+        report, [(k, True) for k in keys] + [("total_sales", False), ("bottles_sold", False)]
     )
 
 

@@ -90,7 +90,7 @@ def test_quantiles_over_ranges_equal_percentile(spark, skewed):
 
 
 @pytest.mark.parametrize("width", [TWO_HOURS, dt.timedelta(seconds=1), dt.timedelta(days=3)])
-@pytest.mark.parametrize("options", [{}, {"rows_per_task": 0}, {"wide": False, "rows_per_task": 0}])
+@pytest.mark.parametrize("options", [{}, {"rows_per_task": 0}])
 def test_rolling_mean_equals_the_plain_range_window(spark, skewed, width, options):
     micros = int(width.total_seconds() * 1_000_000)
     window = Window.orderBy("t").rangeBetween(-(micros - 1), 0)
@@ -201,3 +201,36 @@ def test_box_with_many_groups_and_a_hot_one(spark, skewed, monkeypatch):
     monkeypatch.setattr(quantiles, "ROWS_PER_TASK", 300)
     monkeypatch.setattr(quantiles.hot_keys, "__defaults__", (300,))
     assert frames_equal(wanted, box_stats(skewed, ["k"], "v"), digits=9)
+
+
+def test_star_report_adds_up_keys_of_one_name(spark):
+    from sumstone.functions.calendar import calendar_between
+    from sumstone.generators import tables as gen
+    from sumstone.generators.draws import row_numbers
+
+    bounds = spark.sql("SELECT DATE'2012-01-01' AS lo, DATE'2026-12-31' AS hi")
+    stores = gen.dim_store(row_numbers(spark, 2_500))
+    stores = stores.withColumn("StoreName", F.col("City"))  # ten names for 2,500 keys
+    vendors = gen.dim_vendor(row_numbers(spark, 600))
+    vendors = vendors.unionByName(vendors.filter("VendorID = 700"))  # a key twice
+    items = gen.dim_item(row_numbers(spark, 40_000))  # some facts have no item
+    items = items.withColumn("ItemName", F.substring("ItemName", 1, 20))
+    facts = gen.fact_sales(row_numbers(spark, 5_000))
+    calendar = calendar_between(bounds, "lo", "hi")
+    categories = gen.dim_category(row_numbers(spark, 300))
+    found = star_report(facts, categories, calendar, stores, vendors, items)
+    joined = (
+        facts.join(calendar.filter("CalendarYear >= 2022"), "DateID")
+        .join(stores, "StoreID").join(vendors, "VendorID")
+        .join(categories, "CategoryID").join(items, "ItemID")
+    )
+    wanted = joined.groupBy(found.columns[:6]).agg(
+        F.sum(F.col("SaleDollars").cast("decimal(18,2)")).cast("double").alias("total_sales"),
+        F.sum("BottlesSold").alias("bottles_sold"),
+        F.sum(F.col("VolumeSoldLiters").cast("decimal(18,4)")).cast("double").alias("volume_liters"),
+        F.avg("StateBottleRetail").alias("avg_retail"),
+        F.avg("StateBottleCost").alias("avg_cost"),
+        F.count("ID").alias("transactions"),
+    )
+    assert found.count() > 500
+    assert frames_equal(wanted, found, digits=6)
