@@ -82,6 +82,7 @@ def main() -> None:
             readers.read_csv(spark, events, schema=schemas.EVENTS_NARROW),
             "2025-01-01",
             ["US", "UK", "DE"],
+            dense_ids=True,
         ),
         "N2 revenue by region 50M": lambda: reports.revenue_by(read(region)),
         "N3 star 10M": lambda: reports.star_report(read(facts), *[read(p) for p in star]),

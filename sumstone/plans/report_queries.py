@@ -40,10 +40,7 @@ def orders_as_traffic(spark, sf):
     )
 
 
-@register(
-    "events_channel_top10",
-    "N1 S8 F1 F2 F3 F4 A1 A4 A6 A9 A10 O3",
-    """
+_TOP_CHANNELS_SQL = """
     SELECT event_type AS country, user_id % 4 AS channel,
            count(DISTINCT user_id) AS users, count(event_id) AS orders,
            cast(sum(cast(value AS decimal(18,2))) AS double) AS revenue
@@ -51,14 +48,23 @@ def orders_as_traffic(spark, sf):
     WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
       AND event_type IN ('click', 'purchase', 'view') AND value > 0
     GROUP BY 1, 2 ORDER BY revenue DESC, country, channel LIMIT 10
-    """,
-)
+    """
+
+
+@register("events_channel_top10", "N1 S8 F1 F2 F3 F4 A1 A4 A6 A9 A10 O3", _TOP_CHANNELS_SQL)
 def events_channel_top10(spark, sf):
     return reports.top_channels(
         events_as_orders(spark, sf), "2024-01-10", ["click", "purchase", "view"]
     )
 
 
+@register("events_channel_top10_dense_ids", "N1 A6 (bitmaps)", _TOP_CHANNELS_SQL)
+def events_channel_top10_dense_ids(spark, sf):
+    return reports.top_channels(
+        events_as_orders(spark, sf), "2024-01-10", ["click", "purchase", "view"], dense_ids=True
+    )
+
+
 @register(
     "revenue_by_flag",
     "N2 P4 F5 A2 O2",

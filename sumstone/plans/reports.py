@@ -13,7 +13,14 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.functions.exact import exact_mean, exact_sum, scaled
+from sumstone.functions.exact import (
+    exact_mean,
+    exact_sum,
+    high_part,
+    joined_parts,
+    low_part,
+    scaled,
+)
 from sumstone.functions.scalar import (
     affine_score,
     bytes_to_gib,
@@ -49,8 +56,12 @@ def top_channels(
     countries: Sequence[str],
     k: int = 10,
     null_as_value: bool = False,
+    dense_ids: bool = False,
 ) -> DataFrame:
-    """Distinct users, orders and revenue by country and channel; the ``k`` best by revenue."""
+    """Distinct users, orders and revenue by country and channel; the ``k`` best by revenue.
+
+    ``dense_ids`` counts users with bitmaps, for user numbers that fill their range.
+    """
     kept = events.filter(
         all_of(
             on_or_after(events, "event_date", since),
@@ -58,16 +69,28 @@ def top_channels(
             F.col("revenue") > 0,
         )
     )
-    report = agg.grouped(
-        kept,
-        ["country", "channel"],
-        {
-            "users": agg.distinct_count("user_id", null_as_value),
+    keys = ["country", "channel"]
+    if dense_ids and not null_as_value:
+        units = scaled(F.col("revenue"), 2)
+        sums = {
             "orders": F.count("order_id"),
-            "revenue": exact_sum(F.col("revenue")),
-        },
-    )
-    return agg.top_k(report, "revenue", k, ["country", "channel"])
+            "_high": F.sum(high_part(units)),
+            "_low": F.sum(low_part(units)),
+        }
+        report = agg.grouped_with_dense_ids(kept, keys, "user_id", "users", sums)
+        revenue = joined_parts(F.col("_high"), F.col("_low"), 2).alias("revenue")
+        report = report.select(*keys, "users", "orders", revenue)
+    else:
+        report = agg.grouped(
+            kept,
+            keys,
+            {
+                "users": agg.distinct_count("user_id", null_as_value),
+                "orders": F.count("order_id"),
+                "revenue": exact_sum(F.col("revenue")),
+            },
+        )
+    return agg.top_k(report, "revenue", k, keys)
 
 
 # --- sales ----------------------------------------------------------------------------------

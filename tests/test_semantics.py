@@ -231,3 +231,14 @@ def test_micro_reports(spark):
     assert reports.bucket_pivot(df).columns == ["cat", *map(str, range(8))]
     both = reports.rolling_and_rank(df, "ts")
     assert {"roll", "rank_in_id"} <= set(both.columns)
+
+
+def test_distinct_ids_by_bitmap(spark):
+    df = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 40_000), ("a", -5), ("a", None), (None, 32_768), ("b", None)],
+        "k string, u long",
+    )
+    exact = agg.grouped(df, ["k"], {"users": agg.distinct_count("u"), "n": F.count("u")})
+    dense = agg.grouped_with_dense_ids(df, ["k"], "u", "users", {"n": F.count("u")})
+    assert rows_of(dense) == rows_of(exact)
+    assert agg.grouped_with_dense_ids(df.limit(0), [], "u", "users", {}).first().users == 0
