@@ -30,7 +30,16 @@ def low_part(units: Column) -> Column:
 
 
 def joined_parts(high: Column, low: Column, scale: int) -> Column:
-    """Double from the sums of both parts."""
+    """Double closest to the total of both parts, put together as a decimal (once per group)."""
+    whole = high.cast("decimal(19,0)") * F.lit(1 << LOW_BITS).cast("decimal(7,0)") + low.cast(
+        "decimal(19,0)"
+    )
+    unit = F.expr(f"CAST(1e-{scale} AS DECIMAL({scale + 1},{scale}))")
+    return (whole.cast("decimal(28,0)") * unit).cast("double")
+
+
+def joined_parts_fast(high: Column, low: Column, scale: int) -> Column:
+    """The same in double arithmetic; equal while the total has at most 15 digits."""
     whole = high.cast("double") * F.lit(float(1 << LOW_BITS)) + low.cast("double")
     return whole / F.lit(float(10**scale))
 
@@ -38,9 +47,9 @@ def joined_parts(high: Column, low: Column, scale: int) -> Column:
 def exact_sum(col: Column, scale: int = 2, wide: bool = True) -> Column:
     """Sum of ``col`` rounded to ``scale`` decimals, as a double; NULL if nothing to add.
 
-    ``wide=False`` adds single 64-bit integers, half the work, for groups that cannot grow to
-    billions of rows; an overflow stops the job (ANSI mode), it never wraps.  Putting the parts together multiplies by a power of two and adds once, so the result is the
-    double closest to the true sum while either part stays below 2^53.
+    ``wide=False`` adds single 64-bit integers, half the work, for reports with many small groups:
+    a group may hold up to 9 * 10^18 units of ``10^-scale``.  More than that stops the job in ANSI
+    mode, Spark's default.
     """
     units = scaled(col, scale)
     if not wide:

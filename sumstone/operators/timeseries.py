@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sumstone.functions.exact import high_part, joined_parts, low_part, scaled
+from sumstone.functions.exact import high_part, joined_parts_fast, low_part, scaled
 from sumstone.functions.scalar import epoch_micros
 from sumstone.operators.ordered import ROWS_PER_TASK
 
@@ -75,7 +75,7 @@ def rolling_mean(
         at_end = F.max(F.when(~F.col("_start"), F.col(total)))
         return at_end - F.max(F.when(F.col("_start"), F.col(total)))
 
-    total = joined_parts(in_range("_h"), in_range("_l"), scale)
+    total = joined_parts_fast(in_range("_h"), in_range("_l"), scale)
     mean = F.try_divide(total, in_range("_n").cast("double"))
     ranges = upto.groupBy("_for").agg(mean.alias(out))
     return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
