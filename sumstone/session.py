@@ -22,6 +22,14 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.csv.filterPushdown.enabled": "true",
 }
 
+# Streaming state on disk, for incremental aggregates with more keys than fit in memory.
+LARGE_STATE: dict[str, str] = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -29,12 +37,17 @@ def build_session(
     app_name: str = "sumstone",
     master: str | None = None,
     conf: dict[str, str] | None = None,
+    large_state: bool = False,
 ) -> SparkSession:
-    """Return a session with the defaults above; ``conf`` wins over them."""
+    """Return a session with the defaults above; ``conf`` wins over them.
+
+    ``large_state`` keeps the state of streaming aggregates on disk.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **(conf or {})}.items():
+    chosen = {**DEFAULTS, **(LARGE_STATE if large_state else {}), **(conf or {})}
+    for key, value in chosen.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, rows_of
 from sumstone import scratch_path
 from sumstone.operators import aggregate as agg
 from sumstone.plans.registry import table
+from sumstone.session import LARGE_STATE
 from sumstone.sources.schemas import TABLES
 from sumstone.streaming import incremental as inc
 
@@ -17,7 +19,10 @@ FIVE = dt.timedelta(minutes=5)
 SCHEMA = "ts timestamp_ntz, v double"
 
 
-def test_many_files_equal_one_batch_and_restart_adds_nothing(spark):
+@pytest.mark.parametrize("options", [{}, LARGE_STATE])
+def test_many_files_equal_one_batch_and_restart_adds_nothing(spark, conf, options):
+    for key, value in options.items():
+        conf(key, value)
     source = scratch_path(spark, "in")
     orders = table(spark, SF_DIR, "orders")
     orders.repartition(6).write.parquet(source)
