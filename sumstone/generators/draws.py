@@ -36,7 +36,8 @@ def draw(row: Column, salt: int) -> Column:
 
 def draw_sql(row: str, salt: int) -> str:
     """:func:`draw` as SQL text for engines with ``//`` and ``xor``; used to check the tables."""
-    x = f"((({row}) % {PRIME}) * 48271 + (({row}) // {PRIME} % {PRIME}) * 69621 + {(salt * _SALT_STEP) % PRIME}) % {PRIME}"
+    start = (salt * _SALT_STEP) % PRIME
+    x = f"((({row}) % {PRIME}) * 48271 + (({row}) // {PRIME} % {PRIME}) * 69621 + {start}) % {PRIME}"
     y = f"(xor({x}, ({x}) >> 15) * 1597334677) % {PRIME}"
     return f"((xor({y}, ({y}) >> 13) * 741103597 + {salt}) % {PRIME})"
 

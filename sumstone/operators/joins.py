@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.operators.ordered import same_keys
+from sumstone.operators.ordered import hot_keys, same_keys
 
 
 class DuplicateKeyError(ValueError):
@@ -74,18 +74,25 @@ def hot_key_lookup(
     """:func:`lookup` for a large right side and a left side with very frequent keys.
 
     Keys that hold more than ``share`` of all left rows, at most ``1/share`` of them, are joined by
-    broadcasting just their right rows (one per key, checked); the rest takes a shuffled join
-    without hot keys.  Use it where adaptive skew handling is off or not enough.
+    broadcasting just their right rows (one per key, checked); rows with a NULL key match nothing
+    and are not joined at all; the rest takes a shuffled join without hot keys.  Use it where
+    adaptive skew handling is off or not enough.
     """
     require_unique(right, keys)
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = left.agg(F.count(F.lit(1)).alias("_total")).scalar()
-    hot = counts.filter(F.col("_rows") > total * F.lit(share)).select(*keys)
-    hot = F.broadcast(hot)  # at most 1 / share rows by construction
-    few = F.broadcast(right.join(hot, list(keys), "left_semi"))
-    frequent = left.join(hot, list(keys), "left_semi").join(few, list(keys), "left")
-    others = left.join(hot, list(keys), "left_anti").join(right, list(keys), "left")
-    return frequent.unionByName(others)
+    keys = list(keys)
+    keyed = left.na.drop("any", subset=keys)
+    hot = hot_keys(keyed, keys, max(int(left.count() * share), 1))
+    if hot is None:
+        return left.join(right, keys, "left")
+    hot = F.broadcast(hot.select(*keys))  # at most 1 / share rows by construction
+    few = F.broadcast(right.join(hot, keys, "left_semi"))
+    frequent = keyed.join(hot, keys, "left_semi").join(few, keys, "left")
+    others = keyed.join(hot, keys, "left_anti").join(right, keys, "left")
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    joined = frequent.unionByName(others)
+    return joined.unionByName(left.filter(missing), allowMissingColumns=True)
 
 
 def in_top(df: DataFrame, top: DataFrame, key: str, at_most: int) -> DataFrame:
