@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,8 +29,6 @@ LARGE_STATE: dict[str, str] = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(
     app_name: str = "sumstone",
@@ -53,20 +50,15 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else one beside the warehouse.
 
-    Only a local-mode session may fall back to a temporary folder of this machine; on a cluster a
-    missing setting is an error, because a machine-local path would be lost with the machine.
+    Both are settings of the session, so a cluster names its shared store once; a folder of one
+    machine is never made up here.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if sc.applicationId not in _local_scratch:
-        _local_scratch[sc.applicationId] = tempfile.mkdtemp(prefix="sumstone-")
-    return _local_scratch[sc.applicationId]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
