@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import sharding
+from sumstone.llm import language, sharding
+from sumstone.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,3 +46,17 @@ def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"),
         "grown_shard",
     )
+
+
+def language_model(docs: DataFrame) -> dict:
+    """Learned from the rows that are not held out; their ids only choose the sample."""
+    training = docs.filter(~held_out(F.col("doc_id")))
+    return language.train(training, "text", "lang", F.struct("doc_id", "text"))
+
+
+@query
+def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by the shortest code of its whole text."""
+    docs = table(spark, sf_dir, "documents")
+    given = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    return language.identify(given, "text", language_model(docs), ["doc_id", "held_out"])
