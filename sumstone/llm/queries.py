@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, sharding
+from sumstone.llm import language, quality, sharding
 from sumstone.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,19 @@ def op10_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     given = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return language.identify(given, "text", language_model(docs), ["doc_id", "held_out"])
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> dict:
+    """Learned from labels of rows that are not held out."""
+    training = labels.filter(~held_out(F.col("doc_id")))
+    return quality.fit(docs, training, "text", "doc_id", "quality")
+
+
+@query
+def op4_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chance that each document is of good quality."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    given = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    scored = quality.score(given, "text", model, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", quality.accepted(F.col("score")))
