@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, quality, sharding
+from sumstone.llm import language, packing, quality, sharding
 from sumstone.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,21 @@ def op4_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     scored = quality.score(given, "text", model, ["doc_id", "held_out"])
     return scored.withColumn("predicted", quality.accepted(F.col("score")))
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer file; every executor has the same installed package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op3_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack(docs, "doc_id", "text", vocabulary("byte_bpe_50k.json"), end=0)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
