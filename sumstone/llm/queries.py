@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, packing, quality, sharding
+from sumstone.llm import language, packing, quality, sharding, wavelet
 from sumstone.llm.common import held_out
+from sumstone.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +95,14 @@ def op3_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
     )
+
+
+@query
+def op8_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as wavelet matrix files in ascending id order, and read back."""
+    folder = scratch_path(spark, "waves")
+    docs = table(spark, sf_dir, "documents")
+    tokenizer = vocabulary("word_bpe_49k.json")
+    manifest = wavelet.write_shards(docs, "doc_id", "text", tokenizer, 2, folder)
+    back = wavelet.read_shards(spark, manifest, folder, "doc_id")
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
