@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, packing, quality, sharding, wavelet
+from sumstone.llm import language, mixing, packing, quality, sharding, wavelet
 from sumstone.llm.common import held_out
 from sumstone.session import scratch_path
 
@@ -106,3 +106,12 @@ def op8_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = wavelet.write_shards(docs, "doc_id", "text", tokenizer, 2, folder)
     back = wavelet.read_shards(spark, manifest, folder, "doc_id")
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights of their sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    mixed = mixing.mix(sized, "doc_id", "source", F.col("words"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
