@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, mixing, packing, quality, sharding, wavelet
+from sumstone.llm import language, mixing, packing, quality, sharding, similarity, wavelet
 from sumstone.llm.common import held_out
 from sumstone.session import scratch_path
 
@@ -115,3 +115,37 @@ def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
     mixed = mixing.mix(sized, "doc_id", "source", F.col("words"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op9_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingles overlap by nine tenths."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return similarity.near_groups(docs, "doc_id", "text", words=3, num=90, den=100)
+
+
+ORACLES["op9_signature_trees"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1),
+      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
+  FROM w),
+n AS (SELECT doc_id, len(sh) AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS g FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM e a JOIN e b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * i >= 90 * (x.n + y.n - i)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(d, c) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.d, k.b FROM r JOIN both_ways k ON r.c = k.a)
+SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id
+FROM n JOIN r ON r.d = n.doc_id GROUP BY ALL
+"""
