@@ -10,7 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm import language, mixing, packing, quality, sharding, similarity, wavelet
+from sumstone.llm import (
+    fingerprint,
+    language,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    sharding,
+    similarity,
+    wavelet,
+)
 from sumstone.llm.common import held_out
 from sumstone.session import scratch_path
 
@@ -149,3 +159,22 @@ r(d, c) AS (
 SELECT n.doc_id, n.n AS n_shingles, min(r.c) AS component_id
 FROM n JOIN r ON r.d = n.doc_id GROUP BY ALL
 """
+
+
+@query
+def op5_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = neighbours.with_next(docs, "doc_id", "text")
+    n = F.length("text")
+    tail = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring("text", 1, n - tail), F.substring("next_text", 1, tail))
+    versions = paired.withColumns({"n_chars": n.cast("long"), "edited": edited})
+    versions = versions.withColumn("edited_sha256", F.sha2("edited", 256))
+    return fingerprint.compare_versions(
+        versions,
+        {"fingerprint": "text", "edited_fingerprint": "edited"},
+        {"near_edited": ("text", "edited"), "near_next": ("text", "next_text")},
+        ["doc_id", "n_chars", "edited_sha256"],
+    )
