@@ -14,6 +14,7 @@ from sumstone.llm import (
     fingerprint,
     language,
     mixing,
+    neighbour_search,
     neighbours,
     packing,
     quality,
@@ -178,3 +179,10 @@ def op5_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"near_edited": ("text", "edited"), "near_next": ("text", "next_text")},
         ["doc_id", "n_chars", "edited_sha256"],
     )
+
+
+@query
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbour_search.search(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
