@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sumstone.llm import (
+    chat,
     fingerprint,
     language,
     mixing,
@@ -186,3 +187,19 @@ def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth."""
     vectors = table(spark, sf_dir, "embeddings")
     return neighbour_search.search(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+@query
+def op2_prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that speaks in control strings, read back from prefix trees."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    two = F.explode(F.array(F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role")),
+                            F.struct(F.lit(1).alias("turn"), F.lit("assistant").alias("role"))))
+    extra = spark.range(1).select(F.lit(-1).alias("conv_id"), two.alias("t")).select(
+        "conv_id", "t.turn", "t.role", F.lit(said).alias("text")
+    )
+    nodes, members = chat.format_trees(turns.unionByName(extra), "conv_id", "turn", "role", "text")
+    back = chat.read_back(nodes, members, "conv_id")
+    told = F.pandas_udf(chat.digests, chat.DIGESTS)
+    return back.select("conv_id", told("formatted", "loss").alias("d")).select("conv_id", "d.*")
