@@ -42,5 +42,6 @@ def with_next(docs: DataFrame, key: str, text: str, part_bytes: int = PART) -> D
     guest = (F.col("_spot") % 2).alias("_guest")
     placed = placed.select(key, text, "_rank", F.shiftright("_spot", 1).alias("_range"), guest)
     order = Window.partitionBy("_range").orderBy("_guest", "_rank", F.col(text).asc_nulls_first())
-    led = placed.withColumn("next_text", F.lead(F.coalesce(text, F.lit(""))).over(order))
+    # The text itself is led, not an expression of it: that would be moved beside the text.
+    led = placed.withColumn("next_text", F.coalesce(F.lead(text).over(order), F.lit("")))
     return led.filter("_guest = 0").select(key, text, "next_text")
