@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.operators.ordered import hot_keys, same_keys
+from sumstone.operators.ordered import same_keys
 
 
 class DuplicateKeyError(ValueError):
@@ -68,40 +68,24 @@ def lookup(
     return left.join(right, list(keys), "left")
 
 
-def hot_key_lookup(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], share: float = 0.001
-) -> DataFrame:
-    """:func:`lookup` for a large right side and a left side with very frequent keys.
+def hot_key_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """:func:`lookup` for a left side with very frequent keys, NULL among them.
 
-    Keys that hold more than ``share`` of all left rows, at most ``1/share`` of them, are joined by
-    broadcasting just their right rows (one per key, checked); rows with a NULL key match nothing
-    and are not joined at all; the rest takes a shuffled join without hot keys.  Use it where
-    adaptive skew handling is off or not enough.
+    Rows with a NULL key match nothing and are not shuffled; the shuffled join of the others leaves
+    hot partitions to adaptive execution, which splits them against the one right row of a key.
     """
     require_unique(right, keys)
     keys = list(keys)
-    keyed = left.na.drop("any", subset=keys)
-    hot = hot_keys(keyed, keys, max(int(left.count() * share), 1))
-    if hot is None:
-        return left.join(right, keys, "left")
-    hot = F.broadcast(hot.select(*keys))  # at most 1 / share rows by construction
-    few = F.broadcast(right.join(hot, keys, "left_semi"))
-    frequent = keyed.join(hot, keys, "left_semi").join(few, keys, "left")
-    others = keyed.join(hot, keys, "left_anti").join(right, keys, "left")
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    joined = frequent.unionByName(others)
+    joined = left.na.drop("any", subset=keys).join(right, keys, "left")
     return joined.unionByName(left.filter(missing), allowMissingColumns=True)
 
 
-def in_top(df: DataFrame, top: DataFrame, key: str, at_most: int) -> DataFrame:
-    """Rows of ``df`` whose key is among the rows of a top-k frame.
-
-    ``at_most`` is the k of that frame; it bounds the broadcast.
-    """
-    chosen = F.broadcast(top.select(key).limit(at_most))
-    return df.join(chosen, key, "left_semi")
+def in_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is among the rows of a top-k frame, which carries its own k."""
+    return df.join(top.select(key), key, "left_semi")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from sumstone.session import scratch_path
 
-# Rows one task sorts without trouble.  A larger group is cut into ranges.
-ROWS_PER_TASK = 5_000_000
-
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition on equal keys in which NULL equals NULL."""
@@ -21,56 +18,21 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return out
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key; counted before the shuffle, so a hot key costs nothing extra."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-
-
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame | None:
-    """Keys with more rows than one task should handle, with their ``_rows``; None if there are none.
-
-    The list has at most rows / rows_per_task entries.  It is written to the scratch folder, so
-    that its size is known to the planner and it is counted once.
-    """
-    spark = df.sparkSession
-    hot = group_sizes(df, keys).filter(F.col("_rows") > rows_per_task)
-    if hot.isEmpty():
-        return None
-    path = scratch_path(spark, "hot-keys")
-    hot.write.parquet(path)
-    return spark.read.schema(hot.schema).parquet(path)
-
-
-def join_per_group(
-    df: DataFrame, per_group: DataFrame, keys: Sequence[str], hot: DataFrame | None = None
-) -> DataFrame:
+def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Attach one row per group to every row of the group; NULL keys match.
 
-    With ``hot`` (see :func:`hot_keys`) the rows of these keys are joined by broadcasting just
-    their few group rows, so that no task receives a whole hot group.
+    Adaptive execution splits the partitions of hot groups: each part meets the one group row.
     """
-
-    def attach(rows: DataFrame, groups: DataFrame) -> DataFrame:
-        renamed = groups.withColumnsRenamed({k: f"_g_{k}" for k in keys})
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-        return rows.join(renamed, condition).drop(*[f"_g_{k}" for k in keys])
-
-    if hot is None:
-        return attach(df, per_group)
-    hot = hot.select(*keys)
-    few = F.broadcast(per_group.join(hot, same_keys(per_group, hot, keys), "left_semi"))
-    frequent = df.join(hot, same_keys(df, hot, keys), "left_semi")
-    others = df.join(hot, same_keys(df, hot, keys), "left_anti")
-    return attach(frequent, few).unionByName(attach(others, per_group))
+    renamed = per_group.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
+    return df.join(renamed, condition).drop(*[f"_g_{k}" for k in keys])
 
 
-def range_count(spark: SparkSession, rows: int) -> int:
-    """Number of ranges for that many rows: enough that each is a comfortable task."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // ROWS_PER_TASK + 1, 2)
+def range_count(spark: SparkSession) -> int:
+    """Number of ranges: as many as a shuffle has partitions, which grows with the cluster."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
 
 
 def running_totals(
@@ -90,15 +52,14 @@ def running_totals(
     many such (key, partition) pairs as partitions, and they are broadcast.
 
     ``group_totals`` maps a name in ``totals`` to an output column with the sum of the whole key.
-    Rows with equal (key, order) share a running sum and stay in one partition: make
-    ``order_by`` unique, or aggregate first.  Writing the partition number makes it a fact of the
+    Rows with equal (key, order) stay in one partition and follow each other in any order there.  Writing the partition number makes it a fact of the
     data, so a task that is run again after a lost executor cannot see another numbering.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "ranges")
     (
         df.withColumns({f"_add_{name}": col for name, col in totals.items()})
-        .repartitionByRange(parts or range_count(spark, 0), *keys, *order_by)
+        .repartitionByRange(parts or range_count(spark), *keys, *order_by)
         .withColumn("_part", F.spark_partition_id())
         .write.parquet(path)
     )
@@ -121,7 +82,7 @@ def running_totals(
     )
 
     in_part = Window.partitionBy(*keys, "_part")
-    here = in_part.orderBy(*order_by)
+    here = in_part.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.withColumns(
         {
             **{n: F.sum(f"_add_{n}").over(here) for n in names},
@@ -152,31 +113,14 @@ def ordinal_rank(
     value: str,
     tie_key: str,
     out: str = "rank",
-    rows_per_task: int = ROWS_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """1, 2, 3 … by ``value`` within each key; equal values are ordered by ``tie_key``.
 
     Spark has no row order to fall back on, hence the explicit tie key.  A NULL value has a NULL
-    rank.  Keys with more than ``rows_per_task`` rows are ranked over ranges (see
-    :func:`running_totals`); all others by one window over the key.
+    rank.  Ranks are running counts over ranges of key and value (see :func:`running_totals`), so a
+    key may hold any share of the rows.
     """
-    hot = hot_keys(df, keys, rows_per_task)
-    if hot is None:
-        # Null values sort last in the window, so no split of the table is needed.
-        window = Window.partitionBy(*keys).orderBy(
-            F.col(value).asc_nulls_last(), F.col(tie_key).asc_nulls_last()
-        )
-        number = F.row_number().over(window).cast("bigint")
-        return df.withColumn(out, F.when(F.col(value).isNotNull(), number))
-
-    parts = range_count(df.sparkSession, hot.agg(F.sum("_rows")).first()[0])
-    hot = hot.select(*keys)
-    ranked = df.filter(F.col(value).isNotNull())
-    unranked = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast("bigint"))
-    plain = ranked.join(hot, same_keys(ranked, hot, keys), "left_anti")
-    window = Window.partitionBy(*keys).orderBy(value, F.col(tie_key).asc_nulls_last())
-    plain = plain.withColumn(out, F.row_number().over(window).cast("bigint"))
-    large = ranked.join(hot, same_keys(ranked, hot, keys), "left_semi")
-    one = F.lit(1).cast("bigint")
-    large = running_totals(large, keys, [value, tie_key], {out: one}, parts)
-    return plain.unionByName(large).unionByName(unranked)
+    counted = F.col(value).isNotNull().cast("bigint")
+    ranked = running_totals(df, keys, [value, tie_key], {out: counted}, parts)
+    return ranked.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))

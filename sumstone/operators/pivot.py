@@ -1,4 +1,4 @@
-"""Cross-tabs and pivots with a declared list of output columns."""
+"""Cross-tabs and pivots: one output column per category."""
 
 from __future__ import annotations
 
@@ -9,19 +9,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _listed(category: Column, values: Sequence[Any] | None, rest: str | None) -> Column:
+    """``category``, or ``rest`` for one that is not listed; without ``rest`` that is an error."""
+    if values is None:
+        return category
+    known = category.isin(*values) | category.isNull()
+    if rest is None:
+        unlisted = F.raise_error(F.concat(F.lit("category not listed: "), category.cast("string")))
+        return F.when(known, category).otherwise(unlisted)
+    return F.when(known, category.cast("string")).otherwise(F.lit(rest))
+
+
 def crosstab(
     df: DataFrame,
     rows: str,
     columns: str,
-    values: Sequence[Any],
+    values: Sequence[Any] | None = None,
     fill_value: int | None = None,
+    rest: str | None = None,
 ) -> DataFrame:
     """Row counts of two categories; a combination that never occurs is NULL.
 
-    ``values`` names the output columns.  Without it Spark would run a job of its own to find
-    them, and the schema would depend on the data.
+    ``values`` names the output columns; without it a job of its own finds the categories in the
+    data.  Rows of categories that are not listed are counted in the column ``rest``; if that is not
+    named either they stop the job, as they must not vanish.  NULL categories have no column.
     """
-    out = df.groupBy(rows).pivot(columns, list(values)).count()
+    given = df.select(rows, _listed(F.col(columns), values, rest).alias("_category"))
+    named = None if values is None else [*values, *([rest] if rest is not None else [])]
+    out = given.groupBy(rows).pivot("_category", named).count()
+    if values is None and "null" in out.columns:
+        out = out.drop("null")
     return out if fill_value is None else out.na.fill(fill_value)
 
 
@@ -29,17 +46,23 @@ def pivot_aggregate(
     df: DataFrame,
     rows: str,
     bucket: Column,
-    values: Sequence[Any],
+    values: Sequence[Any] | None,
     aggregate: Column,
 ) -> DataFrame:
-    """Pivot any aggregate over a computed bucket; one output column per entry of ``values``."""
-    return (
-        df.withColumn("_bucket", bucket).groupBy(rows).pivot("_bucket", list(values)).agg(aggregate)
-    )
+    """Pivot any aggregate over a computed bucket; one output column per entry of ``values``.
+
+    Without ``values`` the buckets found in the data.  Rows in no listed bucket stop the job.
+    """
+    marked = df.withColumn("_bucket", bucket)
+    if values is not None:
+        known = F.col("_bucket").isin(*values) | F.col("_bucket").isNull()
+        outside = F.raise_error(F.concat(F.lit("bucket not listed: "), F.col("_bucket").cast("string")))
+        marked = marked.withColumn("_bucket", F.when(known, F.col("_bucket")).otherwise(outside))
+    return marked.groupBy(rows).pivot("_bucket", list(values) if values is not None else None).agg(aggregate)
 
 
 def pivot_mean(
-    df: DataFrame, rows: str, bucket: Column, values: Sequence[Any], measure: str
+    df: DataFrame, rows: str, bucket: Column, values: Sequence[Any] | None, measure: str
 ) -> DataFrame:
     """Mean of ``measure`` per row category and bucket."""
     return pivot_aggregate(df, rows, bucket, values, F.avg(measure))

@@ -3,38 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sumstone.operators.ordered import (
-    ROWS_PER_TASK,
-    group_sizes,
-    hot_keys,
-    join_per_group,
-    range_count,
-    running_totals,
-)
-
-# Spark's percentile keeps about 100 bytes per distinct value of a group in one task.
-VALUES_PER_TASK = 1_000_000
-# A table with at most this many groups is small enough to send to every executor.
-BROADCAST_GROUPS = 100_000
-
-
-class _Shape(NamedTuple):
-    groups: int
-    largest: int
-    rows: int
-
-
-def _shape(df: DataFrame, keys: Sequence[str]) -> _Shape:
-    """Number of groups, rows of the largest one and rows of all, in one pass over the keys."""
-    found = group_sizes(df, keys).agg(
-        F.count(F.lit(1)), F.coalesce(F.max("_rows"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))
-    )
-    return _Shape(*found.first())
+from sumstone.operators.ordered import join_per_group, running_totals
 
 
 def quantiles_by(
@@ -43,46 +16,34 @@ def quantiles_by(
     value: str,
     quantiles: dict[str, float],
     approximate: bool = False,
-    rows_per_task: int = VALUES_PER_TASK,
-    shape: _Shape | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation per key, one output column per entry.
 
-    Spark's ``percentile`` holds all distinct values of a group in one task.  It is used while the
-    largest group is small; otherwise values are counted, ordered over ranges, and the values at
-    the wanted positions are picked from the running counts.  ``approximate`` trades exactness for
-    one pass with a fixed-size sketch.
+    Values are counted, ordered over ranges, and those at the wanted positions are picked from the
+    running counts, so no task holds a whole group.  ``approximate`` trades exactness for one pass
+    with a fixed-size sketch.
     """
-    names, probs = list(quantiles), list(quantiles.values())
     if approximate:
         cols = [F.percentile_approx(value, p, 10_000).alias(n) for n, p in quantiles.items()]
         return df.groupBy(*keys).agg(*cols)
-    shape = shape or _shape(df, keys)
-    if shape.largest <= rows_per_task:
-        found = df.groupBy(*keys).agg(
-            F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("_q")
-        )
-        return found.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    parts = range_count(df.sparkSession, shape.rows)
-    return _quantiles_over_ranges(df, keys, value, names, probs, parts)
+    return _picked(_placed(df, keys, value, parts), keys, quantiles)
 
 
-def _quantiles_over_ranges(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    names: list[str],
-    probs: list[float],
-    parts: int,
-) -> DataFrame:
-    # NULL is counted zero times: it has no position, but its group stays.
+def _placed(df: DataFrame, keys: Sequence[str], value: str, parts: int | None) -> DataFrame:
+    """Each distinct value ``_v`` with its count ``_n``, running count ``_upto`` and group ``_size``.
+
+    NULL is counted zero times: it has no position, but its group stays.
+    """
     counts = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_n"))
-    placed = running_totals(
+    return running_totals(
         counts, keys, ["_v"], {"_upto": F.col("_n")}, parts, group_totals={"_upto": "_size"}
     )
 
+
+def _picked(placed: DataFrame, keys: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
     picks: list[Column] = []
-    for i, p in enumerate(probs):
+    for i, p in enumerate(quantiles.values()):
         at = (F.col("_size") - 1) * F.lit(float(p))
         for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             inside = (F.col("_upto") - F.col("_n") <= index) & (index < F.col("_upto"))
@@ -90,7 +51,7 @@ def _quantiles_over_ranges(
     picked = placed.groupBy(*keys).agg(F.max("_size").alias("_size"), *picks)
 
     out = []
-    for i, (name, p) in enumerate(zip(names, probs)):
+    for i, (name, p) in enumerate(quantiles.items()):
         at = (F.col("_size") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}").cast("double"), F.col(f"_hi{i}").cast("double")
         between = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
@@ -103,32 +64,31 @@ def box_stats(
     keys: Sequence[str],
     value: str,
     approximate: bool = False,
-    rows_per_task: int = VALUES_PER_TASK,
+    parts: int | None = None,
 ) -> DataFrame:
     """Quartiles, whiskers and number of outliers per group: the data behind a box plot.
 
     Whiskers are the extreme values within 1.5 times the inter-quartile range of the box; values
-    beyond them are outliers.
+    beyond them are outliers.  The table is read once, to count its values; all else follows from
+    the counts.
     """
-    shape = _shape(df, keys)
     quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    boxes = quantiles_by(df, keys, value, quartiles, approximate, rows_per_task, shape)
-    if shape.groups <= BROADCAST_GROUPS:
-        boxes = F.broadcast(boxes)  # size just counted
-        hot = None
+    placed = _placed(df, keys, value, parts)
+    if approximate:
+        boxes = quantiles_by(df, keys, value, quartiles, approximate=True)
     else:
-        hot = hot_keys(df, keys) if shape.largest > ROWS_PER_TASK else None
-    measured = join_per_group(df.select(*keys, value), boxes, keys, hot)
-    v = F.col(value)
+        boxes = _picked(placed, keys, quartiles)
+    measured = join_per_group(placed.select(*keys, "_v", "_n"), boxes, keys)
+    v, n = F.col("_v"), F.col("_n")
     reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = (v >= low) & (v <= high)
     return measured.groupBy(*keys).agg(
-        F.count(v).alias("n"),
+        F.sum("_n").alias("n"),
         F.max("q1").alias("q1"),
         F.max("median").alias("median"),
         F.max("q3").alias("q3"),
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if((v < low) | (v > high)).alias("outliers"),
+        F.coalesce(F.sum(F.when((v < low) | (v > high), n)), F.lit(0)).alias("outliers"),
     )

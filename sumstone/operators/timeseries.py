@@ -8,9 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sumstone.functions.exact import high_part, joined_parts_fast, low_part, scaled
+from sumstone.functions.exact import high_part, joined_parts_fast, low_part, residual, scaled
 from sumstone.functions.scalar import epoch_micros
-from sumstone.operators.ordered import ROWS_PER_TASK
 
 _SECOND = 1_000_000
 _SLOT_BITS = 20  # a slot is 2^20 microseconds, about one second
@@ -24,29 +23,31 @@ def rolling_mean(
     width: dt.timedelta,
     out: str = "rolling_mean",
     scale: int = 6,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Mean of ``value`` over ``(t - width, t]`` for every row, rows of equal time included.
 
     The sum over a range is the difference of two running sums, so the cost per row does not grow
-    with the width.  Rows of one instant are added up before anything is shuffled.  A table of at
-    most ``rows_per_task`` rows (counted first) takes its running sums from one sorted pass; a
-    larger one from :func:`_running_sums_by_slot`, in which no task sees more than a few million
-    entries.
+    with the width.  Rows of one instant are added up before anything is shuffled, and running sums
+    are taken in three levels of time, in which no task sees more than a few million entries.
 
-    Values are rounded to ``scale`` decimals and added exactly (see ``sumstone.functions.exact``),
-    so nothing is lost in the difference.  A row without time gets NULL, as does a range without
+    The first ``scale`` decimals are added exactly (see ``sumstone.functions.exact``), so nothing is
+    lost in the difference; what a value has beyond them is added as a double.  NaN and infinities
+    count within their own range only.  A row without time gets NULL, as does a range without
     values.
     """
     micros = round(width.total_seconds() * _SECOND)
     keyed = df.withColumn("_t", epoch_micros(df, ts))
     units = scaled(F.col(value), scale)
+    v = F.col(value).cast("double")
     points = (
         keyed.filter(F.col("_t").isNotNull())
         .groupBy("_t")
         .agg(
             F.sum(high_part(units)).alias("_h"),
             F.sum(low_part(units)).alias("_l"),
+            F.sum(F.when(F.abs(v) < _INF, residual(F.col(value), scale))).alias("_r"),
+            F.count_if(v.isNotNull() & ~(v < _INF)).alias("_p"),
+            F.count_if(F.isnan(v) | (v == -_INF)).alias("_m"),
             F.count(value).alias("_n"),
         )
     )
@@ -59,29 +60,26 @@ def rolling_mean(
     start = F.struct(
         (F.col("_t") - F.lit(micros)).alias("_at"),
         F.lit(True).alias("_start"),
-        *[F.lit(0).cast("bigint").alias(c) for c in _SUMS],
+        *[F.lit(0).cast("double" if c == "_r" else "bigint").alias(c) for c in _SUMS],
     )
     entries = points.select(F.col("_t").alias("_for"), F.inline(F.array(own, start)))
 
-    if df.count() <= rows_per_task:
-        by_time = Window.orderBy("_at")
-        upto = entries.select(
-            "_for", "_start", *[F.sum(c).over(by_time).alias(c) for c in _SUMS]
-        )
-    else:
-        upto = _running_sums_by_slot(entries)
+    upto = _running_sums_by_slot(entries)
 
     def in_range(total: str) -> Column:
         at_end = F.max(F.when(~F.col("_start"), F.col(total)))
         return at_end - F.max(F.when(F.col("_start"), F.col(total)))
 
-    total = joined_parts_fast(in_range("_h"), in_range("_l"), scale)
+    total = joined_parts_fast(in_range("_h"), in_range("_l"), scale) + in_range("_r")
+    above, below = in_range("_p") > 0, in_range("_m") > 0
+    total = F.when(above & below, F.lit(float("nan"))).when(above, _INF).when(below, -_INF).otherwise(total)
     mean = F.try_divide(total, in_range("_n").cast("double"))
     ranges = upto.groupBy("_for").agg(mean.alias(out))
     return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
 
 
-_SUMS = ["_h", "_l", "_n"]
+_SUMS = ["_h", "_l", "_n", "_r", "_p", "_m"]
+_INF = float("inf")
 
 
 def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
@@ -153,21 +151,16 @@ def resample(
     width: dt.timedelta,
     aggregates: dict[str, Column],
     bucket: str = "bucket",
-    max_buckets: int = 50_000_000,
 ) -> DataFrame:
     """:func:`tumbling` plus the empty buckets between the first and the last one.
 
     The list of buckets depends on the time span only.  It is laid out in chunks that are spread
-    over the tasks; a span of more than ``max_buckets`` (a wrong date, most likely) stops the job
-    instead of being cut short.
+    over the tasks, so a long span costs rows, not the memory of one task.
     """
     filled = tumbling(df, ts, width, aggregates, bucket="_filled")
     step = width.total_seconds()
-    starts = df.filter(F.col(ts).isNotNull()).select(F.window(ts, _span_text(width)).alias("_w"))
-    ends = starts.agg(F.min("_w.start").alias("_first"), F.max("_w.start").alias("_last"))
-    steps = (F.col("_last") - F.col("_first")).cast("decimal(18,6)") / F.lit(step)
-    sane = F.when(steps >= F.lit(max_buckets), F.raise_error(F.lit("too many time buckets")))
-    chunks = ends.filter(F.coalesce(sane.cast("boolean"), F.lit(True))).select(
+    ends = filled.agg(F.min("_filled").alias("_first"), F.max("_filled").alias("_last"))
+    chunks = ends.select(
         "_last",
         F.explode(F.sequence("_first", "_last", _interval(step * _CHUNK))).alias("_chunk"),
     )

@@ -318,10 +318,10 @@ def rank_in_user(spark, sf):
     return ordinal_rank(events, ["user_id"], "value", "event_id")
 
 
-@register("rank_in_user_over_ranges", "W2 (groups larger than one task)", _RANK_SQL)
+@register("rank_in_user_over_ranges", "W2 (other ranges)", _RANK_SQL)
 def rank_in_user_over_ranges(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "value")
-    return ordinal_rank(events, ["user_id"], "value", "event_id", rows_per_task=70)
+    return ordinal_rank(events, ["user_id"], "value", "event_id", parts=7)
 
 
 @register(

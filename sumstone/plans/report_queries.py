@@ -332,13 +332,33 @@ def crosstab_counts(spark, sf):
     """
     SELECT c_nationkey,
            nullif(count(*) FILTER (WHERE c_mktsegment = 'BUILDING'), 0) AS "BUILDING",
-           nullif(count(*) FILTER (WHERE c_mktsegment = 'NO SUCH SEGMENT'), 0) AS "NO SUCH SEGMENT"
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'NO SUCH SEGMENT'), 0) AS "NO SUCH SEGMENT",
+           nullif(count(*) FILTER (WHERE c_mktsegment NOT IN ('BUILDING', 'NO SUCH SEGMENT')), 0)
+             AS "other"
     FROM customer GROUP BY 1
     """,
 )
 def crosstab_sparse(spark, sf):
     customers = table(spark, sf, "customer")
-    return crosstab(customers, "c_nationkey", "c_mktsegment", ["BUILDING", "NO SUCH SEGMENT"])
+    listed = ["BUILDING", "NO SUCH SEGMENT"]
+    return crosstab(customers, "c_nationkey", "c_mktsegment", listed, rest="other")
+
+
+@register(
+    "crosstab_found_values",
+    "N10 V1",
+    """
+    SELECT c_nationkey,
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE'), 0) AS "AUTOMOBILE",
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'BUILDING'), 0) AS "BUILDING",
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'FURNITURE'), 0) AS "FURNITURE",
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD'), 0) AS "HOUSEHOLD",
+           nullif(count(*) FILTER (WHERE c_mktsegment = 'MACHINERY'), 0) AS "MACHINERY"
+    FROM customer GROUP BY 1
+    """,
+)
+def crosstab_found_values(spark, sf):
+    return crosstab(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment")
 
 
 @register(
@@ -390,7 +410,7 @@ def distinct_values(spark, sf):
 def top_segment_hue(spark, sf):
     customers = table(spark, sf, "customer")
     top = agg.value_counts(customers, "c_mktsegment", 3)
-    kept = in_top(customers, top, "c_mktsegment", 3)
+    kept = in_top(customers, top, "c_mktsegment")
     return agg.histogram(kept, ["c_mktsegment", "c_nationkey"])
 
 
@@ -421,12 +441,10 @@ def box_stats_query(spark, sf):
     return _rounded_boxes(box_stats(table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice"))
 
 
-@register("box_stats_over_ranges", "A17 (groups larger than one task)", _BOX_SQL)
+@register("box_stats_over_ranges", "A17 (other ranges)", _BOX_SQL)
 def box_stats_over_ranges(spark, sf):
     lines = table(spark, sf, "lineitem")
-    return _rounded_boxes(
-        box_stats(lines, ["l_returnflag"], "l_extendedprice", rows_per_task=1_000)
-    )
+    return _rounded_boxes(box_stats(lines, ["l_returnflag"], "l_extendedprice", parts=5))
 
 
 @register(
@@ -539,9 +557,9 @@ _ROLLING_SQL = """
     """
 
 
-def _rolling(spark, sf, **options):
+def _rolling(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "value")
-    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2, **options)
+    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2)
     return rolled.select("event_id", "roll")
 
 
@@ -550,9 +568,9 @@ def rolling_2h(spark, sf):
     return _rolling(spark, sf)
 
 
-@register("rolling_2h_by_slot", "W1 (tables larger than one task)", _ROLLING_SQL)
+@register("rolling_2h_by_slot", "W1", _ROLLING_SQL)
 def rolling_2h_by_slot(spark, sf):
-    return _rolling(spark, sf, rows_per_task=0)
+    return _rolling(spark, sf)
 
 
 @register(

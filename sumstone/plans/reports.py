@@ -288,16 +288,16 @@ def monthly_bytes(traffic: DataFrame) -> DataFrame:
 
 # --- census ---------------------------------------------------------------------------------
 
-INCOMES = ("<=50K", ">50K")
-
 
 def census_clean(census: DataFrame) -> DataFrame:
     """``?`` → NULL in every column, incomplete rows dropped, numeric columns cast."""
     return clean_table(census, "?", CENSUS_NUMERIC)
 
 
-def income_crosstab(cleaned: DataFrame, by: str, incomes: Sequence[str] = INCOMES) -> DataFrame:
-    """Rows per category and income class, one column per class."""
+def income_crosstab(
+    cleaned: DataFrame, by: str, incomes: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows per category and income class, one column per class (those in the data by default)."""
     return crosstab(cleaned, by, "income", incomes)
 
 
@@ -312,7 +312,7 @@ def top_occupations(cleaned: DataFrame, income: str = ">50K", k: int = 10) -> Da
 def workclass_by_income(cleaned: DataFrame, k: int = 7) -> DataFrame:
     """Rows per workclass and income for the ``k`` most frequent workclasses."""
     top = top_workclasses(cleaned, k)
-    return agg.histogram(in_top(cleaned, top, "workclass", k), ["workclass", "income"])
+    return agg.histogram(in_top(cleaned, top, "workclass"), ["workclass", "income"])
 
 
 def income_boxes(cleaned: DataFrame, measure: str) -> DataFrame:

@@ -90,7 +90,7 @@ def test_hot_join_key_is_split(spark, conf):
 def test_rolling_mean_has_one_small_unpartitioned_window(spark):
     events = table(spark, SF_DIR, "events")
     hours = dt.timedelta(hours=2)
-    rolled = rolling_mean(events, "ts", "value", hours, rows_per_task=0)
+    rolled = rolling_mean(events, "ts", "value", hours)
     plan = plan_text(rolled)
     # The single task sees one row per block of time, after an aggregation by block.
     single = plan.split("Exchange SinglePartition")

@@ -87,10 +87,26 @@ def test_nulls_sort_last_both_ways(spark):
 
 def test_crosstab_missing_is_null_or_filled(spark):
     df = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), ("y", "z")], "a string, b string")
-    found = {r.a: (r.p, r.q) for r in crosstab(df, "a", "b", ["p", "q"]).collect()}
-    assert found == {"x": (2, None), "y": (None, 1)}
-    filled = {r.a: (r.p, r.q) for r in crosstab(df, "a", "b", ["p", "q"], 0).collect()}
+    rows = crosstab(df, "a", "b", ["p", "q"], rest="others").collect()
+    assert {r.a: (r.p, r.q, r.others) for r in rows} == {"x": (2, None, None), "y": (None, 1, 1)}
+    filled = {r.a: (r.p, r.q) for r in crosstab(df, "a", "b", ["p", "q"], 0, "others").collect()}
     assert filled == {"x": (2, 0), "y": (0, 1)}
+    assert crosstab(df, "a", "b").columns == ["a", "p", "q", "z"]
+    with pytest.raises(Exception, match="category not listed: z"):
+        crosstab(df, "a", "b", ["p", "q"]).collect()
+    numbers = df.selectExpr("a", "if(b = 'z', NULL, ascii(b)) AS n")
+    assert crosstab(numbers, "a", "n", [112, 113]).columns == ["a", "112", "113"]
+    assert crosstab(numbers, "a", "n").columns == ["a", "112", "113"]
+
+
+def test_sums_lose_no_digit(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert small.agg(exact_sum(F.col("v"))).first()[0] == pytest.approx(4.0, rel=1e-12)
+    odd = spark.createDataFrame([(1e13,), (0.25,), (float("nan"),)], "v double")
+    assert odd.filter("v > 1 AND NOT isnan(v)").agg(exact_sum(F.col("v"), 6)).first()[0] == 1e13
+    assert str(odd.agg(exact_sum(F.col("v"))).first()[0]) == "nan"
+    endless = spark.createDataFrame([(float("inf"),), (1.0,)], "v double")
+    assert endless.agg(exact_sum(F.col("v"), wide=False)).first()[0] == float("inf")
 
 
 def test_cleaning_dotted_names_markers_and_bad_numbers(spark):
@@ -128,14 +144,14 @@ def test_hot_key_lookup_equals_lookup(spark):
     right = spark.range(0, 4_000, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     right = right.unionByName(spark.createDataFrame([(7, 70)], "k long, w long"))
     plain = joins.lookup(left, right, ["k"]).select("k", "n", "w")
-    split = joins.hot_key_lookup(left, right, ["k"], share=0.01).select("k", "n", "w")
+    split = joins.hot_key_lookup(left, right, ["k"]).select("k", "n", "w")
     assert setops.frames_equal(plain, split)
 
 
 def test_in_top_and_orphans(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k string, n int")
     top = agg.value_counts(df, "k", 1)
-    assert rows_of(joins.in_top(df, top, "k", 1).select("k", "n")) == [("a", 1), ("a", 2)]
+    assert rows_of(joins.in_top(df, top, "k").select("k", "n")) == [("a", 1), ("a", 2)]
     dim = spark.createDataFrame([("a",), ("b",)], "key string")
     assert rows_of(joins.orphans(df, dim, "k", "key")) == [("c", 4)]
 
@@ -169,8 +185,8 @@ def test_ratio_to_baseline(spark):
 
 def test_quantiles_of_one_row_and_of_nulls(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", None), (None, 1.0), (None, 2.0)], "k string, v double")
-    for limit in (100, 0):
-        found = quantiles_by(df, ["k"], "v", {"m": 0.5}, rows_per_task=limit)
+    for parts in (None, 1):
+        found = quantiles_by(df, ["k"], "v", {"m": 0.5}, parts=parts)
         assert {r.k: r.m for r in found.collect()} == {"a": 5.0, "b": None, None: 1.5}
 
 
