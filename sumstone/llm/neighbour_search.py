@@ -20,8 +20,9 @@ PROBES = 240
 #: Indexed vectors, and queries, that one group compares.
 BLOCK = 8192
 QUERIES = 4096
-#: Most vectors in the sample that bounds a query's last place from below.
-SAMPLE = 2000
+#: Most vectors in the sample that bounds a query's last place from below, and their share of all.
+SAMPLE = 16_384
+SHARE = 8
 
 _CELLS = 16  # a cell number has four bits
 
@@ -34,7 +35,7 @@ def usable(vector: Column, dim: int | Column) -> Column:
 
 
 def distinct_vectors(df: DataFrame, key: str, vector: str, keep: int) -> DataFrame:
-    """``vid, vector, ids``: each vector once, with its ``keep`` smallest keys in order.
+    """``vid, vector, ids, first``: each vector once, with its ``keep`` smallest keys in order.
 
     More keys of one vector can never be among a query's nearest, so none is lost; ranks are
     limited before rows move, so a vector with very many keys is not gathered.
@@ -43,7 +44,8 @@ def distinct_vectors(df: DataFrame, key: str, vector: str, keep: int) -> DataFra
     rank = F.row_number().over(Window.partitionBy(vector).orderBy(key))
     few = once.withColumn("_rank", rank).filter(F.col("_rank") <= keep)
     ids = F.sort_array(F.collect_list(key)).alias("ids")
-    grouped = few.groupBy(F.col(vector).alias("vector")).agg(ids)
+    first = F.min(key).alias("first")
+    grouped = few.groupBy(F.col(vector).alias("vector")).agg(ids, first)
     return freeze(grouped.withColumn("vid", F.monotonically_increasing_id()), "vectors")
 
 
@@ -109,7 +111,7 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _index_rows(vectors: DataFrame, dim: int, longest: float) -> DataFrame:
-    """``table, code, vid, vector``: each vector in its bucket of each table."""
+    """``table, code, vid, first, vector``: each vector in its bucket of each table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, offsets = projections(dim)
@@ -118,12 +120,16 @@ def _index_rows(vectors: DataFrame, dim: int, longest: float) -> DataFrame:
             for t in range(TABLES):
                 code = codes(cells(x, directions[t], offsets[t]))
                 columns = [pa.array(np.full(len(x), t, np.int32)), pa.array(code)]
-                columns += [batch.column("vid"), batch.column("vector")]
-                yield pa.RecordBatch.from_arrays(columns, ["table", "code", "vid", "vector"])
+                columns += [batch.column(c) for c in ("vid", "first", "vector")]
+                yield pa.RecordBatch.from_arrays(columns, ["table", "code", "vid", "first", "vector"])
 
-    kind = vectors.schema["vector"].dataType.simpleString()
-    schema = f"table int, code long, vid long, vector {kind}"
-    return vectors.select("vid", "vector").mapInArrow(run, schema)
+    return vectors.select("vid", "first", "vector").mapInArrow(
+        run, f"table int, code long, {_kinds(vectors, 'vid', 'first', 'vector')}"
+    )
+
+
+def _kinds(df: DataFrame, *names: str) -> str:
+    return ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
 
 
 def search(
@@ -165,7 +171,7 @@ def search(
         own = counts.filter(pc.equal(counts.column("table"), t))
         size = own.column("count").to_numpy()
         directory.append((own.column("code").to_numpy(), np.cumsum(size) - size, size))
-    wanted = min(SAMPLE, max(1, total // 8))
+    wanted = min(SAMPLE, max(1, total // SHARE))
     sample = vectors.orderBy(F.xxhash64("vid")).limit(wanted).select("vector").toArrow()
     fixed = spark.sparkContext.broadcast((directory, _matrix(sample.column("vector"), dim)))
 
@@ -174,11 +180,11 @@ def search(
     guests = _guests(vectors.join(asked.select("vid").distinct(), "vid", "left_semi"), fixed, dim, kept, chunks)
     group = ["table", "block", "chunk"]
     pairs = hosts.groupBy(*group).cogroup(guests.groupBy(*group)).applyInArrow(
-        _compare(dim), "q long, vid long, score double"
+        _compare(dim), f"q long, score double, {_kinds(vectors, 'vid', 'first')}"
     )
-    best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "_first"))
-    found = pairs.distinct().join(vectors.select("vid", "ids", F.col("ids")[0].alias("_first")), "vid")
-    found = found.withColumn("_rank", best).filter(F.col("_rank") <= kept)
+    best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "first"))
+    found = pairs.distinct().withColumn("_rank", best).filter(F.col("_rank") <= kept)
+    found = found.join(vectors.select("vid", "ids"), "vid")
     found = found.select("q", "score", F.explode("ids").alias("vec_id"))
     first = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     found = freeze(found.withColumn("_rank", first).filter(F.col("_rank") <= kept).drop("_rank"), "found")
@@ -207,8 +213,7 @@ def _hosts(index: DataFrame, fixed, chunks: int) -> DataFrame:
             columns = [*batch.columns, pa.array(block)]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "block"])
 
-    kind = index.schema["vector"].dataType.simpleString()
-    placed = index.mapInArrow(run, f"table int, code long, vid long, vector {kind}, block long")
+    placed = index.mapInArrow(run, f"{_kinds(index, *index.columns)}, block long")
     return placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
 
 
@@ -263,7 +268,8 @@ def _compare(dim: int):
     """Function of one block: its buckets against the queries that visit them."""
 
     def run(hosts: pa.Table, guests: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        out: list[tuple[np.ndarray, ...]] = []
+        first = hosts.column("first").combine_chunks()
         if len(hosts) and len(guests):
             x, q = _matrix(hosts.column("vector"), dim), _matrix(guests.column("vector"), dim)
             vid, asked = hosts.column("vid").to_numpy(), guests.column("vid").to_numpy()
@@ -281,10 +287,10 @@ def _compare(dim: int):
                     some = own[lo : lo + 1024]
                     i, j = np.nonzero(q[at] @ x[some].T >= bound[at][:, None])
                     score = (q[at[i]] * x[some[j]]).sum(axis=1)
-                    out.append((asked[at[i]], vid[some[j]], score))
-        names = ["q", "vid", "score"]
-        if not out:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names)
-        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names)
+                    out.append((asked[at[i]], score, vid[some[j]], some[j]))
+        none = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        q, score, vid, row = (np.concatenate(c) for c in zip(none, *out))
+        columns = [pa.array(q), pa.array(score), pa.array(vid), first.take(pa.array(row))]
+        return pa.table(columns, ["q", "score", "vid", "first"])
 
     return run
