@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from sumstone import build_session
@@ -46,6 +47,7 @@ HEADLINE = [
 
 
 def main() -> None:
+    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="sumstone-bench-")
     cpus = os.environ.get("BENCH_CPUS", "8")
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
@@ -57,6 +59,7 @@ def main() -> None:
         {
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": f"file://{scratch}",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -32,6 +32,7 @@ def main() -> None:
         {
             "spark.sql.shuffle.partitions": str(2 * int(cpus)),
             "spark.driver.memory": "20g",
+            "spark.checkpoint.dir": os.environ["SCALE_SCRATCH"],
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

@@ -27,8 +27,16 @@ def scaled(col: Column, scale: int) -> Column:
 
 
 def residual(col: Column, scale: int) -> Column:
-    """What :func:`scaled` leaves of ``col``; 0 for a value with ``scale`` decimals."""
-    return col.cast("double") - scaled(col, scale).cast("double") / F.lit(float(10**scale))
+    """What :func:`scaled` leaves of ``col``; 0 for a value with ``scale`` decimals.
+
+    A product of such values carries rounding noise of a few units in its last binary place, which
+    is no more than its own precision; it counts as 0, too.
+    """
+    value = col.cast("double")
+    rest = value - scaled(col, scale).cast("double") / F.lit(float(10**scale))
+    finite = F.abs(value) < F.lit(float("inf"))
+    noise = finite & (F.abs(rest) <= F.abs(value) * F.lit(2.0**-50))
+    return F.when(noise, F.lit(0.0)).otherwise(rest)
 
 
 def high_part(units: Column) -> Column:

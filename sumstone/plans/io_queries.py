@@ -124,8 +124,9 @@ def csv_all_text(spark, sf):
 def csv_glob(spark, sf):
     root = scratch_path(spark, "csv")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    for flag in ("F", "O"):
-        chosen = table(spark, sf, "lineitem").filter(F.col("l_linestatus") == flag)
+    done = F.col("l_linestatus") == "F"
+    for flag, part in (("F", done), ("other", ~done | F.col("l_linestatus").isNull())):
+        chosen = table(spark, sf, "lineitem").filter(part)
         writers.write_csv(chosen.select(*lines.columns), f"{root}/batch_{flag}.csv")
     target = scratch_path(spark, "csv")
     schema = "l_orderkey bigint, l_linenumber int, l_extendedprice double"
@@ -133,6 +134,59 @@ def csv_glob(spark, sf):
     return readers.read_csv(spark, target, schema=schema)
 
 
+@register(
+    "csv_documents",
+    "S1 S2 K1 (quotes, commas and line breaks in the text)",
+    "SELECT doc_id, text, lang, source FROM documents",
+)
+def csv_documents(spark, sf):
+    path = scratch_path(spark, "csv")
+    columns = ["doc_id", "text", "lang", "source"]
+    writers.write_csv(spark.read.parquet(f"{sf}/documents.parquet").select(*columns), path)
+    schema = "doc_id bigint, text string, lang string, source string"
+    return readers.read_csv(spark, path, schema=schema, multi_line=True)
+
+
+@register("csv_header_order", "S1 S2 (columns by name)", _ORDERS_SQL)
+def csv_header_order(spark, sf):
+    path = scratch_path(spark, "csv")
+    orders = table(spark, sf, "orders")
+    writers.write_csv(orders.select(*reversed(orders.columns)), path)
+    return readers.read_csv(spark, path, schema=TABLES["orders"])
+
+
+@register(
+    "sql_bound_parameters",
+    "S14",
+    """
+    SELECT l_returnflag, count(*) AS n FROM lineitem
+    WHERE l_quantity > 25 AND l_linestatus = 'O' GROUP BY 1
+    """,
+)
+def sql_bound_parameters(spark, sf):
+    return readers.query(
+        spark,
+        "SELECT l_returnflag, count(*) AS n FROM {lines} "
+        "WHERE l_quantity > :least AND l_linestatus = :status GROUP BY l_returnflag",
+        args={"least": 25, "status": "O"},
+        lines=table(spark, sf, "lineitem"),
+    )
+
+
+@register(
+    "columns_of_orders",
+    "S16",
+    """
+    SELECT * FROM (VALUES (0, 'o_orderkey'), (1, 'o_custkey'), (2, 'o_orderstatus'),
+      (3, 'o_totalprice'), (4, 'o_orderdate'), (5, 'o_orderpriority')) t(position, column_name)
+    WHERE (SELECT count(*) FROM orders) >= 0
+    """,
+)
+def columns_of_orders(spark, sf):
+    columns = readers.schema_table(spark.read.parquet(f"{sf}/orders.parquet"))
+    return columns.select("position", "column_name")
+
+
 @register(
     "csv_sql_view",
     "S3 S4",

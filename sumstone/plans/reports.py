@@ -257,10 +257,12 @@ def top_rejected(
     return agg.top_k(report, "total_mb", k, ["src", "dst"])
 
 
-def executive_dashboard(traffic: DataFrame) -> dict[str, list[dict[str, Any]]]:
-    """Both traffic reports as lists of dicts, ready to be sent as JSON."""
+def executive_dashboard(
+    traffic: DataFrame, actions: Sequence[str] = ("REJECT", "BLOCK", "DROP")
+) -> dict[str, list[dict[str, Any]]]:
+    """Both traffic reports as lists of dicts, ready to be sent as JSON: ten pairs, and a row a month."""
     return {
-        "top_rejects": to_rows(top_rejected(traffic)),
+        "top_rejects": to_rows(top_rejected(traffic, actions)),
         "monthly_traffic": to_rows(monthly_traffic(traffic)),
     }
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
@@ -51,9 +53,8 @@ def read_arrow_ipc(
         for batch in batches:
             for uri, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with _open(uri) as source:
-                    options = pa.ipc.IpcReadOptions(
-                        included_fields=[arrow_schema.get_field_index(c) for c in wanted]
-                    )
+                    names = pa.ipc.open_file(source).schema.names  # files may order them anew
+                    options = pa.ipc.IpcReadOptions(included_fields=[names.index(c) for c in wanted])
                     reader = pa.ipc.open_file(source, options=options)
                     stop = min(start + batches_per_task, reader.num_record_batches)
                     for i in range(start, stop):
@@ -66,19 +67,25 @@ def read_arrow_ipc(
 
 
 def write_arrow_ipc(df: DataFrame, path: str, rows_per_batch: int = 65_536) -> DataFrame:
-    """Write one Arrow IPC file per partition and return a manifest (file, rows).
+    """Write one Arrow IPC file per partition to a new folder and return a manifest (file, rows).
 
-    A task writes under a name of its own attempt and renames at the end, so a task that runs twice
-    leaves one complete file.  The manifest has one row per partition.
+    A folder that exists is refused, so files of two writes never mix.  A task writes under a name of
+    its own attempt and renames at the end, so a task that runs twice leaves one complete file.  The
+    manifest, one row per partition, is stored beside the files.
     """
+    spark = df.sparkSession
     schema = to_arrow_schema(df.schema)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(where):
+        raise FileExistsError(path)
+    path = system.makeQualified(where).toString()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.fs as pafs
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        fs, folder = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        fs, folder = _store(path)
         fs.create_dir(folder, recursive=True)
         final = f"{folder}/part-{task.partitionId():05d}.arrow"
         working = f"{folder}/_attempt-{task.partitionId():05d}-{task.taskAttemptId()}"
@@ -93,12 +100,27 @@ def write_arrow_ipc(df: DataFrame, path: str, rows_per_batch: int = 65_536) -> D
             [pa.array([final], pa.string()), pa.array([rows], pa.int64())], names=["file", "rows"]
         )
 
-    manifest = df.mapInArrow(write, "file string, rows bigint").collect()
-    return df.sparkSession.createDataFrame(manifest, "file string, rows bigint").orderBy("file")
+    listed = f"{path}/_manifest"
+    df.mapInArrow(write, "file string, rows bigint").write.parquet(listed)
+    return spark.read.schema("file string, rows bigint").parquet(listed).orderBy("file")
 
 
-def _open(uri: str):
+def _store(uri: str):
+    """Arrow's file system for a Hadoop URI, and the path in it."""
     import pyarrow.fs as pafs
 
-    fs, inner = pafs.FileSystem.from_uri(uri)
+    for theirs, ours in (("s3a:", "s3:"), ("s3n:", "s3:"), ("dbfs:", "file:///dbfs")):
+        if uri.startswith(theirs):
+            uri = ours + uri[len(theirs) :]
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _open(uri: str):
+    fs, inner = _store(uri)
     return fs.open_input_file(inner)
+
+
+# The helpers travel to the executors with the functions that use them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Quoting of CSV files (RFC 4180), for reading and writing alike.
+DIALECT = {"quote": '"', "escape": '"'}
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -18,15 +23,23 @@ def read_csv(
     date_format: str | None = None,
     timestamp_format: str | None = None,
     all_text: bool = False,
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """CSV with a header line; ``path`` may be a file, a folder, a glob or a list of them.
 
+    Fields are quoted with ``"`` and a quote inside is doubled, as other tools write them; with
+    ``multi_line`` a quoted field may hold line breaks (such a file is read by one task).  A schema
+    names columns of the header, in any order; files read together have one order, or the job stops.
+    A value of the wrong type or a row of the wrong
+    length stops the job; ``mode="PERMISSIVE"`` turns it into NULL instead.
+
     With a schema (preferred for large inputs) the files are read once and only the columns a query
     uses are parsed.  Without one, ``infer`` reads the files a first time to find the types.
-    ``null_marker`` reads as NULL, so that the column can still be a number; ``all_text`` keeps
+    An empty field reads as NULL, quoted or not.  ``null_marker`` reads as NULL, so that the column can still be a number; ``all_text`` keeps
     every column as text.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(**DIALECT, header=True, mode=mode, multiLine=multi_line)
     if null_marker is not None:
         reader = reader.option("nullValue", null_marker)
     if date_format is not None:
@@ -34,15 +47,29 @@ def read_csv(
     if timestamp_format is not None:
         reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return _by_name(reader, path, schema)
     return reader.option("inferSchema", infer and not all_text).csv(path)
 
 
+def _by_name(reader: DataFrameReader, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """Columns of ``schema`` by their names in the header, which is read first (one line)."""
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    header = reader.option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in declared if f.name not in header]
+    if missing:
+        raise ValueError(f"not in the header of {path}: {', '.join(missing)}")
+    kinds = {f.name: f.dataType for f in declared}
+    ordered = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in header])
+    found = reader.schema(ordered).option("enforceSchema", False).csv(path)
+    return found.select(*[F.col(f"`{f.name}`") for f in declared])
+
+
 def csv_view(
     spark: SparkSession, name: str, path: str, schema: str | None = None
 ) -> DataFrame:
     """Make a CSV file a table of the session's SQL under ``name``."""
-    options = "header 'true'" + ("" if schema else ", inferSchema 'true'")
+    options = "header 'true', quote '\"', escape '\"', mode 'FAILFAST'"
+    options += ", enforceSchema 'false'" if schema else ", inferSchema 'true'"
     columns = f" ({schema})" if schema else ""
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY VIEW `{name}`{columns} USING csv "
@@ -96,9 +123,14 @@ def register_files(spark: SparkSession, tables: dict[str, str]) -> None:
         spark.read.parquet(path).createOrReplaceTempView(name)
 
 
-def query(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
-    """SQL over frames passed by name: ``query(spark, "SELECT … FROM {sales}", sales=df)``."""
-    return spark.sql(text, **frames)
+def query(
+    spark: SparkSession, text: str, args: dict[str, Any] | None = None, **frames: DataFrame
+) -> DataFrame:
+    """SQL over frames passed by name: ``query(spark, "SELECT … FROM {sales}", sales=df)``.
+
+    ``args`` binds the values of named parameters (``:least``) without writing them into the text.
+    """
+    return spark.sql(text, args, **frames)
 
 
 def from_columns(spark: SparkSession, columns: dict[str, Sequence], schema: str) -> DataFrame:

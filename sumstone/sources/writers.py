@@ -7,9 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-class ResultTooLarge(ValueError):
-    """A result has more rows than the caller allowed on the driver."""
+from sumstone.sources.readers import DIALECT, read_csv
 
 
 def write_csv(df: DataFrame, path: str, append: bool = False, files: int | None = None) -> None:
@@ -19,7 +17,10 @@ def write_csv(df: DataFrame, path: str, append: bool = False, files: int | None
     """
     if files is not None:
         df = df.repartition(files)
-    df.write.mode("append" if append else "errorifexists").option("header", True).csv(path)
+    # Trailing and leading blanks are content, and an empty text is not a null.
+    plain = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+    writer = df.write.mode("append" if append else "errorifexists")
+    writer.options(**DIALECT, **plain, header=True).csv(path)
 
 
 def write_parquet(
@@ -52,8 +53,6 @@ def compact_csv(
     spark: SparkSession, glob: str, target: str, files: int, schema: str | None = None
 ) -> None:
     """Many CSV files with the same header into ``files`` larger ones."""
-    from sumstone.sources.readers import read_csv
-
     source = read_csv(spark, glob, schema=schema, all_text=schema is None)
     write_csv(source, target, files=files)
 
@@ -80,8 +79,6 @@ def csv_to_parquet(
     level: int | None = 3,
 ) -> DataFrame:
     """Convert CSV to Parquet and report rows, both sizes and their ratio as one row."""
-    from sumstone.sources.readers import read_csv
-
     write_parquet(read_csv(spark, source, schema=schema), target, codec=codec, level=level)
     before = folder_bytes(spark, source).select("bytes").scalar()
     after = folder_bytes(spark, target).select("bytes").scalar()
@@ -93,25 +90,20 @@ def csv_to_parquet(
     ).withColumn("ratio", F.col("csv_bytes") / F.col("parquet_bytes"))
 
 
-def to_rows(df: DataFrame, limit: int = 10_000) -> list[dict[str, Any]]:
-    """A report as a list of dicts, refused when it has more than ``limit`` rows."""
-    rows = df.take(limit + 1)
-    if len(rows) > limit:
-        raise ResultTooLarge(f"more than {limit} rows; write the result instead of collecting it")
-    return [r.asDict() for r in rows]
+def to_rows(df: DataFrame) -> list[dict[str, Any]]:
+    """A report as a list of dicts: for results that are small by construction (a top-k, a total by
+    month); :func:`iterate` hands over others, and the writers store them."""
+    return [r.asDict() for r in df.collect()]
 
 
-def to_pandas(df: DataFrame, limit: int = 1_000_000):
-    """A report as a pandas frame, refused when it has more than ``limit`` rows."""
-    return to_arrow(df, limit).to_pandas()
+def to_pandas(df: DataFrame):
+    """A small report as a pandas frame."""
+    return to_arrow(df).to_pandas()
 
 
-def to_arrow(df: DataFrame, limit: int = 1_000_000):
-    """A report as an Arrow table, refused when it has more than ``limit`` rows."""
-    table = df.limit(limit + 1).toArrow()
-    if table.num_rows > limit:
-        raise ResultTooLarge(f"more than {limit} rows; write the result instead of collecting it")
-    return table
+def to_arrow(df: DataFrame):
+    """A small report as an Arrow table."""
+    return df.toArrow()
 
 
 def iterate(df: DataFrame):

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sumstone.sources.readers import DIALECT
+
 
 def read_file_stream(
     spark: SparkSession,
@@ -25,7 +27,7 @@ def read_file_stream(
     """A folder of files as a stream; ``file_glob`` selects files by name."""
     reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**DIALECT, header=True, mode="FAILFAST", enforceSchema=False)
     if file_glob is not None:
         reader = reader.option("pathGlobFilter", file_glob)
     if files_per_batch is not None:

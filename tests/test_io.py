@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -142,11 +143,11 @@ def test_arrow_write_leaves_whole_files_only(spark, tmp_path):
     target = tmp_path / "out"
     manifest = arrow_ipc.write_arrow_ipc(df, str(target), rows_per_batch=100)
     assert manifest.agg(F.sum("rows")).first()[0] == 1_000
-    files = sorted(p.name for p in target.iterdir())
+    files = sorted(p.name for p in target.iterdir() if not p.name.startswith("_"))
     assert files == [f"part-{i:05d}.arrow" for i in range(4)]
     assert pa.ipc.open_file(target / files[0]).num_record_batches >= 3
-    again = arrow_ipc.write_arrow_ipc(df, str(target), rows_per_batch=100)
-    assert rows_of(again) == rows_of(manifest)
+    with pytest.raises(FileExistsError):
+        arrow_ipc.write_arrow_ipc(df.limit(10), str(target))
     assert arrow_ipc.read_arrow_ipc(spark, str(target)).distinct().count() == 1_000
 
 
@@ -175,3 +176,31 @@ def test_local_columns_and_bound_frames(spark):
     assert spark.table("local_rows").count() == 2
     with pytest.raises(ValueError):
         readers.from_columns(spark, {"a": [1], "b": []}, "a int, b int")
+
+
+ODD_TEXTS = [
+    (1, 'say "hi", ok'), (2, "two\nlines"), (3, "a\\b"), (4, ""), (5, None), (6, ' blank '), (7, '"'), (8, ",,"),
+]
+
+
+def test_csv_of_quotes_and_line_breaks_is_read_by_others_too(spark, tmp_path):
+    df = spark.createDataFrame(ODD_TEXTS, "a int, t string").coalesce(1)
+    writers.write_csv(df, str(tmp_path / "odd"))
+    back = readers.read_csv(spark, str(tmp_path / "odd"), schema="a int, t string", multi_line=True)
+    assert rows_of(back) == rows_of(df.replace({"": None}, subset=["t"]))
+    rows = duckdb.sql(f"SELECT * FROM read_csv('{tmp_path}/odd/*.csv', header = true)").fetchall()
+    assert sorted(rows, key=lambda r: r[0]) == [(a, t or None) for a, t in ODD_TEXTS]
+
+
+def test_csv_columns_go_by_name_and_bad_rows_stop_the_job(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("b,a,c\n1,10,z\n")
+    schema = "a int, b int"
+    assert rows_of(readers.read_csv(spark, str(tmp_path / "x.csv"), schema=schema)) == [(10, 1)]
+    with pytest.raises(ValueError, match="not in the header"):
+        readers.read_csv(spark, str(tmp_path / "x.csv"), schema="a int, d int")
+    for bad in ("a,b\n1,xx\n", "a,b\n1\n"):
+        (tmp_path / "bad.csv").write_text(bad)
+        with pytest.raises(Exception, match="MALFORMED|malformed"):
+            readers.read_csv(spark, str(tmp_path / "bad.csv"), schema=schema).collect()
+        kept = readers.read_csv(spark, str(tmp_path / "bad.csv"), schema=schema, mode="PERMISSIVE")
+        assert rows_of(kept) == [(1, None)]
