@@ -8,8 +8,6 @@ it goes through a shuffled join whose hot partitions adaptive execution splits.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,20 +43,6 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"not a many-to-one join: {key} occurs {twice[0]['_n']} times")
 
 
-def one_name_per_key(dimensions: Sequence[tuple[DataFrame, str]]) -> bool:
-    """Whether in every ``(dimension, key)`` keys and the remaining columns are unique.
-
-    One job over all dimensions; only the count of violations reaches the driver.
-    """
-    repeated = []
-    for dim, key in dimensions:
-        names = [c for c in dim.columns if c != key]
-        for columns in ([key], names):
-            counts = dim.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-            repeated.append(counts.filter("_n > 1").select("_n"))
-    return reduce(DataFrame.union, repeated).isEmpty()
-
-
 def lookup(
     left: DataFrame, right: DataFrame, keys: Sequence[str], check_unique: bool = True
 ) -> DataFrame:

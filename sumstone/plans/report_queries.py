@@ -81,6 +81,66 @@ def revenue_by_flag(spark, sf):
     return reports.revenue_by(lines, "l_returnflag", "l_extendedprice", "l_quantity", scale=2)
 
 
+@register(
+    "star_report_sales",
+    "N3 J1 A10 O1",
+    """
+    SELECT cast(year(o_orderdate) AS int) AS "CalendarYear", c_mktsegment AS "County",
+           c_name AS "StoreName", s_name AS "VendorName", n_name AS "CategoryName",
+           p_brand AS "ItemName",
+           cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) AS total_sales,
+           cast(sum(l_quantity) AS bigint) AS bottles_sold,
+           cast(sum(cast(l_discount AS decimal(18,4))) AS double) AS volume_liters,
+           cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) / count(l_extendedprice)
+             AS avg_retail,
+           cast(sum(cast(l_tax AS decimal(18,2))) AS double) / count(l_tax) AS avg_cost,
+           count(l_linenumber) AS transactions
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    JOIN part ON l_partkey = p_partkey
+    JOIN supplier ON l_suppkey = s_suppkey
+    JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON s_nationkey = n_nationkey
+    WHERE year(o_orderdate) >= 1998
+    GROUP BY ALL
+    """,
+)
+def star_report_sales(spark, sf):
+    """The six-table report of the sales star, with the test tables in the places of its tables."""
+    day = F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("DateID")
+    orders = table(spark, sf, "orders")
+    dates = orders.select(day, F.year("o_orderdate").alias("CalendarYear")).distinct()
+    orders = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", day)
+    suppliers = table(spark, sf, "supplier")
+    nation = suppliers.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    lines = table(spark, sf, "lineitem").join(orders, "l_orderkey").join(nation, "l_suppkey")
+    sales = lines.select(
+        F.col("l_linenumber").alias("ID"),
+        "DateID",
+        F.col("o_custkey").alias("StoreID"),
+        F.col("l_suppkey").alias("VendorID"),
+        F.col("s_nationkey").alias("CategoryID"),
+        F.col("l_partkey").alias("ItemID"),
+        F.col("l_extendedprice").alias("SaleDollars"),
+        F.col("l_quantity").cast("bigint").alias("BottlesSold"),
+        F.col("l_discount").alias("VolumeSoldLiters"),
+        F.col("l_extendedprice").alias("StateBottleRetail"),
+        F.col("l_tax").alias("StateBottleCost"),
+    )
+    named = {
+        "nation": ("n_nationkey", "CategoryID", {"n_name": "CategoryName"}),
+        "customer": ("c_custkey", "StoreID", {"c_mktsegment": "County", "c_name": "StoreName"}),
+        "supplier": ("s_suppkey", "VendorID", {"s_name": "VendorName"}),
+        "part": ("p_partkey", "ItemID", {"p_brand": "ItemName"}),
+    }
+    dims = {
+        name: table(spark, sf, name).withColumnsRenamed({key: id_, **names})
+        for name, (key, id_, names) in named.items()
+    }
+    return reports.star_report(
+        sales, dims["nation"], dates, dims["customer"], dims["supplier"], dims["part"], 1998
+    )
+
+
 @register(
     "sum_small_values",
     "A1 A2",

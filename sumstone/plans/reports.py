@@ -34,7 +34,7 @@ from sumstone.functions.scalar import (
 from sumstone.operators import aggregate as agg
 from sumstone.operators.clean import clean_table
 from sumstone.operators.filters import all_of, among, on_or_after
-from sumstone.operators.joins import in_top, lookup, one_name_per_key, star_join
+from sumstone.operators.joins import in_top, lookup, star_join
 from sumstone.operators.ordered import ordinal_rank
 from sumstone.operators.pivot import crosstab, pivot_mean
 from sumstone.operators.quantiles import box_stats
@@ -149,8 +149,8 @@ def star_report(
     """Sales by year, county, store, vendor, category and item from ``from_year`` on, sorted.
 
     Facts are filtered through the calendar and aggregated by their integer keys; names are
-    attached to the aggregated rows, so the shuffle carries numbers only.  Where a dimension gives
-    one name to several keys (or repeats a key), the sums are added up once more by name, which
+    attached to the aggregated rows, so the large shuffle carries numbers only.  As a dimension may
+    give one name to several keys, or repeat a key, the sums are added up once more by name, which
     is the same as grouping the joined facts by name.
     """
     dates = date.filter(F.col("CalendarYear") >= from_year).select("DateID", "CalendarYear")
@@ -172,11 +172,10 @@ def star_report(
         "transactions": F.count("ID"),
     }
     facts = star_join(sales, [(dates, "DateID", "DateID")])
-    named = agg.grouped(facts, ["CalendarYear", *ids], sums)
-    named = star_join(named, [(dim, key, key) for dim, key in dims])
+    totals = agg.grouped(facts, ["CalendarYear", *ids], sums)
+    named = star_join(totals, [(dim, key, key) for dim, key in dims])
     keys = ["CalendarYear", "County", "StoreName", "VendorName", "CategoryName", "ItemName"]
-    if not one_name_per_key(dims):
-        named = agg.grouped(named, keys, {c: F.sum(c) for c in sums})
+    named = agg.grouped(named, keys, {c: F.sum(c) for c in sums})
     report = named.select(
         *keys,
         (F.col("total_sales") / 100.0).alias("total_sales"),
