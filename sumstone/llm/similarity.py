@@ -10,10 +10,12 @@ compared shingle by shingle.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,10 @@ TREE = 1 << 21
 BITS = 2048
 FANOUT = 16
 #: Chance that a pair at the threshold shares no hash class that holds a shingle.
-MISS = 1e-12
+MISS = 1e-10
+
+#: Bits of the filter that keeps most texts without a candidate from being moved.
+FILTER = 1 << 26
 
 _CHUNK = 1 << 20
 
@@ -82,38 +87,56 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def brackets(size: int, num: int, den: int) -> list[tuple[int, int, int]]:
-    """Size brackets in which a set of ``size`` meets others: ``number, classes, rounds``.
+@functools.cache
+def bracket_plan(number: int, num: int, den: int) -> tuple[int, int]:
+    """Hash classes of a size bracket, and how often shingles are dealt to them.
+
+    Two sets of a bracket that link differ in ``d`` shingles at most.  With ``d + 1`` classes one is
+    the same in both; with fewer, but not too few, one is all but surely, and holds more shingles,
+    so that unlike sets seldom agree in it.  The fewest are taken for which a pair at the threshold
+    shares no class that holds a shingle with a chance of at most ``MISS``: each class stays clear
+    of a difference with the chance ``(1 - 1/m)^d``, and is empty with ``(1 - 1/m)^n``.  Small sets
+    are dealt anew until that holds.
+    """
+    step = 3 * math.log(den / num)
+    most = math.floor(math.exp(step * (number + 1))) + 1
+    fewest = max(1, math.floor(math.exp(step * number)) * num // den)
+    differ = 2 * most * (den - num) // (den + num)
+
+    def lost(m: int) -> float:
+        empty = (1 - 1 / m) ** fewest
+        chance = (1 - (1 - 1 / m) ** differ * (1 - empty)) ** m
+        return min(chance, m * empty) if m > differ else chance
+
+    if lost(differ + 1) > MISS:
+        often = math.ceil(math.log(MISS) / math.log(min(lost(differ + 1), 0.5)))
+        return differ + 1, often
+    low, high = 1, differ + 1
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if lost(middle) <= MISS else (middle, high)
+    return high, 1
+
+
+def brackets(size: int, num: int, den: int) -> list[int]:
+    """Numbers of the size brackets in which a set of ``size`` meets others.
 
     Bracket borders grow by the cube of the least ratio of similar sizes.  A set meets those of its
-    own bracket, and those of the next one if it is large enough for the smallest there.  Two sets
-    of a bracket that link differ in ``d`` shingles at most, so one of ``d + 1`` hash classes is the
-    same in both.  A class that is empty in both would bring unlike sets together and is left out;
-    the dealing is repeated so often that a pair is missed with a chance of at most ``MISS``.
+    own bracket, and those of the next one if it is large enough for the smallest there.
     """
     step = 3 * math.log(den / num)
     own = int(math.log(size) / step + 1e-9)
-    out = []
-    for number in (own, own + 1):
-        least = math.exp(step * number)
-        if number > own and size * den < num * (math.floor(least) - 1):
-            continue
-        most = math.floor(math.exp(step * (number + 1))) + 1
-        classes = 2 * most * (den - num) // (den + num) + 1
-        empty = (1 - 1 / classes) ** (size * num // den) if classes > 1 else 0.0
-        lost = min(classes * empty, (1 - (1 - empty) / math.e) ** classes)
-        rounds = 1 if lost <= MISS else math.ceil(math.log(MISS) / math.log(min(lost, 0.5)))
-        out.append((number, classes, rounds))
-    return out
+    least = math.floor(math.exp(step * (own + 1))) - 1
+    return [own, own + 1] if size * den >= num * least else [own]
 
 
 def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
     """Digests of the non-empty hash classes of a set, in each bracket in which it meets others."""
     out = []
     low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
-    for number, classes, rounds in brackets(len(hashes), num, den):
-        # The fewer rounds of two sets are those of the larger, which reckons with smaller partners.
-        for turn in range(rounds):
+    for number in brackets(len(hashes), num, den):
+        classes, often = bracket_plan(number, num, den)
+        for turn in range(often):
             deal = mixed(hashes + np.uint64(turn * 0x9E3779B9 + 1)) % np.uint64(classes)
             deal = deal.astype(np.int64)
             held = np.bincount(deal, minlength=classes)
@@ -342,6 +365,7 @@ def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: i
             yield batch.filter(pa.array(keep)).select(["node", "family", "trees", text])
 
     given = docs.select(F.col(key).alias("_key"), text)
+    given = given.filter(_filter_of(members.select("_first"))(F.xxhash64("_key")))
     found = given.join(members, F.col("_key").eqNullSafe(F.col("_first")))
     found = found.select("node", "family", "trees", "d1", "d2", text)
     kind = f"node long, family long, trees long, {text} string"
@@ -350,6 +374,28 @@ def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: i
     return found.mapInArrow(check, kind)
 
 
+def _filter_of(keys: DataFrame):
+    """Function of a key's hash: false only if the key is not among ``keys``.
+
+    One bit a key in a bitmap of fixed size, built where the keys are.  With very many keys it lets
+    more through; the join after it decides.
+    """
+    bit = F.pmod(F.xxhash64(*keys.columns), F.lit(FILTER))
+    flag = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
+    word = keys.select(F.shiftright(bit, 5).alias("w"), flag.alias("b"))
+    words = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most FILTER / 32 rows
+    bitmap = np.zeros(FILTER // 32, np.uint32)
+    bitmap[words.column("w").to_numpy()] = words.column("b").to_numpy()
+    shared = keys.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        at = hashes.to_numpy(np.int64) % FILTER
+        return pd.Series(shared.value[at >> 5] >> (at & 31).astype(np.uint32) & 1 == 1)
+
+    return maybe
+
+
 def _visits(crowd: DataFrame, links: DataFrame, plant, text: str, tree: int) -> DataFrame:
     """Links between the trees of a family: who is not in its largest group visits each other tree."""
     roots = components(links, "node", "root").withColumnRenamed("root", "joined")
