@@ -51,10 +51,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def worker_state(name: str) -> dict:
-    """A dict that lives as long as the Python worker, whatever task asks for it."""
+def worker_state(name: str, large: bool = False) -> dict:
+    """A dict that lives as long as the Python worker, whatever task asks for it.
+
+    Of ``large`` ones only the last that was asked for is kept: a worker that serves several stages
+    does not hold the tables of all of them.
+    """
     module = sys.modules.setdefault("_sumstone_worker", types.ModuleType("_sumstone_worker"))
-    return module.__dict__.setdefault(name, {})
+    states = module.__dict__.setdefault("states", {})
+    if large:
+        for other in [k for k, (_, big) in states.items() if big and k != name]:
+            del states[other]
+    return states.setdefault(name, ({}, large))[0]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

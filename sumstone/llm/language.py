@@ -157,7 +157,7 @@ def identify(docs: DataFrame, text: str, model: dict, carry: list[str] | None =
     version = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = worker_state("language")
+        state = worker_state("language", large=True)
         if version not in state:
             state.clear()
             state[version] = cost_table(frozen.value)

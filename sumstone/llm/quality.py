@@ -22,6 +22,8 @@ from sumstone.llm.common import (
 
 #: Labelled rows that the classifier is fitted on, about.
 SAMPLE = 20_000
+#: Parts of the sample that are left out in turn to learn how margins become chances.
+FOLDS = 3
 #: Hash buckets of lower-cased words.
 WORDS = 1 << 16
 #: Form codes of a word: repeats its predecessor or not, case, ending.
@@ -187,13 +189,20 @@ def fit(
                 {"weight": [b""], "ratio": [b""], "slope": [0.0], "offset": [constant]}
             )
             return
-        ratio = log_count_ratios(ids, label).astype(np.float32).astype(np.float64)
-        held = np.arange(len(ids)) % 5 == 0 if len(ids) >= 50 else np.ones(len(ids), bool)
-        rest = np.flatnonzero(~held) if len(ids) >= 50 else np.arange(len(ids))
-        weight = dual_descent([ids[i] for i in rest], label[rest], ratio)
-        norm = [max(1e-12, np.sqrt((ratio[own] ** 2).sum())) for own in ids]
-        margin = np.array([(weight * ratio)[own].sum() / n for own, n in zip(ids, norm)])
-        slope, offset = sigmoid_of_margins(margin[held], label[held])
+        margin = np.zeros(len(ids))
+        for fold in range(FOLDS):  # margins of rows that the fitted weights have not seen
+            seen = np.flatnonzero(np.arange(len(ids)) % FOLDS != fold)
+            if len(set(label[seen].tolist())) < 2:
+                seen = np.arange(len(ids))
+            rest = [ids[i] for i in seen]
+            ratio = log_count_ratios(rest, label[seen])
+            weight = dual_descent(rest, label[seen], ratio)
+            for i in range(fold, len(ids), FOLDS):
+                length = max(1e-12, np.sqrt((ratio[ids[i]] ** 2).sum()))
+                margin[i] = weight[ids[i]] @ ratio[ids[i]] / length
+        slope, offset = sigmoid_of_margins(margin, label)
+        ratio = log_count_ratios(ids, label)
+        weight = dual_descent(ids, label, ratio)
         yield pa.RecordBatch.from_pydict(
             {
                 "weight": [weight.astype("<f4").tobytes()],

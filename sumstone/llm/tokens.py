@@ -32,7 +32,7 @@ def _byte_letters() -> dict[int, str]:
 
 def open_tokenizer(path: str) -> dict:
     """The tokenizer at ``path`` with its word store, opened once a worker."""
-    state = worker_state("tokens")
+    state = worker_state("tokens", large=True)
     if path not in state:
         from tokenizers import Tokenizer
 
