@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sumstone.functions.calendar import date_key
@@ -203,12 +203,19 @@ def micro_dimension(ids: DataFrame, id: str = "id") -> DataFrame:
     return ids.select(n.cast("int").alias("id"), (n % 17).cast("float").alias("weight"))
 
 
+def inserted(n: Column) -> Column:
+    """Load time of a generated row: the seconds of one day in turn, without zone."""
+    start = F.to_timestamp_ntz(F.lit("2025-01-01 00:00:00"))
+    return (start + F.make_dt_interval(secs=n % 86_400)).alias("Inserted")
+
+
 def dim_category(ids: DataFrame, id: str = "id") -> DataFrame:
     n = F.col(id).cast("bigint")
     group = F.floor(n / len(SPIRIT_TYPES)) + 1
     return ids.select(
         (n + FIRST_CATEGORY).alias("CategoryID"),
         labelled(pick(SPIRIT_TYPES, n), " TYPE-", group).alias("CategoryName"),
+        inserted(n),
     )
 
 
@@ -229,6 +236,7 @@ def dim_store(ids: DataFrame, id: str = "id") -> DataFrame:
         code.cast("bigint").alias("ZipCode"),
         county.alias("County"),
         point.alias("StoreLocation"),
+        inserted(n),
     )
 
 
@@ -237,13 +245,15 @@ def dim_vendor(ids: DataFrame, id: str = "id") -> DataFrame:
     return ids.select(
         (n + FIRST_VENDOR).alias("VendorID"),
         labelled(pick(VENDOR_NAMES, n), " #", n + 1).alias("VendorName"),
+        inserted(n),
     )
 
 
 def dim_item(ids: DataFrame, id: str = "id") -> DataFrame:
     n = F.col(id).cast("bigint")
     item = n + FIRST_ITEM
-    return ids.select(item.alias("ItemID"), labelled(ITEM_LABEL, item).alias("ItemName"))
+    name = labelled(ITEM_LABEL, item).alias("ItemName")
+    return ids.select(item.alias("ItemID"), name, inserted(n))
 
 
 def fact_sales(ids: DataFrame, id: str = "id") -> DataFrame:
@@ -275,7 +285,8 @@ def fact_sales(ids: DataFrame, id: str = "id") -> DataFrame:
         litres.alias("VolumeSoldLiters"),
         F.round(litres * F.lit(GALLONS_PER_LITRE), 4).alias("VolumeSoldGallons"),
     )
-    return drawn.withColumn("PartitionKeyYear", year_of_date_key(F.col("DateID")))
+    dated = drawn.withColumn("PartitionKeyYear", year_of_date_key(F.col("DateID")))
+    return dated.withColumn("Inserted", inserted(F.col("ID")))
 
 
 def traffic(ids: DataFrame, id: str = "id", year: int = 2024) -> DataFrame:

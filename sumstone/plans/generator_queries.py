@@ -169,7 +169,7 @@ def gen_micro(spark, sf):
     f"""
     SELECT c_custkey + 1000 AS "CategoryID",
            ({_list(gen.SPIRIT_TYPES)})[(c_custkey % 15 + 1)::int] || ' TYPE-' || (c_custkey // 15 + 1)
-             AS "CategoryName"
+             AS "CategoryName", TIMESTAMP '2025-01-01' + (c_custkey % 86400) * INTERVAL 1 SECOND AS "Inserted"
     FROM customer
     """,
 )
@@ -189,7 +189,8 @@ def _city(i: int) -> str:
            'Store #' || (c_custkey + 2000) || ' - ' || {_city(0)} AS "StoreName",
            (((c_custkey + 2000) * 17) % 9000 + 100) || ' Main St' AS "Address",
            {_city(0)} AS "City", cast({_city(2)} AS bigint) AS "ZipCode", {_city(1)} AS "County",
-           printf('POINT(%.4f %.4f)', {_city(3)}::double, {_city(4)}::double) AS "StoreLocation"
+           printf('POINT(%.4f %.4f)', {_city(3)}::double, {_city(4)}::double) AS "StoreLocation",
+           TIMESTAMP '2025-01-01' + (c_custkey % 86400) * INTERVAL 1 SECOND AS "Inserted"
     FROM customer
     """,
 )
@@ -202,7 +203,8 @@ def gen_dim_store(spark, sf):
     "G7 P19 P22",
     f"""
     SELECT s_suppkey + 500 AS "VendorID",
-           ({_list(gen.VENDOR_NAMES)})[(s_suppkey % 12 + 1)::int] || ' #' || (s_suppkey + 1) AS "VendorName"
+           ({_list(gen.VENDOR_NAMES)})[(s_suppkey % 12 + 1)::int] || ' #' || (s_suppkey + 1) AS "VendorName",
+           TIMESTAMP '2025-01-01' + (s_suppkey % 86400) * INTERVAL 1 SECOND AS "Inserted"
     FROM supplier
     """,
 )
@@ -214,7 +216,8 @@ def gen_dim_vendor(spark, sf):
     "gen_dim_item",
     "G7 P19",
     f"""
-    SELECT p_partkey + 100000 AS "ItemID", '{gen.ITEM_LABEL}' || (p_partkey + 100000) AS "ItemName"
+    SELECT p_partkey + 100000 AS "ItemID", '{gen.ITEM_LABEL}' || (p_partkey + 100000) AS "ItemName",
+           TIMESTAMP '2025-01-01' + (p_partkey % 86400) * INTERVAL 1 SECOND AS "Inserted"
     FROM part
     """,
 )
@@ -243,7 +246,8 @@ _LITRES = f"({_choice(_K, 7, gen.BOTTLE_VOLUMES)} * {_BOTTLES} / 1000.0::double)
            {_RETAIL} / 100.0::double AS "StateBottleRetail", cast({_BOTTLES} AS int) AS "BottlesSold",
            {_RETAIL} * {_BOTTLES} / 100.0::double AS "SaleDollars", {_LITRES} AS "VolumeSoldLiters",
            round({_LITRES} * {gen.GALLONS_PER_LITRE}::double, 4) AS "VolumeSoldGallons",
-           cast(year({_DAY}) AS int) AS "PartitionKeyYear"
+           cast(year({_DAY}) AS int) AS "PartitionKeyYear",
+           TIMESTAMP '2025-01-01' + ({_K} % 86400) * INTERVAL 1 SECOND AS "Inserted"
     FROM orders
     """,
 )

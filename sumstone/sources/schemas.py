@@ -50,7 +50,7 @@ TRAFFIC = (
     "timestamp timestamp_ntz, year int, month smallint, day smallint, src bigint, dst bigint, "
     "src_port int, dst_port int, protocol string, act string, byt bigint"
 )
-# The nanosecond column ``Inserted`` of these files is left out on purpose: no report uses it.
+# The column ``Inserted`` of these files is left out on purpose: no report uses it.
 FACT_SALES = (
     "ID bigint, InvoiceItemNumber string, DateID int, StoreID int, CategoryID int, VendorID int, "
     "ItemID int, Pack int, BottleVolumeMl int, StateBottleCost double, StateBottleRetail double, "

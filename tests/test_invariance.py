@@ -180,7 +180,7 @@ def test_star_report_with_and_without_broadcast(spark, conf):
 
     bounds = spark.sql("SELECT DATE'2012-01-01' AS lo, DATE'2026-12-31' AS hi")
     inputs = [
-        gen.fact_sales(row_numbers(spark, 3_000)).withColumn("Inserted", F.current_timestamp()),
+        gen.fact_sales(row_numbers(spark, 3_000)),
         gen.dim_category(row_numbers(spark, 300)),
         calendar_between(bounds, "lo", "hi"),
         gen.dim_store(row_numbers(spark, 2_500)),
