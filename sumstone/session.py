@@ -21,7 +21,7 @@ DEFAULTS: dict[str, str] = {
     "spark.sql.csv.filterPushdown.enabled": "true",
 }
 
-# Streaming state on disk, for incremental aggregates with more keys than fit in memory.
+# Streaming state on disk, as incremental aggregates may have more keys than fit in memory.
 LARGE_STATE: dict[str, str] = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,11 +34,11 @@ def build_session(
     app_name: str = "sumstone",
     master: str | None = None,
     conf: dict[str, str] | None = None,
-    large_state: bool = False,
+    large_state: bool = True,
 ) -> SparkSession:
     """Return a session with the defaults above; ``conf`` wins over them.
 
-    ``large_state`` keeps the state of streaming aggregates on disk.
+    The state of streaming aggregates is kept on disk, or in memory without ``large_state``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:

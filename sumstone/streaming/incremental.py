@@ -39,12 +39,14 @@ def complete_result(stream: DataFrame, target: str, checkpoint: str) -> DataFram
     """Run an aggregated stream over all available input and return its whole result.
 
     Every batch writes the complete result to a folder named after the batch number, so a batch
-    that is repeated after a failure overwrites itself; the last folder is the answer.  Nothing
-    passes through the driver.
+    that is repeated after a failure overwrites itself; the last folder is the answer.  The one
+    before it is kept until the next batch is written, older ones go.  Nothing passes through the
+    driver.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        _remove(batch.sparkSession, f"{target}/batch={number - 2}")
 
     _finish(
         stream.writeStream.outputMode("complete")
@@ -113,10 +115,18 @@ def convert_stream(
     """Copy a file stream to another format, each input row exactly once."""
     writer = stream.writeStream.outputMode("append").format(fmt).option("path", target)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**DIALECT, header=True)
     _finish(writer.option("checkpointLocation", checkpoint).trigger(availableNow=True))
     reader = stream.sparkSession.read.schema(stream.schema).format(fmt)
-    return (reader.option("header", True) if fmt == "csv" else reader).load(target)
+    if fmt == "csv":
+        reader = reader.options(**DIALECT, header=True, mode="FAILFAST", enforceSchema=False)
+    return reader.load(target)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Drop a result of this module that a later one has replaced."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _finish(writer) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,7 +20,14 @@ FIVE = dt.timedelta(minutes=5)
 SCHEMA = "ts timestamp_ntz, v double"
 
 
-@pytest.mark.parametrize("options", [{}, LARGE_STATE])
+IN_MEMORY = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    )
+}
+
+
+@pytest.mark.parametrize("options", [IN_MEMORY, LARGE_STATE])
 def test_many_files_equal_one_batch_and_restart_adds_nothing(spark, conf, options):
     for key, value in options.items():
         conf(key, value)
@@ -42,6 +50,7 @@ def test_many_files_equal_one_batch_and_restart_adds_nothing(spark, conf, option
     assert run() == wanted
     orders.write.mode("append").parquet(source)
     assert run() == [(s, 2 * n, top) for s, n, top in wanted]
+    assert len(os.listdir(target)) <= 2
 
 
 def test_late_rows_are_dropped_and_open_windows_held_back(spark):
