@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -65,8 +66,21 @@ def worker_state(name: str, large: bool = False) -> dict:
     return states.setdefault(name, ({}, large))[0]
 
 
+def give_back() -> None:
+    """Return memory that earlier batches and stages freed to the system.
+
+    A worker shares its executor's memory with a JVM; what its allocators keep for later is missing
+    there.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and row offsets of a text column; null counts as empty."""
+    """Bytes and row offsets of a text column of a new batch; null counts as empty."""
+    give_back()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_binary())

@@ -11,12 +11,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sumstone.llm.common import joined, lower_ascii, row_ranges, text_bytes, worker_state
+from sumstone.llm.common import (
+    give_back,
+    joined,
+    lower_ascii,
+    row_ranges,
+    text_bytes,
+    worker_state,
+)
 
 #: Longest context, in bytes.
 ORDER = 3
 #: Symbols of the context trees: the most frequent bytes, and one symbol for all others.
-SYMBOLS = 48
+SYMBOLS = 40
 #: Training documents per language, about: the bound of the sample that is counted.
 SAMPLE = 3000
 UNDETERMINED = "und"
@@ -103,16 +110,20 @@ def code_lengths(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
     while levels[-1].ndim > 1:
         levels.append(levels[-1].sum(axis=0))
     share = np.full((SYMBOLS,), 1.0 / SYMBOLS, np.float32)
-    for level in reversed(levels):
+    while levels:
+        level = levels.pop()
+        seen = level > 0
         total = level.sum(axis=-1, keepdims=True)
-        kinds = (level > 0).sum(axis=-1, keepdims=True).astype(np.float32)
+        kinds = seen.sum(axis=-1, keepdims=True).astype(np.float32)
         room = np.maximum(total + kinds, 1)
         escape = np.where(total > 0, kinds / room, 1).astype(np.float32)
-        lower = share if level.ndim == 1 else np.broadcast_to(share, level.shape)
-        share = np.where(level > 0, level / room, escape * lower).astype(np.float32)
-    bits = -np.log2(share)
-    bits[..., SYMBOLS - 1] += 8
-    return bits.reshape(-1)
+        lower = escape * share  # what the next shorter context asks, after an escape
+        np.divide(level, room, out=lower, where=seen)
+        share = lower
+    np.log2(share, out=share)
+    np.negative(share, out=share)
+    share[..., SYMBOLS - 1] += 8
+    return share.reshape(-1)
 
 
 def cost_table(model: dict) -> np.ndarray:
@@ -120,6 +131,7 @@ def cost_table(model: dict) -> np.ndarray:
     table = np.empty((SYMBOLS ** (ORDER + 1), len(model["languages"])), np.float32)
     for i, (cells, counts) in enumerate(model["counts"]):
         table[:, i] = code_lengths(cells, counts)
+    give_back()
     return table
 
 

@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sumstone.llm.common import row_ranges
+from sumstone.llm.common import give_back, row_ranges
 from sumstone.llm.tokens import encode
 
 #: Tokens that are packed together.
@@ -128,7 +129,8 @@ def pack(
                         ("offset", pa.int64()),
                     ]
                 )
-            sizes = np.array([len(x) if x else 0 for x in batch.column(text).to_pylist()])
+            give_back()
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
             for lo, hi in row_ranges(sizes, _TEXT):
                 texts = batch.column(text).slice(lo, hi - lo).to_pylist()
                 ids, bounds = encode(tokenizer, texts, end)

@@ -9,12 +9,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sumstone.llm.common import freeze, offsets_by_part, row_ranges
+from sumstone.llm.common import freeze, give_back, offsets_by_part, row_ranges
 from sumstone.llm.tokens import encode
 
 MAGIC = b"WAVEMAT1"
@@ -211,7 +212,8 @@ def write_shards(
 
         for batch in batches:
             kind = batch.schema.field(key).type
-            sizes = np.array([len(x) if x else 0 for x in batch.column(text).to_pylist()])
+            give_back()
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
             for lo, hi in row_ranges(sizes, _TEXT):
                 texts = batch.column(text).slice(lo, hi - lo).to_pylist()
                 ids, bounds = encode(tokenizer, texts, end)
