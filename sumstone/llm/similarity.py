@@ -37,9 +37,12 @@ TREE = 1 << 21
 #: Bits of a token bitmap, and children of a node.
 BITS = 2048
 FANOUT = 16
-#: Chance that a pair at the threshold shares no hash class that holds a shingle.
+#: Chance that a pair at the threshold shares no hash class that counts.
 MISS = 1e-10
 
+#: Most shingles that a hash class must hold to count, and what that may cost in signatures.
+MOST_LEAST = 6
+EFFORT = 1.2
 #: Bits of the filter that keeps most texts without a candidate from being moved.
 FILTER = 1 << 26
 
@@ -87,61 +90,79 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
+def _step(num: int, den: int) -> float:
+    """Logarithm of the ratio of bracket borders: the cube of the least ratio of similar sizes, or
+    less where that would make brackets wide."""
+    return min(3 * math.log(den / num), math.log(1.4))
+
+
 @functools.cache
-def bracket_plan(number: int, num: int, den: int) -> tuple[int, int]:
-    """Hash classes of a size bracket, and how often shingles are dealt to them.
-
-    Two sets of a bracket that link differ in ``d`` shingles at most.  With ``d + 1`` classes one is
-    the same in both; with fewer, but not too few, one is all but surely, and holds more shingles,
-    so that unlike sets seldom agree in it.  The fewest are taken for which a pair at the threshold
-    shares no class that holds a shingle with a chance of at most ``MISS``: each class stays clear
-    of a difference with the chance ``(1 - 1/m)^d``, and is empty with ``(1 - 1/m)^n``.  Small sets
-    are dealt anew until that holds.
+def bracket_plan(number: int, num: int, den: int) -> tuple[int, int, int]:
+    """Hash classes of a size bracket, how often shingles are dealt to them, and how many shingles a
+    class must hold to count.
+
+    Two sets of a bracket that link differ in ``d`` shingles at most.  Each of ``m`` classes stays
+    clear of them with the chance ``(1 - 1/m)^d``, and then holds the same shingles in both sets.
+    A class with few shingles says little: sets that only share a passage agree in it, too.  So the
+    largest least content is taken for which signatures cost at most ``EFFORT`` times what they cost
+    without one, at a chance of at most ``MISS`` that a pair at the threshold shares none that count.
+    Small sets are dealt anew until that holds; with more classes than differences one is clear for
+    certain.
     """
-    step = 3 * math.log(den / num)
+    step = _step(num, den)
     most = math.floor(math.exp(step * (number + 1))) + 1
     fewest = max(1, math.floor(math.exp(step * number)) * num // den)
     differ = 2 * most * (den - num) // (den + num)
 
-    def lost(m: int) -> float:
-        empty = (1 - 1 / m) ** fewest
-        chance = (1 - (1 - 1 / m) ** differ * (1 - empty)) ** m
-        return min(chance, m * empty) if m > differ else chance
-
-    if lost(differ + 1) > MISS:
-        often = math.ceil(math.log(MISS) / math.log(min(lost(differ + 1), 0.5)))
-        return differ + 1, often
-    low, high = 1, differ + 1
-    while high - low > 1:
-        middle = (low + high) // 2
-        low, high = (low, middle) if lost(middle) <= MISS else (middle, high)
-    return high, 1
+    def rounds(m: int, least: int) -> int:
+        poor = sum(
+            math.comb(fewest, k) * (1 / m) ** k * (1 - 1 / m) ** (fewest - k) for k in range(least)
+        )
+        lost = (1 - (1 - 1 / m) ** differ * max(0.0, 1 - poor)) ** m
+        if m > differ:
+            lost = min(lost, m * poor)
+        return math.ceil(math.log(MISS) / math.log(min(max(lost, 1e-300), 1 - 1e-12)))
+
+    options = sorted({max(1, round((differ + 1) * k / 24)) for k in range(2, 25)})
+    plans = [
+        (m * often, m, int(often), least)
+        for least in range(1, min(MOST_LEAST, fewest) + 1)
+        for m in options
+        if (often := rounds(m, least)) < 40
+    ]
+    if not plans:  # sets of one or two shingles
+        return differ + 1, 40, 1
+    bound = EFFORT * min(p[0] for p in plans if p[3] == 1) if any(p[3] == 1 for p in plans) else math.inf
+    cost, classes, often, least = max(
+        (p for p in plans if p[0] <= bound), key=lambda p: (p[3], -p[0])
+    )
+    return classes, often, least
 
 
 def brackets(size: int, num: int, den: int) -> list[int]:
     """Numbers of the size brackets in which a set of ``size`` meets others.
 
-    Bracket borders grow by the cube of the least ratio of similar sizes.  A set meets those of its
-    own bracket, and those of the next one if it is large enough for the smallest there.
+    A set meets those of its own bracket, and those of the next one if it is large enough for the
+    smallest there.
     """
-    step = 3 * math.log(den / num)
+    step = _step(num, den)
     own = int(math.log(size) / step + 1e-9)
     least = math.floor(math.exp(step * (own + 1))) - 1
     return [own, own + 1] if size * den >= num * least else [own]
 
 
 def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Digests of the non-empty hash classes of a set, in each bracket in which it meets others."""
+    """Digests of the hash classes of a set that count, in each bracket in which it meets others."""
     out = []
     low, high = hashes & np.uint64(0xFFFFFFFF), hashes >> np.uint64(32)
     for number in brackets(len(hashes), num, den):
-        classes, often = bracket_plan(number, num, den)
+        classes, often, least = bracket_plan(number, num, den)
         for turn in range(often):
             deal = mixed(hashes + np.uint64(turn * 0x9E3779B9 + 1)) % np.uint64(classes)
             deal = deal.astype(np.int64)
             held = np.bincount(deal, minlength=classes)
             sums = [np.bincount(deal, weights=h.astype(np.float64), minlength=classes) for h in (low, high)]
-            full = np.flatnonzero(held)
+            full = np.flatnonzero(held >= least)
             with np.errstate(over="ignore"):
                 sig = sums[0][full].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
                 sig = mixed(sig ^ sums[1][full].astype(np.uint64))
@@ -150,8 +171,10 @@ def signatures(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def class_rows(docs: DataFrame, key: str, text: str, words: int, num: int, den: int) -> DataFrame:
-    """``key, n, d1, d2, sigs`` of each whole text."""
+def class_rows(
+    docs: DataFrame, key: str, text: str, words: int, num: int, den: int, signed: bool
+) -> DataFrame:
+    """``key, n, d1, d2`` of each whole text, and its signatures ``sigs`` if they are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,23 +183,22 @@ def class_rows(docs: DataFrame, key: str, text: str, words: int, num: int, den:
                 values, bounds = shingles(data, offs, lo, hi, words)
                 sets = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
                 pairs = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
-                sigs = [signatures(s, num, den) if len(s) else np.zeros(0, np.int64) for s in sets]
+                used = sets if signed else []
+                sigs = [signatures(s, num, den) if len(s) else np.zeros(0, np.int64) for s in used]
                 ends = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(key).slice(lo, hi - lo),
-                        pa.array(np.diff(bounds)),
-                        pa.array(pairs[:, 0]),
-                        pa.array(pairs[:, 1]),
-                        pa.ListArray.from_arrays(ends, np.concatenate(sigs)),
-                    ],
-                    [key, "n", "d1", "d2", "sigs"],
-                )
+                columns = [
+                    batch.column(key).slice(lo, hi - lo),
+                    pa.array(np.diff(bounds)),
+                    pa.array(pairs[:, 0]),
+                    pa.array(pairs[:, 1]),
+                ]
+                if signed:
+                    columns.append(pa.ListArray.from_arrays(ends, np.concatenate(sigs)))
+                names = [key, "n", "d1", "d2", "sigs"]
+                yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"{key} {kind}, n long, d1 long, d2 long, sigs array<long>"
-    )
+    schema = f"{key} {docs.schema[key].dataType.simpleString()}, n long, d1 long, d2 long"
+    return docs.select(key, text).mapInArrow(run, schema + ", sigs array<long>" * signed)
 
 
 class _Tree:
@@ -255,17 +277,16 @@ def tree_roots(
         if level == 0:
             try_pairs(a, b)
             return
-        width = FANOUT**level
-        for i, j in zip(a.tolist(), b.tolist()):
-            own = root[i * width : (i + 1) * width]
-            other = root[j * width : (j + 1) * width]
-            if own[0] == other[0] and (own == own[0]).all() and (other == own[0]).all():
-                continue
-            below = len(tree.levels[level - 1][0])
-            left = np.arange(i * FANOUT, min(below, (i + 1) * FANOUT))
-            right = np.arange(j * FANOUT, min(below, (j + 1) * FANOUT))
-            x, y = np.repeat(left, len(right)), np.tile(right, len(left))
-            once = x <= y
+        cuts = np.arange(0, len(root), FANOUT**level)
+        low, high = np.minimum.reduceat(root, cuts), np.maximum.reduceat(root, cuts)
+        apart = (low[a] != high[a]) | (low[b] != high[b]) | (low[a] != low[b])
+        a, b = a[apart], b[apart]
+        below, child = len(tree.levels[level - 1][0]), np.arange(FANOUT)
+        for at in range(0, len(a), 64):  # many node pairs at once
+            x = (a[at : at + 64, None] * FANOUT + child)[:, :, None]
+            y = (b[at : at + 64, None] * FANOUT + child)[:, None, :]
+            x, y = (v.ravel() for v in np.broadcast_arrays(x, y))
+            once = (x <= y) & (y < below)
             descend(level - 1, x[once], y[once])
 
     top = len(tree.levels) - 1
@@ -307,8 +328,10 @@ def near_groups(
     joined by the smallest member of each hash class, families of candidates are cut into trees of
     about ``tree`` shingles, and only their members that are not yet joined visit the other trees.
     """
-    rows = freeze(class_rows(docs, key, text, words, num, den), "shingles")
-    classes = rows.filter("n > 0").groupBy("d1", "d2", "n").agg(
+    # Signatures are worth more disk than the second reading of the texts that they cost here.
+    rows = freeze(class_rows(docs, key, text, words, num, den, False), "shingles")
+    signed = class_rows(docs, key, text, words, num, den, True)
+    classes = signed.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(key).alias("_first"), F.first("sigs").alias("sigs")
     )
     classes = freeze(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -365,7 +388,7 @@ def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: i
             yield batch.filter(pa.array(keep)).select(["node", "family", "trees", text])
 
     given = docs.select(F.col(key).alias("_key"), text)
-    given = given.filter(_filter_of(members.select("_first"))(F.xxhash64("_key")))
+    given = given.filter(key_filter(members.select("_first"))(F.xxhash64("_key")))
     found = given.join(members, F.col("_key").eqNullSafe(F.col("_first")))
     found = found.select("node", "family", "trees", "d1", "d2", text)
     kind = f"node long, family long, trees long, {text} string"
@@ -374,7 +397,7 @@ def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: i
     return found.mapInArrow(check, kind)
 
 
-def _filter_of(keys: DataFrame):
+def key_filter(keys: DataFrame):
     """Function of a key's hash: false only if the key is not among ``keys``.
 
     One bit a key in a bitmap of fixed size, built where the keys are.  With very many keys it lets
