@@ -17,6 +17,8 @@ from sumstone.llm.tokens import encode
 
 #: Tokens that are packed together.
 GROUP = 2_000_000
+#: Words whose ids a worker keeps.
+WORDS = 250_000
 #: Bytes of text that are encoded together.
 _TEXT = 1 << 21
 
@@ -133,7 +135,7 @@ def pack(
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
             for lo, hi in row_ranges(sizes, _TEXT):
                 texts = batch.column(text).slice(lo, hi - lo).to_pylist()
-                ids, bounds = encode(tokenizer, texts, end)
+                ids, bounds = encode(tokenizer, texts, end, WORDS)
                 names = batch.column(key).slice(lo, hi - lo).to_pylist()
                 for name, a, b in zip(names, bounds[:-1], bounds[1:]):
                     held.append(ids[a:b])

@@ -87,11 +87,13 @@ def _learn(state: dict, unknown: list[str]) -> None:
         words[word] = words[word[:-1]] + words[word[-1]]
 
 
-def encode(path: str, texts: list[str | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+def encode(
+    path: str, texts: list[str | None], end: int, kept: int = KEPT
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by ``end``, and the bounds of the texts in them."""
     state = open_tokenizer(path)
     words, tokenizer, spaced = state["words"], state["tokenizer"], state["spaced"]
-    if len(words) > KEPT:
+    if len(words) > kept:
         words.clear()
     words["\1"] = _packed([_END])
 
