@@ -35,7 +35,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep the document with the smallest id of each group of near duplicates."""
     groups = similarity.near_groups(docs, "doc_id", "text", SHINGLE_WORDS, SIMILAR, OUT_OF)
     others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    others = freeze(others, "near-copies")
+    # Most documents are no near copy for certain and need not move to be told so.
+    maybe = F.coalesce(similarity.key_filter(others)(F.xxhash64("doc_id")), F.lit(False))
+    unsure = docs.filter(maybe).join(others, "doc_id", "left_anti")
+    return docs.filter(~maybe).unionByName(unsure).select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
