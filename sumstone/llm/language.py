@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -22,8 +23,8 @@ from sumstone.llm.common import (
 
 #: Longest context, in bytes.
 ORDER = 3
-#: Symbols of the context trees: the most frequent bytes, and one symbol for all others.
-SYMBOLS = 40
+#: Symbols of the context trees: all bytes, upper-case ASCII letters as lower-case ones.
+SYMBOLS = 256
 #: Training documents per language, about: the bound of the sample that is counted.
 SAMPLE = 3000
 UNDETERMINED = "und"
@@ -79,76 +80,86 @@ def train(docs: DataFrame, text: str, lang: str, key: Column, per_language: int
     names = np.array(seen.column("lang").to_pylist(), dtype=object)
     grams = seen.column("gram").to_numpy().astype(np.int64)
     n = seen.column("n").to_numpy().astype(np.int64)
-    frequent = np.bincount(grams & 255, weights=n, minlength=256)
-    symbol = np.full(256, SYMBOLS - 1, np.int32)
-    top = [b for b in np.argsort(-frequent, kind="stable")[: SYMBOLS - 1] if frequent[b] > 0]
-    symbol[top] = np.arange(len(top))
-    symbol[65:91] = symbol[97:123]
-    cells = np.zeros(len(grams), np.int64)
-    for shift in (24, 16, 8, 0):
-        cells = cells * SYMBOLS + symbol[(grams >> shift) & 255]
     languages = sorted(set(names))
     counts = []
     for name in languages:
-        cell, back = np.unique(cells[names == name], return_inverse=True)
-        total = np.bincount(back, weights=n[names == name])
-        counts.append((cell.astype(np.int32), total.astype(np.float32)))
+        own = np.flatnonzero(names == name)
+        own = own[np.argsort(grams[own])]
+        counts.append((grams[own].astype(np.uint32), n[own]))
+    symbol = lower_ascii(np.arange(SYMBOLS, dtype=np.uint8)).astype(np.uint32)
     return {"languages": languages, "symbol": symbol, "counts": counts}
 
 
-def code_lengths(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Bits to code each symbol after each full context, by the counts of one language.
+def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of ``keys``, the sum of their ``counts``, and how many rows each has."""
+    value, back = np.unique(keys, return_inverse=True)
+    return value, np.bincount(back, weights=counts, minlength=len(value)), np.bincount(back)
+
+
+def code_lengths(grams: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Bits to code a symbol, by the counts of one language; from the empty context upwards.
 
     Orders are blended downwards: a symbol that a context has seen costs its share of the context's
     count plus the number of its distinct symbols; any other costs the escape, whose share is that
     number of distinct symbols, and then what the next shorter context asks.  Below the empty
-    context all symbols are alike; the symbol of the rare bytes pays 8 bits more to name the byte.
+    context all bytes are alike.  Each order holds what was seen and nothing else: its contexts, in
+    order, with the bits of their escapes, and its runs of context and symbol with their bits.
     """
-    top = np.zeros(SYMBOLS ** (ORDER + 1), np.float32)
-    top[cells] = counts
-    levels = [top.reshape((SYMBOLS,) * (ORDER + 1))]
-    while levels[-1].ndim > 1:
-        levels.append(levels[-1].sum(axis=0))
-    share = np.full((SYMBOLS,), 1.0 / SYMBOLS, np.float32)
-    while levels:
-        level = levels.pop()
-        seen = level > 0
-        total = level.sum(axis=-1, keepdims=True)
-        kinds = seen.sum(axis=-1, keepdims=True).astype(np.float32)
-        room = np.maximum(total + kinds, 1)
-        escape = np.where(total > 0, kinds / room, 1).astype(np.float32)
-        lower = escape * share  # what the next shorter context asks, after an escape
-        np.divide(level, room, out=lower, where=seen)
-        share = lower
-    np.log2(share, out=share)
-    np.negative(share, out=share)
-    share[..., SYMBOLS - 1] += 8
-    return share.reshape(-1)
-
-
-def cost_table(model: dict) -> np.ndarray:
-    """Code lengths of all languages, one row per context and symbol."""
-    table = np.empty((SYMBOLS ** (ORDER + 1), len(model["languages"])), np.float32)
-    for i, (cells, counts) in enumerate(model["counts"]):
-        table[:, i] = code_lengths(cells, counts)
+    levels = []
+    for order in range(ORDER + 1):
+        mask = np.uint32((1 << 8 * (order + 1)) - 1)
+        runs, n, _ = _sums(grams & mask, counts)
+        contexts, total, kinds = _sums(runs >> np.uint32(8), n)
+        room = total + kinds
+        escapes = np.log2(room / kinds)
+        bits = np.log2(room[np.searchsorted(contexts, runs >> np.uint32(8))] / n)
+        levels.append((contexts, escapes, runs, bits))
+    return levels
+
+
+def cost_table(model: dict) -> list[list[tuple[np.ndarray, ...]]]:
+    """Code lengths of each language; they take memory for the runs that it has seen."""
+    table = [code_lengths(grams, counts) for grams, counts in model["counts"]]
     give_back()
     return table
 
 
+def _places(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where in ``asked`` values of ``known`` stand, and their places in ``known``."""
+    at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+    found = np.flatnonzero(known[at] == asked)
+    return found, at[found]
+
+
+def gram_costs(levels: list[tuple[np.ndarray, ...]], grams: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each run of ``ORDER + 1`` bytes after those before it."""
+    cost = np.full(len(grams), math.log2(SYMBOLS))
+    for order, (contexts, escapes, runs, bits) in enumerate(levels):
+        own = grams & np.uint32((1 << 8 * (order + 1)) - 1)
+        found, at = _places(contexts, own >> np.uint32(8))
+        cost[found] += escapes[at]
+        found, at = _places(runs, own)
+        cost[found] = bits[at]
+    return cost
+
+
 def text_costs(
-    table: np.ndarray, symbol: np.ndarray, data: np.ndarray, offs: np.ndarray
+    table: list[list[tuple[np.ndarray, ...]]], symbol: np.ndarray, data: np.ndarray, offs: np.ndarray
 ) -> np.ndarray:
     """Code length in bits of each whole text under each language."""
-    out = np.zeros((len(offs) - 1, table.shape[1]))
+    out = np.zeros((len(offs) - 1, len(table)))
     for lo, hi in row_ranges(np.diff(offs), _CHUNK):
         buffer, starts, ends = joined(data, offs, lo, hi, _PAD)
-        s = symbol[buffer]
-        cell = ((s[:-3] * SYMBOLS + s[1:-2]) * SYMBOLS + s[2:-1]) * SYMBOLS + s[3:]
         full = np.flatnonzero(ends > starts)
-        if len(full):
-            bounds = np.stack([starts[full] - 3, ends[full] - 3], axis=1).ravel()
-            bits = np.vstack([np.take(table, cell, axis=0), np.zeros((1, table.shape[1]), np.float32)])
-            out[lo + full] = np.add.reduceat(bits, bounds, axis=0, dtype=np.float64)[::2]
+        if not len(full):
+            continue
+        s = symbol[buffer]
+        grams = (s[:-3] << 24) | (s[1:-2] << 16) | (s[2:-1] << 8) | s[3:]
+        distinct, place = np.unique(grams, return_inverse=True)
+        bounds = np.stack([starts[full] - 3, ends[full] - 3], axis=1).ravel()
+        for k, levels in enumerate(table):
+            bits = np.append(gram_costs(levels, distinct)[place], 0.0)
+            out[lo + full, k] = np.add.reduceat(bits, bounds)[::2]
     return out
 
 

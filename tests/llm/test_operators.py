@@ -198,6 +198,22 @@ def test_code_lengths_are_those_of_a_slow_coder(spark):
         assert got[0, k] == pytest.approx(bits, rel=1e-5)
 
 
+def test_no_byte_is_merged_with_others(spark):
+    # Two scripts that are rare in the sample, beside more than enough frequent bytes.
+    common = "".join(chr(c) for c in range(33, 127)) * 200
+    rows = [(1, common, "en"), (2, "мир и дом, река и лес", "ru"), (3, "θάλασσα και ουρανός", "el")]
+    docs = spark.createDataFrame(rows, "i int, t string, l string")
+    model = language.train(docs, "t", "l", F.col("i"))
+    asked = spark.createDataFrame([(1, "лес и река"), (2, "ουρανός και θάλασσα"), (3, "$%&AB")], "i int, t string")
+    found = {r.i: (r.lang_pred, r.score) for r in language.identify(asked, "t", model).collect()}
+    assert [found[i][0] for i in (1, 2, 3)] == ["ru", "el", "en"]
+    assert all(score > 0.99 for _, score in found.values())
+    ends = language.text_costs(
+        language.cost_table(model), model["symbol"], np.frombuffer("мы".encode(), np.uint8), np.array([0, 2, 4])
+    )
+    assert ends.shape == (2, 3) and (ends > 0).all()
+
+
 def test_language_of_odd_rows(odd_documents, no_documents):
     model = language.train(odd_documents, "text", "lang", F.col("doc_id"))
     rows = language.identify(odd_documents, "text", model).collect()
