@@ -32,14 +32,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates."""
-    groups = similarity.near_groups(docs, "doc_id", "text", SHINGLE_WORDS, SIMILAR, OUT_OF)
-    others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    """Keep one row of each group of near duplicates: the one with the smallest id.
+
+    Rows with one id are told apart by a frozen row number, the smallest stays; a row without an id
+    stays only if no row of its group has one.
+    """
+    rows = freeze(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    no_id = F.col("doc_id").isNull().alias("no_id")
+    order = F.struct(no_id, F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    keyed = rows.select(order.alias("_order"), "text")
+    groups = similarity.near_groups(keyed, "_order", "text", SHINGLE_WORDS, SIMILAR, OUT_OF)
+    others = groups.filter("component_id.row <> _order.row").select(F.col("_order.row").alias("_row"))
     others = freeze(others, "near-copies")
     # Most documents are no near copy for certain and need not move to be told so.
-    maybe = F.coalesce(similarity.key_filter(others)(F.xxhash64("doc_id")), F.lit(False))
-    unsure = docs.filter(maybe).join(others, "doc_id", "left_anti")
-    return docs.filter(~maybe).unionByName(unsure).select(*docs.columns)
+    maybe = F.coalesce(similarity.key_filter(others)(F.xxhash64("_row")), F.lit(False))
+    unsure = rows.filter(maybe).join(others, "_row", "left_anti")
+    return rows.filter(~maybe).unionByName(unsure.select(*rows.columns)).select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

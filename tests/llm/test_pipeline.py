@@ -60,6 +60,27 @@ def test_one_document_of_each_group_stays(stages):
     assert len(ids(stages[3])) < len(docs)
 
 
+def test_one_row_of_each_group_stays(spark, sf_dir, odd_documents):
+    base = odd_documents.filter("doc_id = 1").first().text
+    other = " ".join(f"river{i} stone{i % 5}" for i in range(40))
+    nameless = " ".join(f"cloud{i} rain{i % 5}" for i in range(40))
+    rows = [
+        (1, base, "en", "c", 1),  # repeated id and text
+        (1, base, "en", "a", 1),
+        (None, base, "en", "a", 1),  # a copy without an id
+        (2, other, "en", "a", 1),  # a clean text under the id of a near copy
+        (None, nameless, "en", "a", 1),  # copies that all lack an id
+        (None, nameless, "en", "a", 1),
+    ]
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    docs = odd_documents.select(*columns)
+    docs = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.one_of_each_group(spark, docs, sf_dir).collect()
+    odd = [(r.doc_id, r.text) for r in odd_documents.collect() if r.doc_id not in (2, 3, 8)]
+    wanted = Counter([*odd, (8, "two words"), (2, other), (None, nameless)])
+    assert Counter((r.doc_id, r.text) for r in kept) == wanted
+
+
 def test_sources_are_mixed_to_their_weights(stages):
     given = stages[3].withColumn("w", mixing.word_count(stages[3].text)).collect()
     taken = Counter(ids(stages[4]))
