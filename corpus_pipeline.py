@@ -19,8 +19,14 @@ SHINGLE_WORDS, SIMILAR, OUT_OF = 5, 80, 100
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: those with no letter, null and empty texts."""
-    found = language.identify(docs, "text", language_model(docs))
+    """Drop documents without a language: those with no letter, null and empty texts.
+
+    Where no row is labelled nothing can be learned, and every text with a letter stays.
+    """
+    model = language_model(docs)
+    if not model["languages"]:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, "text", model)
     return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
 
 

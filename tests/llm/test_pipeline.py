@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sumstone.llm import mixing, quality
@@ -42,6 +43,13 @@ def test_only_texts_without_letters_have_no_language(stages):
     assert ids(stages[1]) == sorted(wanted) and 900001 not in wanted
 
 
+def test_texts_stay_where_no_language_can_be_learned(spark, sf_dir, odd_documents):
+    docs = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.known_language(spark, docs, sf_dir)
+    wanted = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert kept.columns == docs.columns and sorted(r.text for r in kept.collect()) == sorted(wanted)
+
+
 def test_quality_keeps_what_the_score_accepts(spark, stages, sf_dir):
     model = quality_model(stages[1].select("doc_id", "text"), table(spark, sf_dir, "labels"))
     kept = quality.score(stages[1], "text", model).filter(f"score >= {0.3}")
