@@ -373,28 +373,28 @@ def near_groups(
 
 
 def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """One text for each member class, found by its first key and checked by its digest."""
+    """One text for each member class, found by its digest among the rows with a first key.
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Digests are computed before anything is joined, so that rows which share a key do not meet each
+    other's classes, and rows of one class become one before they move.
+    """
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = text_bytes(batch.column(text))
-            keep = np.zeros(len(batch), bool)
-            d1, d2 = batch.column("d1").to_numpy(), batch.column("d2").to_numpy()
             for lo, hi in row_ranges(np.diff(offs), _CHUNK):
                 values, bounds = shingles(data, offs, lo, hi, words)
-                for i in range(hi - lo):
-                    found = digest(values[bounds[i] : bounds[i + 1]])
-                    keep[lo + i] = found == (d1[lo + i], d2[lo + i])
-            yield batch.filter(pa.array(keep)).select(["node", "family", "trees", text])
-
-    given = docs.select(F.col(key).alias("_key"), text)
-    given = given.filter(key_filter(members.select("_first"))(F.xxhash64("_key")))
-    found = given.join(members, F.col("_key").eqNullSafe(F.col("_first")))
-    found = found.select("node", "family", "trees", "d1", "d2", text)
-    kind = f"node long, family long, trees long, {text} string"
-    # A key with several rows of one class gives its text more than once; a set is joined with
-    # itself in its tree, which changes nothing.
-    return found.mapInArrow(check, kind)
+                sets = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+                pairs = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
+                columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.diff(bounds))]
+                columns.append(batch.column(text).slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", "n", text])
+
+    given = docs.filter(key_filter(members.select("_first"))(F.xxhash64(key))).select(text)
+    found = given.mapInArrow(told, f"d1 long, d2 long, n long, {text} string")
+    found = found.groupBy("d1", "d2", "n").agg(F.first(text).alias(text))
+    found = found.join(members.select("node", "family", "trees", "d1", "d2", "n"), ["d1", "d2", "n"])
+    return found.select("node", "family", "trees", text)
 
 
 def key_filter(keys: DataFrame):

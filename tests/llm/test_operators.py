@@ -24,6 +24,7 @@ from sumstone.llm import (
     similarity,
     wavelet,
 )
+from sumstone.llm.common import freeze
 from sumstone.llm.graph import components
 from sumstone.llm.tokens import encode
 from sumstone.session import scratch_path
@@ -307,6 +308,17 @@ def slow_groups(docs: list[tuple], words: int, num: int, den: int) -> dict:
     return Counter(out)
 
 
+def test_each_class_meets_one_text_however_often_its_key_stands(spark):
+    rows = [(None, f"tree {i % 20} stands in wood {i % 20} alone") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = similarity.class_rows(docs, "doc_id", "text", 3, 90, 100, False)
+    classes = told.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("_first"))
+    members = freeze(classes.selectExpr("*", "monotonically_increasing_id() AS node", "0L AS family", "1L AS trees"), "members")
+    found = similarity._texts_of(docs, members, "doc_id", "text", 3)
+    texts = [r.text for r in found.collect()]
+    assert len(texts) == members.count() == 20 and set(texts) == {text for _, text in rows}
+
+
 @pytest.mark.parametrize("words,num", [(3, 90), (5, 80)])
 def test_groups_of_odd_rows(odd_documents, no_documents, words, num):
     docs = [(r.doc_id, r.text) for r in odd_documents.collect()]
