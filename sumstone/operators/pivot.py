@@ -35,10 +35,14 @@ def crosstab(
     named either they stop the job, as they must not vanish.  NULL categories have no column.
     """
     given = df.select(rows, _listed(F.col(columns), values, rest).alias("_category"))
-    named = None if values is None else [*values, *([rest] if rest is not None else [])]
-    out = given.groupBy(rows).pivot("_category", named).count()
-    if values is None and "null" in out.columns:
-        out = out.drop("null")
+    if values is None:
+        out = given.filter(F.col("_category").isNotNull()).groupBy(rows).pivot("_category").count()
+        # Groups whose categories are all NULL keep their row.
+        bare = given.groupBy(rows).agg(F.count("_category").alias("_n")).filter("_n = 0")
+        out = out.union(bare.select(rows, *[F.lit(None).cast("long")] * (len(out.columns) - 1)))
+    else:
+        named = [*values, *([rest] if rest is not None else [])]
+        out = given.groupBy(rows).pivot("_category", named).count()
     return out if fill_value is None else out.na.fill(fill_value)
 
 

@@ -99,6 +99,16 @@ def test_crosstab_missing_is_null_or_filled(spark):
     assert crosstab(numbers, "a", "n").columns == ["a", "112", "113"]
 
 
+def test_crosstab_keeps_the_category_named_null(spark):
+    rows = [("x", "null"), ("x", "null"), ("x", None), ("y", None), ("y", "{b}"), ("z", None)]
+    out = crosstab(spark.createDataFrame(rows, "a string, b string"), "a", "b")
+    assert out.columns == ["a", "null", "{b}"]
+    assert {tuple(r) for r in out.collect()} == {("x", 2, None), ("y", None, 1), ("z", None, None)}
+    numbers = spark.createDataFrame([("x", 9), ("x", 10), ("x", None)], "a string, n int")
+    assert crosstab(numbers, "a", "n").columns == ["a", "9", "10"]
+    assert crosstab(numbers.filter("n IS NULL"), "a", "n").columns == ["a"]
+
+
 def test_sums_lose_no_digit(spark):
     small = spark.range(1000).select(F.lit(0.004).alias("v"))
     assert small.agg(exact_sum(F.col("v"))).first()[0] == pytest.approx(4.0, rel=1e-12)
