@@ -10,8 +10,6 @@ sys.path.insert(0, str(ROOT))
 
 from sumstone import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -47,11 +45,3 @@ def conf(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, old)
-
-
-def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows_of(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR, rows_of
+from shared import SF_DIR, rows_of
 from sumstone.functions.exact import exact_mean, exact_sum
 from sumstone.functions.scalar import epoch_micros
 from sumstone.operators import aggregate as agg

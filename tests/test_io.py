@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR, rows_of
+from shared import SF_DIR, rows_of
 from sumstone import scratch_path
 from sumstone.operators import checks
 from sumstone.plans.registry import table

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
-from conftest import SF_DIR
+from shared import SF_DIR
 from sumstone.plans import catalog
 
 

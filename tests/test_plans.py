@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR, plan_text
+from shared import SF_DIR, plan_text
 from sumstone.operators import aggregate as agg
 from sumstone.operators.filters import from_year
 from sumstone.operators.joins import star_join

@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from shared import rows_of
 from sumstone.functions.exact import exact_mean, exact_sum
 from sumstone.operators import aggregate as agg
 from sumstone.operators import checks, clean, filters, joins, setops

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR, rows_of
+from shared import SF_DIR, rows_of
 from sumstone import scratch_path
 from sumstone.operators import aggregate as agg
 from sumstone.plans.registry import table
