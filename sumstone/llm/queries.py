@@ -21,6 +21,7 @@ from sumstone.llm import (
     quality,
     sharding,
     similarity,
+    token_counts,
     wavelet,
 )
 from sumstone.llm.common import held_out
@@ -203,3 +204,19 @@ def op2_prefix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = chat.read_back(nodes, members, "conv_id")
     told = F.pandas_udf(chat.digests, chat.DIGESTS)
     return back.select("conv_id", told("formatted", "loss").alias("d")).select("conv_id", "d.*")
+
+
+#: A document with more tokens is over the limit.
+TOKEN_LIMIT = 4096
+
+
+@query
+def op13_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of tokens of every document by the compiled transducer."""
+    docs = table(spark, sf_dir, "documents")
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    given = docs.select("doc_id", "text", n_bytes)
+    told = token_counts.count_tokens(
+        given, "text", vocabulary("piece_bpe_32k.model"), ["doc_id", "n_bytes"]
+    )
+    return told.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
