@@ -5,10 +5,14 @@ A ``None`` beside a query says that SQL cannot express it; its test compares wit
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sumstone.llm import (
     chat,
@@ -18,6 +22,7 @@ from sumstone.llm import (
     neighbour_search,
     neighbours,
     packing,
+    periodic,
     quality,
     sharding,
     similarity,
@@ -220,3 +225,43 @@ def op13_transducer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         given, "text", vocabulary("piece_bpe_32k.model"), ["doc_id", "n_bytes"]
     )
     return told.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def repeated_tail(key: tuple, words: list[bytes]) -> list[bytes]:
+    """The words of a document, or of every tenth (by the crc32 of its id) with a periodic tail."""
+    if key[0] is None or not words:
+        return words
+    h = zlib.crc32(str(key[0]).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (1 + (n - a) // p))[: n - a]
+
+
+RUN_DIGESTS = StructType()
+for _name in ("n_runs", "start", "length", "period", "exponent_milli"):
+    RUN_DIGESTS.add(_name, "long")
+RUN_DIGESTS.add("runs_sha256", "string").add("collapsed_sha256", "string")
+
+
+def run_digests(words: list[bytes], runs: list[periodic.Run]) -> tuple:
+    """Number of runs, the run of the greatest exponent, digests of all runs and of what stays."""
+    best: tuple = (None,) * 4
+    if runs:
+        start, length, period = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]))
+        best = (start, length, period, 1000 * length // period)
+    lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
+    kept = b" ".join(periodic.collapse(words, runs))
+    digests = (hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+    return len(runs), *best, *digests
+
+
+@query
+def op11_periodic_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every document, and the document without its repeats."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.with_runs(
+        docs, "text", ["doc_id"], run_digests, RUN_DIGESTS, edit=repeated_tail
+    )
