@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sumstone.llm import (
+    alignment,
     chat,
     fingerprint,
     language,
@@ -265,3 +266,12 @@ def op11_periodic_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.with_runs(
         docs, "text", ["doc_id"], run_digests, RUN_DIGESTS, edit=repeated_tail
     )
+
+
+@query
+def op12_aligned_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over the same bytes, and how usual their links are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    _, counts = alignment.count_links(docs, "text", *files)
+    return alignment.align(docs, "text", ["doc_id"], *files, counts, digest=True)

@@ -159,7 +159,7 @@ class WaveletMatrix:
         return row.astype("<u4")
 
 
-def _full_uri(spark: SparkSession, path: str) -> str:
+def full_uri(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme of the session's default file system."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -167,7 +167,7 @@ def _full_uri(spark: SparkSession, path: str) -> str:
     return where.getFileSystem(conf).makeQualified(where).toString()
 
 
-def _store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path of a Hadoop URI; its names of the S3 scheme are S3."""
     for other in ("s3a://", "s3n://"):
         if uri.startswith(other):
@@ -188,10 +188,10 @@ def write_shards(
     executor leaves at most unlisted files.
     """
     spark = docs.sparkSession
-    target = _full_uri(spark, folder)
+    target = full_uri(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = _store(target)
+        store, base = open_store(target)
         store.create_dir(base, recursive=True)
         keys: list = []
         rows: list[np.ndarray] = []
