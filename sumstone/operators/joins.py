@@ -8,7 +8,8 @@ it goes through a shuffled join whose hot partitions adaptive execution splits.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sumstone.operators.ordered import same_keys
@@ -32,6 +33,89 @@ def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]])
     return fact
 
 
+def _comparable(left: DataFrame, right: DataFrame, a: str, b: str) -> tuple[Column, Column]:
+    """Both keys in one type, so that equal keys have equal hashes."""
+    wide = ("tinyint", "smallint", "int", "bigint")
+    if left.schema[a].dataType.simpleString() in wide and right.schema[b].dataType.simpleString() in wide:
+        return F.col(a).cast("bigint"), F.col(b).cast("bigint")
+    return F.col(a), F.col(b)
+
+
+def within_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """Fact rows whose key lies between the smallest and the largest key left in ``dim``.
+
+    Both ends come from one aggregate of the dimension, which enters the filter as a scalar
+    subquery: it runs first, and Parquet then skips the row groups outside.  An inner join with
+    ``dim`` gives the same rows with and without it.
+    """
+    ends = dim.agg(F.min(dim_key).alias("_least"), F.max(dim_key).alias("_most"))
+    key = F.col(fact_key)
+    least, most = ends.select("_least").scalar(), ends.select("_most").scalar()
+    return fact.filter((key >= least) & (key <= most))
+
+
+def maybe_in_keys(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, bits: int = 1 << 20
+) -> DataFrame:
+    """Fact rows whose key may be in ``dim``: a Bloom filter, tested before anything is shuffled.
+
+    Two bits a key in a field of ``bits``, whatever the size of the dimension; ten bits a key keep
+    one foreign key in thirty.  A full field keeps every row and costs only its test.  The field is
+    built by an aggregation of the dimension and enters the plan as a scalar subquery.
+    """
+    own, other = _comparable(fact, dim, fact_key, dim_key)
+    words = bits // 64
+
+    def probes(key: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(64 * words)) for salt in (1, 2)]
+
+    places = dim.filter(F.col(dim_key).isNotNull()).select(F.explode(F.array(*probes(other))).alias("_p"))
+    one = F.lit(1).cast("bigint")
+    bit = F.call_function("shiftleft", one, F.pmod("_p", F.lit(64)).cast("int"))
+    marked = places.select(F.floor(F.col("_p") / 64).alias("_word"), bit.alias("_bits"))
+    blank = dim.sparkSession.range(words).select(F.col("id").alias("_word"), F.lit(0).cast("bigint").alias("_bits"))
+    field = marked.unionByName(blank).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    field = field.agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_field"))
+    field = field.select(F.col("_field._bits").alias("_field")).scalar()
+    keep = F.col(fact_key).isNotNull()
+    for p in probes(own):
+        word = F.get(field, F.floor(p / 64).cast("int"))
+        keep = keep & (F.getbit(word, F.pmod(p, F.lit(64)).cast("int")) == 1)
+    return fact.filter(keep)
+
+
+def grouped_by_attributes(
+    fact: DataFrame,
+    dimensions: Sequence[tuple[DataFrame, str, str, Sequence[str]]],
+    keys: Sequence[str],
+    aggregates: dict[str, Column],
+) -> DataFrame:
+    """Aggregates by columns of the fact table and attributes of ``(dimension, fact key, key, attributes)``.
+
+    Each combination of attributes is stood for by the smallest dimension key that has it.  Facts
+    are grouped by these numbers, so the large shuffle carries no names, and names are attached to
+    the groups: one aggregation, also where several keys share a name.  Rows are those of the inner
+    joins; a key that a dimension repeats counts once for each.
+    """
+    codes, names = [], []
+    for i, (dim, fact_key, dim_key, attributes) in enumerate(dimensions):
+        code, key = f"_code{i}", f"_key{i}"
+        named = dim.groupBy(*attributes).agg(F.min(dim_key).alias(code))
+        named = named.withColumnsRenamed({a: f"_of{i}_{a}" for a in attributes})
+        same = F.lit(True)
+        for a in attributes:
+            same = same & F.col(a).eqNullSafe(F.col(f"_of{i}_{a}"))
+        coded = dim.join(named, same).select(F.col(dim_key).alias(key), code)
+        fact = fact.join(coded, F.col(fact_key) == F.col(key)).drop(key)
+        codes.append(code)
+        names.append(named.withColumnsRenamed({f"_of{i}_{a}": a for a in attributes}))
+    totals = fact.groupBy(*keys, *codes).agg(*[c.alias(n) for n, c in aggregates.items()])
+    for code, named in zip(codes, names):
+        totals = totals.join(named, code)
+    attributes = [a for _, _, _, some in dimensions for a in some]
+    return totals.select(*keys, *attributes, *aggregates)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise :class:`DuplicateKeyError` if any key occurs more than once.
 

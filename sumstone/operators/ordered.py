@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sumstone.session import scratch_path
 
+#: Rows of one key that one task orders; keys beyond it that are cut, and the ranges of each.
+HOT, MOST_HOT, RANGES = 4_000_000, 10_000, 64
+
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Join condition on equal keys in which NULL equals NULL."""
@@ -18,7 +22,21 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return out
 
 
-def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str]) -> DataFrame:
+def small_or_lazy(per_group: DataFrame, most: int = 10_000) -> DataFrame:
+    """A frame of one row per group, as local rows if there are at most ``most``.
+
+    Spark then knows its size and broadcasts it.  Beyond that nothing is kept, and the frame stays
+    part of the plan, to be joined in a shuffle.
+    """
+    rows = per_group.limit(most + 1).collect()
+    if len(rows) > most:
+        return per_group
+    return per_group.sparkSession.createDataFrame(rows, per_group.schema)
+
+
+def join_per_group(
+    df: DataFrame, per_group: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
     """Attach one row per group to every row of the group; NULL keys match.
 
     Adaptive execution splits the partitions of hot groups: each part meets the one group row.
@@ -27,7 +45,7 @@ def join_per_group(df: DataFrame, per_group: DataFrame, keys: Sequence[str]) ->
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_g_{k}"))
-    return df.join(renamed, condition).drop(*[f"_g_{k}" for k in keys])
+    return df.join(renamed, condition, how).drop(*[f"_g_{k}" for k in keys])
 
 
 def range_count(spark: SparkSession) -> int:
@@ -113,14 +131,49 @@ def ordinal_rank(
     value: str,
     tie_key: str,
     out: str = "rank",
-    parts: int | None = None,
+    hot: int = HOT,
 ) -> DataFrame:
     """1, 2, 3 … by ``value`` within each key; equal values are ordered by ``tie_key``.
 
     Spark has no row order to fall back on, hence the explicit tie key.  A NULL value has a NULL
-    rank.  Ranks are running counts over ranges of key and value (see :func:`running_totals`), so a
-    key may hold any share of the rows.
+    rank.  Rows are moved once, by key.  A key with more than ``hot`` rows is cut into ranges of
+    value and tie at boundaries from a sample of it, and the numbers of rows in the ranges before
+    are added, so a key may hold any share of the rows.  Only counts by key, and the boundaries of
+    the hot keys, reach the driver: at most ``MOST_HOT`` keys with ``RANGES`` ranges each.
     """
-    counted = F.col(value).isNotNull().cast("bigint")
-    ranked = running_totals(df, keys, [value, tie_key], {out: counted}, parts)
-    return ranked.withColumn(out, F.when(F.col(value).isNotNull(), F.col(out)))
+    spark = df.sparkSession
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.filter(F.col("_n") > hot).orderBy(F.col("_n").desc()).limit(MOST_HOT).collect()
+    number = F.row_number()
+    ordering = [F.col(value).asc_nulls_last(), F.col(tie_key).asc_nulls_first()]
+    known = F.col(value).isNotNull()
+    if not large:
+        within = Window.partitionBy(*keys).orderBy(*ordering)
+        return df.withColumn(out, F.when(known, number.over(within).cast("bigint")))
+
+    schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_n", T.LongType())])
+    large = spark.createDataFrame([tuple(r) for r in large], schema)
+    place = F.struct(F.col(value).alias("v"), F.col(tie_key).alias("t"))
+    # About 100 rows of a hot key for each of its ranges, whatever its size.
+    chance = F.lit(100.0 * RANGES) / F.col("_n")
+    drawn = join_per_group(df.filter(known).select(*keys, place.alias("_at")), large, keys)
+    drawn = drawn.filter(F.rand(1) < chance)
+    every = F.greatest(F.ceil(F.size("_drawn") / RANGES), F.lit(1)).cast("int")
+    bounds = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_drawn"))
+    bounds = bounds.withColumn("_every", every)
+    bounds = bounds.select(*keys, F.expr("filter(_drawn, (x, i) -> (i + 1) % _every = 0)").alias("_bounds"))
+    bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
+
+    ranged = join_per_group(df.withColumn("_at", place), bounds, keys, "left")
+    part = F.when(known, F.size(F.expr("filter(_bounds, x -> x <= _at)"))).otherwise(F.lit(RANGES * 200))
+    ranged = ranged.withColumn("_part", F.when(F.col("_bounds").isNull(), 0).otherwise(part))
+    ranged = ranged.drop("_at", "_bounds")
+    per_part = join_per_group(ranged.select(*keys, "_part"), bounds.select(*keys), keys)
+    per_part = per_part.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_part.withColumn("_before", F.sum("_rows").over(earlier)).drop("_rows")
+    within = Window.partitionBy(*keys, "_part").orderBy(*ordering)
+    local = ranged.withColumn(out, number.over(within).cast("bigint"))
+    joined = join_per_group(local, F.broadcast(before), [*keys, "_part"], "left")
+    rank = F.col(out) + F.coalesce("_before", F.lit(0))
+    return joined.select(*df.columns, F.when(known, rank).alias(out))

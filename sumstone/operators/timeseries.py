@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,10 +11,9 @@ from pyspark.sql import functions as F
 
 from sumstone.functions.exact import high_part, joined_parts_fast, low_part, residual, scaled
 from sumstone.functions.scalar import epoch_micros
+from sumstone.operators.ordered import range_count
 
 _SECOND = 1_000_000
-_SLOT_BITS = 20  # a slot is 2^20 microseconds, about one second
-_BLOCK_BITS = 17  # a block is 2^17 slots, about 38 hours
 
 
 def rolling_mean(
@@ -23,15 +23,18 @@ def rolling_mean(
     width: dt.timedelta,
     out: str = "rolling_mean",
     scale: int = 6,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Mean of ``value`` over ``(t - width, t]`` for every row, rows of equal time included.
 
-    The sum over a range is the difference of two running sums, so the cost per row does not grow
-    with the width.  Rows of one instant are added up before anything is shuffled, and running sums
-    are taken in three levels of time, in which no task sees more than a few million entries.
+    A value enters the sum at its time and leaves it ``width`` later, so the sum over the range is
+    a running total of entries and leavings, and the cost per row does not grow with the width.
+    Rows of one instant are added up before anything is shuffled.  Time is cut into ``ranges`` of
+    about as many entries and leavings each, at boundaries from a sketch of the times; each range
+    runs its own totals, and the totals of the ranges before are added.
 
     The first ``scale`` decimals are added exactly (see ``sumstone.functions.exact``), so nothing is
-    lost in the difference; what a value has beyond them is added as a double.  NaN and infinities
+    lost in what leaves; what a value has beyond them is added as a double.  NaN and infinities
     count within their own range only.  A row without time gets NULL, as does a range without
     values.
     """
@@ -51,78 +54,63 @@ def rolling_mean(
             F.count(value).alias("_n"),
         )
     )
-    # Each instant asks for the running sums at its own time and at the open end of its range.
-    own = F.struct(
-        F.col("_t").alias("_at"),
-        F.lit(False).alias("_start"),
-        *[_zero(c).alias(c) for c in _SUMS],
+    enters = F.struct(
+        F.col("_t").alias("_at"), F.lit(True).alias("_own"), *[_zero(c).alias(c) for c in _SUMS]
     )
-    start = F.struct(
-        (F.col("_t") - F.lit(micros)).alias("_at"),
-        F.lit(True).alias("_start"),
-        *[F.lit(0).cast("double" if c == "_r" else "bigint").alias(c) for c in _SUMS],
+    leaves = F.struct(
+        (F.col("_t") + F.lit(micros)).alias("_at"),
+        F.lit(False).alias("_own"),
+        *[(-_zero(c)).alias(c) for c in _SUMS],
     )
-    entries = points.select(F.col("_t").alias("_for"), F.inline(F.array(own, start)))
-
-    upto = _running_sums_by_slot(entries)
-
-    def in_range(total: str) -> Column:
-        at_end = F.max(F.when(~F.col("_start"), F.col(total)))
-        return at_end - F.max(F.when(F.col("_start"), F.col(total)))
-
-    total = joined_parts_fast(in_range("_h"), in_range("_l"), scale) + in_range("_r")
-    above, below = in_range("_p") > 0, in_range("_m") > 0
+    bounds = _time_bounds(keyed.select("_t"), micros, ranges)
+    entries = points.select(F.inline(F.array(enters, leaves)))
+    entries = entries.withColumn("_range", _range_of(F.col("_at"), bounds))
+
+    # One row a range: the only window without a partition key.
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = entries.groupBy("_range").agg(*[F.sum(c).alias(c) for c in _SUMS]).select(
+        F.col("_range").alias("_of"), *[F.sum(c).over(earlier).alias(f"_before{c}") for c in _SUMS]
+    )
+    upto = Window.partitionBy("_range").orderBy("_at")  # equal times see each other
+    local = entries.select("_at", "_own", "_range", *[F.sum(c).over(upto).alias(c) for c in _SUMS])
+    placed = local.filter("_own").join(F.broadcast(before), F.col("_range") == F.col("_of"))
+    s = {c: F.col(c) + _zero(f"_before{c}") for c in _SUMS}
+    total = joined_parts_fast(s["_h"], s["_l"], scale) + s["_r"]
+    above, below = s["_p"] > 0, s["_m"] > 0
     total = F.when(above & below, F.lit(float("nan"))).when(above, _INF).when(below, -_INF).otherwise(total)
-    mean = F.try_divide(total, in_range("_n").cast("double"))
-    ranges = upto.groupBy("_for").agg(mean.alias(out))
-    return keyed.join(ranges, F.col("_t") == F.col("_for"), "left").drop("_t", "_for")
+    mean = F.try_divide(total, s["_n"].cast("double"))
+    means = placed.select("_at", mean.alias(out))
+    return keyed.join(means, F.col("_t") == F.col("_at"), "left").drop("_t", "_at")
 
 
 _SUMS = ["_h", "_l", "_n", "_r", "_p", "_m"]
 _INF = float("inf")
+_MOST_RANGES = 4096
 
 
-def _running_sums_by_slot(entries: DataFrame) -> DataFrame:
-    """Running sums over all entries in time order, without a task that sees them all.
+def _time_bounds(times: DataFrame, micros: int, ranges: int | None) -> list[int]:
+    """Where the ranges begin: as many times as times plus ``micros`` lie in each, about."""
+    wanted = min(ranges or range_count(times.sparkSession), _MOST_RANGES)
+    if wanted < 2:
+        return []
+    shares = [i / wanted for i in range(1, wanted)]
+    marks = times.agg(F.percentile_approx("_t", shares, 20 * wanted)).first()[0] or []
+    return sorted({*marks, *[m + micros for m in marks]})[1::2]
 
-    Built in three levels: within a slot of about a second, over the slots of a block of about 38
-    hours, over blocks.  A group never exceeds 2^21 entries (one per microsecond, plus one per range
-    start) on the first level, 2^17 on the second and the blocks of the calendar on the third,
-    however the rows are spread over time.
-    """
-    entries = entries.withColumn("_slot", F.shiftright("_at", _SLOT_BITS))
-    in_slot = Window.partitionBy("_slot").orderBy("_at")
-    upto = entries.select(
-        "_for", "_start", "_slot", *[F.sum(c).over(in_slot).alias(c) for c in _SUMS]
-    )
 
-    added = [F.sum(c).alias(c) for c in _SUMS]
-    slots = entries.groupBy("_slot").agg(*added)
-    slots = slots.withColumn("_block", F.shiftright("_slot", _BLOCK_BITS))
-    # One row per block of time: the only window without a partition key.
-    earlier_blocks = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = slots.groupBy("_block").agg(*added)
-    blocks = blocks.select(
-        F.col("_block").alias("_b"),
-        *[F.sum(c).over(earlier_blocks).alias(f"_blocks{c}") for c in _SUMS],
-    )
-    earlier = (
-        Window.partitionBy("_block").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = (
-        slots.select(
-            F.col("_slot").alias("_of"),
-            "_block",
-            *[F.sum(c).over(earlier).alias(f"_slots{c}") for c in _SUMS],
-        )
-        .join(blocks, F.col("_block") == F.col("_b"), "left")
-        .select(
-            "_of", *[(_zero(f"_slots{c}") + _zero(f"_blocks{c}")).alias(f"_before{c}") for c in _SUMS]
-        )
-    )
-    return upto.join(before, F.col("_slot") == F.col("_of"), "left").select(
-        "_for", "_start", *[(F.col(c) + F.col(f"_before{c}")).alias(c) for c in _SUMS]
-    )
+def _range_of(at: Column, bounds: list[int]) -> Column:
+    """Number of the range, found in two steps of about the square root of their number."""
+
+    def passed(starts: Column) -> Column:
+        return F.size(F.filter(starts, lambda x: x <= at))
+
+    if not bounds:
+        return F.lit(0)
+    side = math.isqrt(len(bounds) - 1) + 1
+    coarse = passed(F.array(*[F.lit(b) for b in bounds[::side]]))
+    rows = [bounds[i : i + side] for i in range(0, len(bounds), side)]
+    fine = F.array(*[F.array(*[F.lit(b) for b in row]) for row in rows])
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * side + passed(F.get(fine, coarse - 1)))
 
 
 def _zero(name: str) -> Column:

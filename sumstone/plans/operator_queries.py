@@ -321,7 +321,7 @@ def rank_in_user(spark, sf):
 @register("rank_in_user_over_ranges", "W2 (other ranges)", _RANK_SQL)
 def rank_in_user_over_ranges(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "value")
-    return ordinal_rank(events, ["user_id"], "value", "event_id", parts=7)
+    return ordinal_rank(events, ["user_id"], "value", "event_id", hot=50)
 
 
 @register(

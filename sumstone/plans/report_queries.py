@@ -536,7 +536,7 @@ def box_stats_query(spark, sf):
 @register("box_stats_over_ranges", "A17 (other ranges)", _BOX_SQL)
 def box_stats_over_ranges(spark, sf):
     lines = table(spark, sf, "lineitem")
-    return _rounded_boxes(box_stats(lines, ["l_returnflag"], "l_extendedprice", parts=5))
+    return _rounded_boxes(box_stats(lines, ["l_returnflag"], "l_extendedprice", accuracy=50))
 
 
 @register(
@@ -649,9 +649,9 @@ _ROLLING_SQL = """
     """
 
 
-def _rolling(spark, sf):
+def _rolling(spark, sf, ranges=None):
     events = table(spark, sf, "events").select("event_id", "ts", "value")
-    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2)
+    rolled = rolling_mean(events, "ts", "value", reports.TWO_HOURS, "roll", scale=2, ranges=ranges)
     return rolled.select("event_id", "roll")
 
 
@@ -662,7 +662,8 @@ def rolling_2h(spark, sf):
 
 @register("rolling_2h_by_slot", "W1", _ROLLING_SQL)
 def rolling_2h_by_slot(spark, sf):
-    return _rolling(spark, sf)
+    """The same over other ranges of time."""
+    return _rolling(spark, sf, ranges=61)
 
 
 @register(

@@ -68,8 +68,8 @@ def test_rank_over_ranges_equals_rank_by_window(spark, skewed):
     window = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_last(), "id")
     number = F.when(F.col("v").isNotNull(), F.row_number().over(window).cast("bigint"))
     assert frames_equal(plain, skewed.withColumn("rank", number).select(*plain.columns))
-    for parts in (1, 13):
-        split = ordinal_rank(skewed, ["k"], "v", "id", parts=parts)
+    for hot in (1, 300):
+        split = ordinal_rank(skewed, ["k"], "v", "id", hot=hot)
         assert frames_equal(plain, split.select(*plain.columns))
     assert plain.filter("v IS NULL AND rank IS NOT NULL").count() == 0
 
@@ -77,7 +77,7 @@ def test_rank_over_ranges_equals_rank_by_window(spark, skewed):
 def test_rank_with_a_hot_null_key(spark, skewed):
     df = skewed.withColumn("k", F.when(F.col("k") != "hot", F.col("k")))
     plain = ordinal_rank(df, ["k"], "v", "id")
-    split = ordinal_rank(df, ["k"], "v", "id", parts=11)
+    split = ordinal_rank(df, ["k"], "v", "id", hot=100)
     assert frames_equal(plain, split.select(*plain.columns))
 
 
@@ -86,10 +86,11 @@ def test_quantiles_over_ranges_equal_percentile(spark, skewed):
     exact = skewed.groupBy("k").agg(
         *[F.percentile("v", F.lit(p)).alias(n) for n, p in probs.items()]
     )
-    for parts in (None, 1, 9):
-        assert frames_equal(exact, quantiles_by(skewed, ["k"], "v", probs, parts=parts), digits=9)
-    one = box_stats(skewed, ["k"], "v", parts=1)
-    assert frames_equal(one, box_stats(skewed, ["k"], "v", parts=9), digits=9)
+    for accuracy in (10_000, 100, 20):
+        found = quantiles_by(skewed, ["k"], "v", probs, accuracy=accuracy)
+        assert frames_equal(exact, found, digits=9)
+    one = box_stats(skewed, ["k"], "v")
+    assert frames_equal(one, box_stats(skewed, ["k"], "v", accuracy=20), digits=9)
     close = quantiles_by(skewed, ["k"], "v", {"m": 0.5}, approximate=True)
     assert close.count() == 5
 
@@ -105,8 +106,9 @@ def test_rolling_mean_equals_the_plain_range_window(spark, skewed, width):
         .withColumn("m", F.when(F.col("t").isNotNull(), F.col("m")))
         .select("id", "m")
     )
-    found = rolling_mean(skewed, "ts", "v", width, "m", scale=2).select("id", "m")
-    assert frames_equal(wanted, found)
+    for ranges in (None, 1, 50):
+        found = rolling_mean(skewed, "ts", "v", width, "m", scale=2, ranges=ranges).select("id", "m")
+        assert frames_equal(wanted, found)
 
 
 def test_rolling_mean_edges(spark):

@@ -92,10 +92,12 @@ def test_rolling_mean_has_one_small_unpartitioned_window(spark):
     hours = dt.timedelta(hours=2)
     rolled = rolling_mean(events, "ts", "value", hours)
     plan = plan_text(rolled)
-    # The single task sees one row per block of time, after an aggregation by block.
+    # The single task sees one row per range of time, after an aggregation by range.
     single = plan.split("Exchange SinglePartition")
     assert len(single) == 2
-    assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[_block", single[1])
+    assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[_range", single[1])
+    # Rows are added up by instant before they move, and running totals take one exchange more.
+    assert plan.count("Window [sum(") == 2
 
 
 def test_unused_flag_is_removed(spark):

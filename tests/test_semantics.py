@@ -195,8 +195,8 @@ def test_ratio_to_baseline(spark):
 
 def test_quantiles_of_one_row_and_of_nulls(spark):
     df = spark.createDataFrame([("a", 5.0), ("b", None), (None, 1.0), (None, 2.0)], "k string, v double")
-    for parts in (None, 1):
-        found = quantiles_by(df, ["k"], "v", {"m": 0.5}, parts=parts)
+    for accuracy in (10_000, 10):
+        found = quantiles_by(df, ["k"], "v", {"m": 0.5}, accuracy=accuracy)
         assert {r.k: r.m for r in found.collect()} == {"a": 5.0, "b": None, None: 1.5}
 
 
