@@ -36,6 +36,20 @@ def distinct_count(col: str | Column, null_as_value: bool = False, approximate:
     return n
 
 
+def distinct_counts(df: DataFrame, columns: dict[str, str]) -> dict[str, Column]:
+    """Exact distinct counts of several columns of a table: ``{result: column}`` to scalar columns.
+
+    Each count reads its own column and shuffles its own distinct values, combined before.  Several
+    ``COUNT(DISTINCT ...)`` in one aggregation would read them together and write every row once for
+    each instead.
+    """
+    counts = {}
+    for name, column in columns.items():
+        values = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+        counts[name] = values.agg(F.count(F.lit(1)).alias("_n")).scalar()
+    return counts
+
+
 def grouped_with_dense_ids(
     df: DataFrame, keys: Sequence[str], id: str, out: str, sums: dict[str, Column]
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sumstone.operators.ordered import same_keys
@@ -29,14 +29,19 @@ def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]])
         if fact_key == dim_key:
             fact = fact.join(dim, fact_key)
         else:
-            fact = fact.join(dim, fact[fact_key] == dim[dim_key]).drop(dim[dim_key])
+            key = f"_key_{dim_key}"
+            named = dim.withColumnRenamed(dim_key, key)
+            fact = fact.join(named, F.col(fact_key) == F.col(key)).drop(key)
     return fact
 
 
+#: Integer types and their width.
+_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
 def _comparable(left: DataFrame, right: DataFrame, a: str, b: str) -> tuple[Column, Column]:
     """Both keys in one type, so that equal keys have equal hashes."""
-    wide = ("tinyint", "smallint", "int", "bigint")
-    if left.schema[a].dataType.simpleString() in wide and right.schema[b].dataType.simpleString() in wide:
+    if all(df.schema[k].dataType.simpleString() in _BITS for df, k in ((left, a), (right, b))):
         return F.col(a).cast("bigint"), F.col(b).cast("bigint")
     return F.col(a), F.col(b)
 
@@ -44,14 +49,20 @@ def _comparable(left: DataFrame, right: DataFrame, a: str, b: str) -> tuple[Colu
 def within_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose key lies between the smallest and the largest key left in ``dim``.
 
-    Both ends come from one aggregate of the dimension, which enters the filter as a scalar
-    subquery: it runs first, and Parquet then skips the row groups outside.  An inner join with
-    ``dim`` gives the same rows with and without it.
+    A job over the dimension finds both ends (one row), which enter the plan as literals: they are
+    pushed to the scan, and Parquet skips the row groups outside.  An inner join with ``dim`` gives
+    the same rows with and without it.
     """
-    ends = dim.agg(F.min(dim_key).alias("_least"), F.max(dim_key).alias("_most"))
-    key = F.col(fact_key)
-    least, most = ends.select("_least").scalar(), ends.select("_most").scalar()
-    return fact.filter((key >= least) & (key <= most))
+    kind = fact.schema[fact_key].dataType
+    least, most = dim.agg(F.min(dim_key), F.max(dim_key)).first()
+    if least is None:
+        return fact.filter(F.lit(False))
+    name = kind.simpleString()
+    if name in _BITS and isinstance(least, int):
+        # A key beyond the type of the fact key has no partner: the nearest value only keeps more.
+        far = (1 << (_BITS[name] - 1)) - 1
+        least, most = (max(min(end, far), -far - 1) for end in (least, most))
+    return fact.filter(F.col(fact_key).between(F.lit(least).cast(kind), F.lit(most).cast(kind)))
 
 
 def maybe_in_keys(
@@ -92,26 +103,30 @@ def grouped_by_attributes(
 ) -> DataFrame:
     """Aggregates by columns of the fact table and attributes of ``(dimension, fact key, key, attributes)``.
 
-    Each combination of attributes is stood for by the smallest dimension key that has it.  Facts
-    are grouped by these numbers, so the large shuffle carries no names, and names are attached to
-    the groups: one aggregation, also where several keys share a name.  Rows are those of the inner
+    Each combination of attributes is stood for by the smallest dimension key that has it (and a
+    number, where a key has several).  Facts are grouped by these numbers, so the large shuffle
+    carries no names, and names are attached to the groups: one aggregation, also where several keys
+    share a name.  Rows are those of the inner
     joins; a key that a dimension repeats counts once for each.
     """
     codes, names = [], []
     for i, (dim, fact_key, dim_key, attributes) in enumerate(dimensions):
-        code, key = f"_code{i}", f"_key{i}"
+        code, nth, key = f"_code{i}", f"_nth{i}", f"_key{i}"
+        same_key = Window.partitionBy(code).orderBy(*attributes)
         named = dim.groupBy(*attributes).agg(F.min(dim_key).alias(code))
-        named = named.withColumnsRenamed({a: f"_of{i}_{a}" for a in attributes})
+        named = named.withColumn(nth, F.row_number().over(same_key))
+        renamed = named.withColumnsRenamed({a: f"_of{i}_{a}" for a in attributes})
         same = F.lit(True)
         for a in attributes:
             same = same & F.col(a).eqNullSafe(F.col(f"_of{i}_{a}"))
-        coded = dim.join(named, same).select(F.col(dim_key).alias(key), code)
+        coded = dim.join(renamed, same).select(F.col(dim_key).alias(key), code, nth)
         fact = fact.join(coded, F.col(fact_key) == F.col(key)).drop(key)
-        codes.append(code)
-        names.append(named.withColumnsRenamed({f"_of{i}_{a}": a for a in attributes}))
-    totals = fact.groupBy(*keys, *codes).agg(*[c.alias(n) for n, c in aggregates.items()])
-    for code, named in zip(codes, names):
-        totals = totals.join(named, code)
+        codes.append([code, nth])
+        names.append(named)
+    flat = [c for pair in codes for c in pair]
+    totals = fact.groupBy(*keys, *flat).agg(*[c.alias(n) for n, c in aggregates.items()])
+    for pair, named in zip(codes, names):
+        totals = totals.join(named, pair)
     attributes = [a for _, _, _, some in dimensions for a in some]
     return totals.select(*keys, *attributes, *aggregates)
 

@@ -14,7 +14,7 @@ from sumstone.functions.exact import exact_mean, exact_sum
 from sumstone.operators import aggregate as agg
 from sumstone.operators import checks
 from sumstone.operators.clean import plain_names
-from sumstone.operators.setops import stack
+from sumstone.operators.setops import append_summary, stack
 from sumstone.plans.registry import register, table
 from sumstone.plans.reports import FIVE_MINUTES
 from sumstone.session import scratch_path
@@ -177,14 +177,15 @@ def sql_bound_parameters(spark, sf):
     "columns_of_orders",
     "S16",
     """
-    SELECT * FROM (VALUES (0, 'o_orderkey'), (1, 'o_custkey'), (2, 'o_orderstatus'),
-      (3, 'o_totalprice'), (4, 'o_orderdate'), (5, 'o_orderpriority')) t(position, column_name)
+    SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'),
+      (2, 'o_orderstatus', 'string'), (3, 'o_totalprice', 'double'),
+      (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string'))
+      t(position, column_name, data_type)
     WHERE (SELECT count(*) FROM orders) >= 0
     """,
 )
 def columns_of_orders(spark, sf):
-    columns = readers.schema_table(spark.read.parquet(f"{sf}/orders.parquet"))
-    return columns.select("position", "column_name")
+    return readers.schema_table(spark.read.parquet(f"{sf}/orders.parquet"))
 
 
 @register(
@@ -308,7 +309,14 @@ def csv_to_parquet(spark, sf):
     source, target = scratch_path(spark, "csv"), scratch_path(spark, "parquet")
     writers.write_csv(table(spark, sf, "lineitem"), source)
     report = writers.csv_to_parquet(spark, source, target, schema=TABLES["lineitem"])
-    known = (F.col("csv_bytes") > 0) & (F.col("parquet_bytes") > 0) & (F.col("ratio") > 0)
+    # The sizes once more, as the file sources tell them with the rows.
+    told = {
+        "csv_bytes": checks.dataset_summary(readers.read_csv(spark, source, schema=TABLES["lineitem"])),
+        "parquet_bytes": checks.dataset_summary(spark.read.parquet(target)),
+    }
+    known = F.abs(F.col("ratio") - F.col("csv_bytes") / F.col("parquet_bytes")) < 1e-9
+    for column, files in told.items():
+        known = known & (files.agg(F.sum("bytes")).scalar() == F.col(column))
     return report.select("rows", known.alias("sizes_known"))
 
 
@@ -321,9 +329,13 @@ def csv_to_parquet(spark, sf):
     """,
 )
 def dataset_summary(spark, sf):
-    files = [checks.dataset_summary(table(spark, sf, n)) for n in ("lineitem", "orders")]
-    summary = stack(files)
-    return summary.select("file", "rows", "columns", (F.col("size_mb") >= 0).alias("has_size"))
+    """From the footers; the sizes must be those that the file source tells with the rows."""
+    names = ("lineitem", "orders")
+    summary = checks.parquet_summary(spark, *[f"{sf}/{n}.parquet" for n in names])
+    read = stack([checks.dataset_summary(table(spark, sf, n)) for n in names])
+    read = read.select("file", F.col("rows").alias("_rows"), F.col("size_mb").alias("_mb"))
+    same = (F.col("size_mb") == F.col("_mb")) & (F.col("rows") == F.col("_rows"))
+    return summary.join(read, "file").select("file", "rows", "columns", same.alias("has_size"))
 
 
 @register(
@@ -335,10 +347,74 @@ def dataset_summary(spark, sf):
     """,
 )
 def parquet_footers(spark, sf):
-    footers = stack(
-        [checks.parquet_footers(spark, f"{sf}/{n}.parquet") for n in ("lineitem", "part")]
-    )
-    return footers.select("file", "rows", "columns", (F.col("row_groups") > 0).alias("has_groups"))
+    """Row groups as the files have them: none without rows, none with more than a million."""
+    footers = checks.parquet_footers(spark, *[f"{sf}/{n}.parquet" for n in ("lineitem", "part")])
+    least = F.ceil(F.col("rows") / F.lit(1 << 20))
+    groups = (F.col("row_groups") >= least) & (F.col("row_groups") <= F.col("rows"))
+    return footers.select("file", "rows", "columns", groups.alias("has_groups"))
+
+
+@register(
+    "column_facts",
+    "Q4 Q6 S16",
+    """
+    WITH c AS (
+      SELECT 0 AS position, 'o_orderkey' AS column_name, 'int64' AS data_type, count(*) AS rows,
+             count(*) - count(o_orderkey) AS nulls, cast(min(o_orderkey) AS double) AS least,
+             cast(max(o_orderkey) AS double) AS most, NULL::text AS first_text, NULL::text AS last_text
+      FROM orders
+      UNION ALL SELECT 1, 'o_custkey', 'int64', count(*), count(*) - count(o_custkey),
+             cast(min(o_custkey) AS double), cast(max(o_custkey) AS double), NULL, NULL FROM orders
+      UNION ALL SELECT 2, 'o_orderstatus', 'string', count(*), count(*) - count(o_orderstatus),
+             NULL, NULL, min(o_orderstatus), max(o_orderstatus) FROM orders
+      UNION ALL SELECT 3, 'o_totalprice', 'double', count(*), count(*) - count(o_totalprice),
+             min(o_totalprice), max(o_totalprice), NULL, NULL FROM orders
+      UNION ALL SELECT 4, 'o_orderdate', 'timestamp[us]', count(*), count(*) - count(o_orderdate),
+             epoch(min(o_orderdate)), epoch(max(o_orderdate)), NULL, NULL FROM orders
+      UNION ALL SELECT 5, 'o_orderpriority', 'string', count(*), count(*) - count(o_orderpriority),
+             NULL, NULL, min(o_orderpriority), max(o_orderpriority) FROM orders)
+    SELECT * FROM c
+    """,
+)
+def column_facts(spark, sf):
+    """Types, nulls and extreme values of a table by its footers, against those of its rows."""
+    facts = checks.parquet_columns(spark, f"{sf}/orders.parquet")
+    return facts.drop("column_bytes")
+
+
+_RUNS_SQL = """
+    SELECT l_returnflag AS engine, cast(sum(cast(l_quantity AS decimal(18,2))) AS double) AS time,
+           count(*) AS rows FROM lineitem GROUP BY 1, l_linenumber
+    """
+
+
+@register(
+    "results_appended",
+    "N16 U2 K2",
+    f"""
+    WITH e AS ({_RUNS_SQL}),
+    s AS (SELECT engine, time, rows FROM e
+          UNION ALL
+          SELECT engine || '_AVG', round(cast(sum(cast(time AS decimal(18,2))) AS double) / count(*), 2),
+                 cast(floor(avg(rows)) AS bigint)
+          FROM e GROUP BY engine)
+    SELECT engine, time, rows, count(*) * 2 AS times FROM s GROUP BY ALL
+    """,
+)
+def results_appended(spark, sf):
+    """Run results with their averages, appended to a results folder twice; a repeated run adds nothing."""
+    runs = agg.grouped(
+        table(spark, sf, "lineitem"),
+        ["l_returnflag", "l_linenumber"],
+        {"time": exact_sum(F.col("l_quantity")), "rows": agg.rows()},
+    ).select(F.col("l_returnflag").alias("engine"), "time", "rows")
+    averages = {"time": F.round(exact_mean(F.col("time")), 2), "rows": F.floor(F.avg("rows"))}
+    summary = append_summary(runs, "engine", averages)
+    folder = scratch_path(spark, "results")
+    added = [writers.append_once(summary, folder, batch) for batch in ("first", "second", "first")]
+    assert added == [True, True, False]
+    back = writers.read_results(spark, folder, "engine string, time double, rows bigint")
+    return agg.grouped(back, ["engine", "time", "rows"], {"times": agg.rows()})
 
 
 # --- Arrow IPC ------------------------------------------------------------------------------

@@ -8,12 +8,20 @@ from sumstone.functions.exact import exact_mean, exact_sum
 from sumstone.functions.scalar import bytes_to_mib, modulo_bucket
 from sumstone.operators import aggregate as agg
 from sumstone.operators.filters import among, from_year
-from sumstone.operators.joins import in_top, star_join
+from sumstone.operators.joins import (
+    grouped_by_attributes,
+    in_top,
+    maybe_in_keys,
+    star_join,
+    within_keys,
+)
 from sumstone.operators.pivot import crosstab
 from sumstone.operators.quantiles import box_stats
 from sumstone.operators.timeseries import rolling_mean
 from sumstone.plans import reports
 from sumstone.plans.registry import register, table
+from sumstone.session import scratch_path
+from sumstone.sources import readers, writers
 
 
 def events_as_orders(spark, sf):
@@ -159,10 +167,7 @@ def sum_small_values(spark, sf):
     )
 
 
-@register(
-    "star_sales",
-    "N3 P2 J1 J5 F7 A9 A10 A11 O1",
-    """
+STAR_SQL = """
     SELECT cast(year(o_orderdate) AS int) AS order_year, n_name, c_mktsegment, p_brand, s_name,
            o_orderpriority,
            cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) AS total_sales,
@@ -181,8 +186,22 @@ def sum_small_values(spark, sf):
     WHERE year(o_orderdate) >= 1998
     GROUP BY 1, 2, 3, 4, 5, 6
     ORDER BY 1, 2, 3, 4, 5, 6, total_sales DESC, quantity DESC
-    """,
-)
+    """
+STAR_KEYS = ["order_year", "n_name", "c_mktsegment", "p_brand", "s_name", "o_orderpriority"]
+
+
+def star_sums():
+    return {
+        "total_sales": exact_sum(F.col("l_extendedprice"), wide=False),
+        "quantity": exact_sum(F.col("l_quantity"), wide=False),
+        "tax": exact_sum(F.col("l_tax"), wide=False),
+        "avg_retail": exact_mean(F.col("p_retailprice"), wide=False),
+        "avg_discount": exact_mean(F.col("l_discount"), wide=False),
+        "transactions": F.count("l_linenumber"),
+    }
+
+
+@register("star_sales", "N3 P2 J1 J5 F7 A9 A10 A11 O1", STAR_SQL)
 def star_sales(spark, sf):
     orders = table(spark, sf, "orders")
     orders = orders.filter(from_year(orders, "o_orderdate", 1998)).withColumn(
@@ -198,19 +217,39 @@ def star_sales(spark, sf):
             (table(spark, sf, "nation"), "c_nationkey", "n_nationkey"),
         ],
     )
-    return reports.star_summary(
-        joined,
-        ["order_year", "n_name", "c_mktsegment", "p_brand", "s_name", "o_orderpriority"],
-        {
-            "total_sales": exact_sum(F.col("l_extendedprice"), wide=False),
-            "quantity": exact_sum(F.col("l_quantity"), wide=False),
-            "tax": exact_sum(F.col("l_tax"), wide=False),
-            "avg_retail": exact_mean(F.col("p_retailprice"), wide=False),
-            "avg_discount": exact_mean(F.col("l_discount"), wide=False),
-            "transactions": F.count("l_linenumber"),
-        },
-        ["total_sales", "quantity"],
+    # The keys tell all rows apart: measures would never decide their order.
+    return reports.star_summary(joined, STAR_KEYS, star_sums(), [])
+
+
+@register("star_pruned", "N3 J1 A10 (facts pruned by keys, grouped by codes)", STAR_SQL)
+def star_pruned(spark, sf):
+    """The same report: lines pruned by the keys of the orders, grouped by codes of the attributes."""
+    orders = table(spark, sf, "orders")
+    orders = orders.filter(from_year(orders, "o_orderdate", 1998)).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("order_year")
+    )
+    lines = within_keys(table(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
+    lines = maybe_in_keys(lines, orders, "l_orderkey", "o_orderkey")
+    part, nation = table(spark, sf, "part"), table(spark, sf, "nation")
+    facts = star_join(
+        lines,
+        [
+            (orders, "l_orderkey", "o_orderkey"),
+            (part.select("p_partkey", "p_retailprice"), "l_partkey", "p_partkey"),
+        ],
     )
+    people = star_join(table(spark, sf, "customer"), [(nation, "c_nationkey", "n_nationkey")])
+    report = grouped_by_attributes(
+        facts,
+        [
+            (people, "o_custkey", "c_custkey", ["n_name", "c_mktsegment"]),
+            (part, "l_partkey", "p_partkey", ["p_brand"]),
+            (table(spark, sf, "supplier"), "l_suppkey", "s_suppkey", ["s_name"]),
+        ],
+        ["order_year", "o_orderpriority"],
+        star_sums(),
+    )
+    return report.select(*STAR_KEYS, *star_sums())
 
 
 @register(
@@ -679,3 +718,74 @@ def strings_flag(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey", contains_flag(F.col("p_name"), "A").alias("has_a")
     )
+
+
+_CENSUS_SQL = """
+    WITH raw AS (
+      SELECT cast(o_custkey % 73 + 17 AS text) AS age, o_orderpriority AS education,
+        CASE WHEN o_orderkey % 11 = 0 THEN '?' ELSE 'class ' || o_orderkey % 9 END AS workclass,
+        CASE WHEN o_orderkey % 17 = 0 THEN '?' ELSE 'job ' || o_custkey % 15 END AS occupation,
+        CASE WHEN o_orderkey % 3 = 0 THEN 'Female' ELSE 'Male' END AS sex,
+        CASE WHEN o_custkey % 29 = 0 THEN '?' ELSE 'land ' || o_custkey % 25 END AS native_country,
+        CASE WHEN o_orderkey % 97 = 0 THEN 'many' ELSE cast(o_orderkey % 60 + 20 AS text) END
+          AS hours_per_week,
+        CASE WHEN o_totalprice > 200000 THEN '>50K' ELSE '<=50K' END AS income
+      FROM orders),
+    c AS (
+      SELECT cast(age AS bigint) AS age, try_cast(hours_per_week AS bigint) AS hours_per_week,
+             education, workclass, occupation, sex, income
+      FROM raw WHERE workclass <> '?' AND occupation <> '?' AND native_country <> '?'),
+    m AS (SELECT 'hours_per_week box' AS report, income, hours_per_week AS v FROM c
+          UNION ALL SELECT 'age box', income, age FROM c),
+    q AS (SELECT report, income, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+                 quantile_cont(v, 0.75) AS q3 FROM m GROUP BY 1, 2),
+    b AS (
+      SELECT report, income, count(v)::double AS n, any_value(q1)::double AS q1,
+        any_value(median)::double AS median, any_value(q3)::double AS q3,
+        min(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::double AS whisker_low,
+        max(v) FILTER (WHERE v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::double AS whisker_high,
+        count(*) FILTER (WHERE v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))::double AS outliers
+      FROM m JOIN q USING (report, income) GROUP BY 1, 2),
+    w AS (SELECT workclass, count(*) AS n FROM c GROUP BY 1 ORDER BY n DESC, workclass LIMIT 7),
+    o AS (SELECT occupation, count(*) AS n FROM c WHERE income = '>50K' GROUP BY 1
+          ORDER BY n DESC, occupation LIMIT 10)
+    SELECT 'incomes' AS report, NULL::text AS category, income, NULL::text AS figure,
+           count(*)::double AS value FROM c GROUP BY income
+    UNION ALL SELECT 'education by income' AS report, education AS category, income, NULL::text AS figure,
+           count(*)::double AS value FROM c GROUP BY education, income
+    UNION ALL SELECT 'sex by income', sex, income, NULL, count(*) FROM c GROUP BY sex, income
+    UNION ALL SELECT 'top workclasses', workclass, NULL, NULL, n FROM w
+    UNION ALL SELECT 'top occupations', occupation, NULL, NULL, n FROM o
+    UNION ALL SELECT 'workclass by income', workclass, income, NULL, count(*) FROM c
+              WHERE workclass IN (SELECT workclass FROM w) GROUP BY workclass, income
+    UNION ALL SELECT report, NULL, income, figure, value FROM (
+      UNPIVOT b ON n, q1, median, q3, whisker_low, whisker_high, outliers INTO NAME figure VALUE value)
+    """
+
+
+@register("census_chain", "N10 N11 N12 S7 M1 M2 M3 V1 A13 A15 A16 A17 F8", _CENSUS_SQL)
+def census_chain(spark, sf):
+    """The census analysis from a CSV file with dotted names and ``?`` markers to all its figures."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+
+    def some(marked, text):
+        return F.when(marked, F.lit("?")).otherwise(text)
+
+    raw = table(spark, sf, "orders").select(
+        (customer % 73 + 17).alias("age"),
+        some(key % 11 == 0, F.concat(F.lit("class "), (key % 9).cast("string"))).alias("workclass"),
+        key.alias("fnlwgt"),
+        F.col("o_orderpriority").alias("education"),
+        (key % 16 + 1).alias("education.num"),
+        some(key % 17 == 0, F.concat(F.lit("job "), (customer % 15).cast("string"))).alias("occupation"),
+        F.when(key % 3 == 0, "Female").otherwise("Male").alias("sex"),
+        (key % 5000).alias("capital.gain"),
+        (customer % 900).alias("capital.loss"),
+        F.when(key % 97 == 0, "many").otherwise((key % 60 + 20).cast("string")).alias("hours.per.week"),
+        some(customer % 29 == 0, F.concat(F.lit("land "), (customer % 25).cast("string"))).alias("native.country"),
+        F.when(F.col("o_totalprice") > 200_000, ">50K").otherwise("<=50K").alias("income"),
+    )
+    path = scratch_path(spark, "census")
+    writers.write_csv(raw, path)
+    cleaned = reports.census_clean(readers.read_csv(spark, path, all_text=True))
+    return reports.census_report(cleaned)

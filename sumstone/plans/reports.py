@@ -34,11 +34,11 @@ from sumstone.functions.scalar import (
 from sumstone.operators import aggregate as agg
 from sumstone.operators.clean import clean_table
 from sumstone.operators.filters import all_of, among, on_or_after
-from sumstone.operators.joins import in_top, lookup, star_join
+from sumstone.operators.joins import in_top, lookup, star_join, within_keys
 from sumstone.operators.ordered import ordinal_rank
 from sumstone.operators.pivot import crosstab, pivot_mean
 from sumstone.operators.quantiles import box_stats
-from sumstone.operators.setops import append_summary
+from sumstone.operators.setops import append_summary, stack
 from sumstone.operators.timeseries import resample, rolling_mean, tumbling
 from sumstone.sources.schemas import CENSUS_NUMERIC
 from sumstone.sources.writers import to_rows
@@ -148,7 +148,7 @@ def star_report(
 ) -> DataFrame:
     """Sales by year, county, store, vendor, category and item from ``from_year`` on, sorted.
 
-    Facts are filtered through the calendar and aggregated by their integer keys; names are
+    Facts outside the calendar's keys are skipped in the scan, the others aggregated by their integer keys; names are
     attached to the aggregated rows, so the large shuffle carries numbers only.  As a dimension may
     give one name to several keys, or repeat a key, the sums are added up once more by name, which
     is the same as grouping the joined facts by name.
@@ -171,7 +171,8 @@ def star_report(
         "_costs": F.count("StateBottleCost"),
         "transactions": F.count("ID"),
     }
-    facts = star_join(sales, [(dates, "DateID", "DateID")])
+    facts = within_keys(sales, dates, "DateID", "DateID")
+    facts = star_join(facts, [(dates, "DateID", "DateID")])
     totals = agg.grouped(facts, ["CalendarYear", *ids], sums)
     named = star_join(totals, [(dim, key, key) for dim, key in dims])
     keys = ["CalendarYear", "County", "StoreName", "VendorName", "CategoryName", "ItemName"]
@@ -268,17 +269,13 @@ def executive_dashboard(
 
 def traffic_validation(traffic: DataFrame) -> DataFrame:
     """Rows, first and last year, distinct sources and destinations: one row."""
-    return agg.grouped(
+    facts = agg.grouped(
         traffic,
         [],
-        {
-            "rows": agg.rows(),
-            "min_year": F.min("year"),
-            "max_year": F.max("year"),
-            "unique_sources": agg.distinct_count("src"),
-            "unique_destinations": agg.distinct_count("dst"),
-        },
+        {"rows": agg.rows(), "min_year": F.min("year"), "max_year": F.max("year")},
     )
+    distinct = {"unique_sources": "src", "unique_destinations": "dst"}
+    return facts.withColumns(agg.distinct_counts(traffic, distinct))
 
 
 def monthly_bytes(traffic: DataFrame) -> DataFrame:
@@ -321,6 +318,47 @@ def income_boxes(cleaned: DataFrame, measure: str) -> DataFrame:
     return box_stats(cleaned, ["income"], measure)
 
 
+def census_report(cleaned: DataFrame, incomes: Sequence[str] = ("<=50K", ">50K")) -> DataFrame:
+    """All figures of the census analysis in one long table: ``report, category, income, figure, value``.
+
+    Income counts, cross-tabs of education and sex by income, the seven most frequent workclasses, the ten most
+    frequent occupations of the higher income, workclasses by income, and boxes of hours and age.
+    """
+    columns = ["report", "category", "income", "figure", "value"]
+
+    def long(df: DataFrame, report: str, **named: Column) -> DataFrame:
+        wide = df.select(
+            F.lit(report).alias("report"),
+            *[named.get(c, F.lit(None).cast("string")).alias(c) for c in columns[1:4]],
+            named["value"].cast("double").alias("value"),
+        )
+        return wide.filter(F.col("value").isNotNull())
+
+    n = F.col("count")
+    incomes_found = agg.histogram(cleaned, ["income"])
+    parts = [long(incomes_found, "incomes", income=F.col("income"), value=n)]
+    for by in ("education", "sex"):
+        table = income_crosstab(cleaned, by, incomes).unpivot(by, list(incomes), "income", "n")
+        parts.append(long(table, f"{by} by income", category=F.col(by), income=F.col("income"), value=F.col("n")))
+    top = top_workclasses(cleaned)
+    parts.append(long(top, "top workclasses", category=F.col("workclass"), value=n))
+    jobs = top_occupations(cleaned, incomes[-1])
+    parts.append(long(jobs, "top occupations", category=F.col("occupation"), value=n))
+    hue = workclass_by_income(cleaned)
+    parts.append(
+        long(hue, "workclass by income", category=F.col("workclass"), income=F.col("income"), value=n)
+    )
+    figures = ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers"]
+    for measure in ("hours_per_week", "age"):
+        boxes = income_boxes(cleaned, measure)
+        boxes = boxes.select("income", *[F.col(c).cast("double").alias(c) for c in figures])
+        boxes = boxes.unpivot("income", figures, "figure", "value")
+        parts.append(
+            long(boxes, f"{measure} box", income=F.col("income"), figure=F.col("figure"), value=F.col("value"))
+        )
+    return stack(parts)
+
+
 # --- micro tests ----------------------------------------------------------------------------
 
 

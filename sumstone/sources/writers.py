@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sumstone.sources.readers import DIALECT, read_csv
@@ -49,12 +50,56 @@ def write_parquet(
     writer.parquet(path)
 
 
+def packed_csv(
+    spark: SparkSession, glob: str, files: int, schema: str | None = None
+) -> DataFrame:
+    """CSV files as ``files`` partitions of about equal bytes, without moving a row.
+
+    The file source packs its files, and pieces of large ones, into read tasks by size; told to make
+    eight for each wanted partition, it leaves pieces fine enough to be put together evenly.  The
+    frame belongs to a session of its own, whose settings ask for that.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.minPartitionNum", 8 * files)
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 40))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return read_csv(own, glob, schema=schema, all_text=schema is None).coalesce(files)
+
+
 def compact_csv(
     spark: SparkSession, glob: str, target: str, files: int, schema: str | None = None
 ) -> None:
-    """Many CSV files with the same header into ``files`` larger ones."""
-    source = read_csv(spark, glob, schema=schema, all_text=schema is None)
-    write_csv(source, target, files=files)
+    """Many CSV files with the same header into at most ``files`` larger ones of like size."""
+    write_csv(packed_csv(spark, glob, files, schema), target)
+
+
+def append_once(df: DataFrame, folder: str, batch: str) -> bool:
+    """Add the rows of a result to a folder of CSV results; a batch that is there adds nothing.
+
+    The rows are written beside the folder's batches and renamed into place as a whole, so readers
+    see a batch completely or not at all, and a run that is repeated after a failure leaves one copy.
+    Returns whether the batch was added.  :func:`read_results` reads all batches.
+    """
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(f"{folder}/batch={batch}")
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(target):
+        return False
+    staged = f"{folder}/_staged-{uuid.uuid4().hex}"
+    write_csv(df, staged)
+    # A rename onto a folder that came up meanwhile would put ours inside it, so it is looked for
+    # once more; one writer at a time is assumed per batch, as for a file.
+    added = not store.exists(target) and store.rename(hadoop.Path(staged), target)
+    if not added:
+        store.delete(hadoop.Path(staged), True)
+    return bool(added)
+
+
+def read_results(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """All batches of :func:`append_once`; one header is read for all files."""
+    return read_csv(spark, f"{folder}/batch=*", schema=schema)
 
 
 def folder_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -78,16 +123,18 @@ def csv_to_parquet(
     codec: str = "zstd",
     level: int | None = 3,
 ) -> DataFrame:
-    """Convert CSV to Parquet and report rows, both sizes and their ratio as one row."""
-    write_parquet(read_csv(spark, source, schema=schema), target, codec=codec, level=level)
-    before = folder_bytes(spark, source).select("bytes").scalar()
-    after = folder_bytes(spark, target).select("bytes").scalar()
-    sizes = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("rows"))
-    return sizes.select(
-        "rows",
-        before.alias("csv_bytes"),
-        after.alias("parquet_bytes"),
-    ).withColumn("ratio", F.col("csv_bytes") / F.col("parquet_bytes"))
+    """Convert CSV to Parquet and report rows, both sizes and their ratio as one row.
+
+    Rows are counted while they are written; sizes come from the file listings.
+    """
+    seen = Observation()
+    rows = read_csv(spark, source, schema=schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_parquet(rows, target, codec=codec, level=level)
+    before, after = (folder_bytes(spark, path).first()["bytes"] for path in (source, target))
+    report = [(seen.get["rows"], before, after, before / after if after else None)]
+    return spark.createDataFrame(
+        report, "rows bigint, csv_bytes bigint, parquet_bytes bigint, ratio double"
+    )
 
 
 def to_rows(df: DataFrame) -> list[dict[str, Any]]:

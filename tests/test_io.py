@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
+import os
 
 import duckdb
 import pyarrow as pa
@@ -10,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from shared import SF_DIR, rows_of
+from shared import SF_DIR, plan_text, rows_of
 from sumstone import scratch_path
 from sumstone.operators import checks
 from sumstone.plans.registry import table
@@ -204,3 +206,66 @@ def test_csv_columns_go_by_name_and_bad_rows_stop_the_job(spark, tmp_path):
             readers.read_csv(spark, str(tmp_path / "bad.csv"), schema=schema).collect()
         kept = readers.read_csv(spark, str(tmp_path / "bad.csv"), schema=schema, mode="PERMISSIVE")
         assert rows_of(kept) == [(1, None)]
+
+
+def test_files_are_packed_without_a_shuffle(spark):
+    root = scratch_path(spark, "many")
+    lines = table(spark, SF_DIR, "lineitem")
+    for i, share in enumerate([0.5, 0.2, 0.1, 0.05, 0.05, 0.02, 0.02, 0.02, 0.02, 0.02]):
+        lines.sample(share, i).coalesce(1).write.option("header", True).csv(f"{root}/batch_{i}")
+    source = f"{root}/batch_*"
+    packed = writers.packed_csv(spark, source, 3)
+    assert "Exchange" not in plan_text(packed)
+    writers.compact_csv(spark, source, f"{root}/out", 3)
+    sizes = [os.path.getsize(p) for p in glob.glob(f"{root.removeprefix('file:')}/out/*.csv")]
+    assert len(sizes) == 3 and max(sizes) <= 2 * min(sizes)
+    back = readers.read_csv(spark, f"{root}/out", all_text=True)
+    assert rows_of(back) == rows_of(readers.read_csv(spark, source, all_text=True))
+
+
+def test_conversion_report_has_the_sizes_of_the_files(spark):
+    root = scratch_path(spark, "convert")
+    writers.write_csv(table(spark, SF_DIR, "orders"), f"{root}/csv")
+    report = writers.csv_to_parquet(spark, f"{root}/csv", f"{root}/parquet").first()
+    sizes = [
+        sum(os.path.getsize(p) for p in glob.glob(f"{root.removeprefix('file:')}/{kind}/part-*"))
+        for kind in ("csv", "parquet")
+    ]
+    assert [report.csv_bytes, report.parquet_bytes] == sizes and report.ratio == sizes[0] / sizes[1]
+    assert report.rows == table(spark, SF_DIR, "orders").count()
+
+
+def test_footer_facts_equal_the_files(spark):
+    root = scratch_path(spark, "facts").removeprefix("file:")
+    os.makedirs(root)
+    first = pa.table({"n": pa.array([3, None, 1], pa.int64()), "t": ["b", "a", None], "x": [0.5, 2.5, None],
+                      "d": [dt.date(1970, 1, 3), None, dt.date(1969, 12, 31)], "none": pa.array([None] * 3, pa.int32())})
+    second = pa.table({"n": pa.array([9] * 4, pa.int64()), "t": ["z"] * 4, "x": [-1.0] * 4,
+                       "d": [dt.date(1971, 1, 1)] * 4, "none": pa.array([7] * 4, pa.int32())})
+    pq.write_table(first, f"{root}/one.parquet", row_group_size=2)
+    pq.write_table(second, f"{root}/two.parquet", write_statistics=["n", "t", "d", "none"])
+    summary = {r.file: r for r in checks.parquet_summary(spark, root).collect()}
+    for name, rows in (("one.parquet", 3), ("two.parquet", 4)):
+        size = os.path.getsize(f"{root}/{name}")
+        assert (summary[name].rows, summary[name]["columns"]) == (rows, 5)
+        assert summary[name].size_mb == round(size / 2**20, 2)
+    groups = {r.file: (r.row_groups, r.bytes) for r in checks.parquet_footers(spark, root).collect()}
+    assert groups["one.parquet"] == (2, os.path.getsize(f"{root}/one.parquet"))
+    facts = {r.column_name: r for r in checks.parquet_columns(spark, root).collect()}
+    assert (facts["n"].rows, facts["n"].nulls, facts["n"].least, facts["n"].most) == (7, 1, 1.0, 9.0)
+    assert (facts["t"].first_text, facts["t"].last_text, facts["t"].least) == ("a", "z", None)
+    assert (facts["d"].least, facts["d"].most, facts["d"].data_type) == (-86400.0, 365 * 86400.0, "date32[day]")
+    assert (facts["x"].nulls, facts["x"].least) == (None, None)  # one file keeps no statistics of it
+    assert (facts["none"].nulls, facts["none"].least, facts["none"].most) == (3, 7.0, 7.0)
+
+
+def test_a_batch_of_results_is_added_once(spark):
+    folder = scratch_path(spark, "results")
+    rows = spark.createDataFrame([("a", 1.5), ('quoted "b"', None)], "engine string, time double").repartition(2)
+    assert writers.append_once(rows, folder, "2024-01-01")
+    assert writers.append_once(rows, folder, "2024-01-02")
+    assert not writers.append_once(rows, folder, "2024-01-01")
+    back = writers.read_results(spark, folder, "engine string, time double")
+    assert rows_of(back) == sorted(2 * [tuple(r) for r in rows.collect()], key=repr)
+    left = [p for p in os.listdir(folder.removeprefix("file:")) if not p.startswith(".")]
+    assert sorted(left) == ["batch=2024-01-01", "batch=2024-01-02"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shared import SF_DIR, plan_text
 from sumstone.operators import aggregate as agg
+from sumstone.operators import quantiles
 from sumstone.operators.filters import from_year
 from sumstone.operators.joins import star_join
 from sumstone.operators.timeseries import rolling_mean
@@ -108,3 +109,18 @@ def test_unused_flag_is_removed(spark):
         quantity="l_quantity",
     )
     assert "high" not in plan_text(report)
+
+
+def test_distinct_counts_do_not_multiply_rows(spark):
+    assert "Expand" not in plan_of(spark, "traffic_validation")
+
+
+def test_quantiles_are_not_sorted_or_written(spark):
+    lines = table(spark, SF_DIR, "lineitem")
+    plan = plan_text(quantiles.box_stats(lines, ["l_returnflag"], "l_extendedprice"))
+    assert "rangepartitioning" not in plan and "Sort " not in plan and "Window" not in plan
+
+
+def test_ranks_move_rows_once(spark):
+    plan = plan_of(spark, "rank_in_user")
+    assert plan.count("Exchange ") == 1
