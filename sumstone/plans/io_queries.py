@@ -445,45 +445,67 @@ def arrow_ipc_columns(spark, sf):
 # --- streams --------------------------------------------------------------------------------
 
 
-@register(
-    "stream_sum_equals_batch",
-    "R1",
-    """
+_STREAM_SUM_SQL = """
     SELECT l_linestatus, count(*) AS n, cast(sum(cast(l_extendedprice AS decimal(18,2))) AS double) AS total
     FROM lineitem GROUP BY 1
-    """,
-)
-def stream_sum_equals_batch(spark, sf):
+    """
+
+
+def _line_totals(spark, sf):
     lines = inc.read_file_stream(spark, sf, TABLES["lineitem"], file_glob="lineitem.parquet")
-    totals = inc.incremental_aggregate(
+    return inc.incremental_aggregate(
         lines,
         ["l_linestatus"],
         {"n": agg.rows(), "total": exact_sum(F.col("l_extendedprice"))},
     )
+
+
+@register("stream_sum_equals_batch", "R1", _STREAM_SUM_SQL)
+def stream_sum_equals_batch(spark, sf):
+    totals = _line_totals(spark, sf)
     return inc.complete_result(totals, scratch_path(spark, "stream"), scratch_path(spark, "state"))
 
 
-@register(
-    "stream_tumbling",
-    "R2 T2",
-    """
+@register("stream_changed_keys", "R1 (changed keys only)", _STREAM_SUM_SQL)
+def stream_changed_keys(spark, sf):
+    totals = _line_totals(spark, sf)
+    return inc.changed_result(
+        totals, ["l_linestatus"], scratch_path(spark, "stream"), scratch_path(spark, "state")
+    )
+
+
+_STREAM_TUMBLING_SQL = """
     SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bucket, count(*) AS n,
            cast(sum(cast(value AS decimal(18,2))) AS double) / count(value) AS mean_value
     FROM events GROUP BY 1
-    """,
-)
-def stream_tumbling(spark, sf):
+    """
+
+
+def _five_minutes(spark, sf):
     events = inc.read_file_stream(spark, sf, TABLES["events"], file_glob="events.parquet")
-    means = inc.incremental_tumbling(
+    return inc.incremental_tumbling(
         events,
         "ts",
         FIVE_MINUTES,
         {"n": agg.rows(), "mean_value": exact_mean(F.col("value"))},
         late=dt.timedelta(minutes=10),
     )
+
+
+@register("stream_tumbling", "R2 T2", _STREAM_TUMBLING_SQL)
+def stream_tumbling(spark, sf):
+    means = _five_minutes(spark, sf)
     return inc.complete_result(means, scratch_path(spark, "stream"), scratch_path(spark, "state"))
 
 
+@register("stream_tumbling_changed", "R2 (changed buckets only)", _STREAM_TUMBLING_SQL)
+def stream_tumbling_changed(spark, sf):
+    means = _five_minutes(spark, sf)
+    return inc.changed_result(
+        means, ["bucket"], scratch_path(spark, "stream"), scratch_path(spark, "state")
+    )
+
+
 @register(
     "stream_tumbling_closed",
     "R2 (append mode: closed windows only)",

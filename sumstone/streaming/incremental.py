@@ -62,6 +62,44 @@ def complete_result(stream: DataFrame, target: str, checkpoint: str) -> DataFram
     return results.filter(F.col("batch") == F.lit(last)).drop("batch")
 
 
+def changed_result(
+    stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str, merge_every: int = 20
+) -> DataFrame:
+    """Run an aggregated stream over all available input; each batch writes only the keys it changed.
+
+    A batch's rows go to a folder named after its number, so a batch that is repeated after a failure
+    overwrites itself.  The result is read by taking the row of the latest batch for each key, NULL
+    being a key.  Every ``merge_every`` batches the folder of a batch holds all keys instead; older
+    folders go with the batch after it, when that one cannot be repeated any more.  So what is
+    written follows the changes, and what is read is bounded by the keys and the changes of
+    ``merge_every`` batches.
+    """
+    rows = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+    values = [f.name for f in stream.schema if f.name not in keys]
+
+    def latest(changes: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct(*values), "batch").alias("_row")
+        return changes.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*stream.columns)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if number and number % merge_every == 0:
+            earlier = spark.read.schema(rows).parquet(target).filter(F.col("batch") < number)
+            batch = latest(earlier.unionByName(batch.withColumn("batch", F.lit(number).cast("bigint"))))
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        if number > merge_every and number % merge_every == 1:
+            for old in range(max(0, number - 2 * merge_every - 1), number - 1):
+                _remove(spark, f"{target}/batch={old}")
+
+    _finish(
+        stream.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+    )
+    return latest(stream.sparkSession.read.schema(rows).parquet(target))
+
+
 def appended_result(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Run a stream in append mode into Parquet and return what has been written so far.
 

@@ -87,3 +87,36 @@ def test_conversion_is_exactly_once(spark):
 
     assert rows_of(run()) == rows_of(df)
     assert rows_of(run()) == rows_of(df)
+
+
+def test_batches_write_what_they_changed(spark):
+    source, target, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
+    schema = "k string, v bigint"
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = inc.read_file_stream(spark, source, schema, files_per_batch=1)
+        totals = inc.incremental_aggregate(stream, ["k"], {"n": agg.rows(), "total": F.sum("v")})
+        return rows_of(inc.changed_result(totals, ["k"], target, state, merge_every=4))
+
+    def written():
+        folders = [p for p in os.listdir(target) if p.startswith("batch=")]
+        return {int(p[6:]): spark.read.parquet(f"{target}/{p}").count() for p in folders}
+
+    add(*[(f"k{i}", 1) for i in range(300)], (None, 5))
+    assert len(run()) == 301 and written() == {0: 301}
+    add(("k7", 10), (None, 1))
+    told = dict((k, (n, v)) for k, n, v in run())
+    assert told["k7"] == (2, 11) and told[None] == (2, 6) and told["k8"] == (1, 1)
+    assert written() == {0: 301, 1: 2}
+    assert len(run()) == 301 and written() == {0: 301, 1: 2}  # a restart without input adds nothing
+    wanted = dict(told)
+    for i in range(8):
+        add(("k9", 1), (f"new{i}", i))
+        n, v = wanted["k9"]
+        wanted["k9"], wanted[f"new{i}"] = (n + 1, v + 1), (1, i)
+        assert dict((k, (n, v)) for k, n, v in run()) == wanted
+    # Batch 8 holds all keys, and those before it went with the next.
+    assert written() == {8: 308, 9: 2}
