@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,10 @@ from pyspark.sql.types import StructType
 
 from sumstone.llm.common import freeze, give_back, row_ranges, worker_state
 from sumstone.llm.pair_table import PARTS, PartFiles, with_sums, write_hashes, write_parts
-from sumstone.llm.tokens import _byte_letters, _learn, open_tokenizer
+from sumstone.llm.tokens import _byte_letters, open_tokenizer
 
 #: Units and characters of them that a worker keeps, and bytes of text taken together.
-KEPT, KEPT_LETTERS = 200_000, 4_000_000
+KEPT, KEPT_LETTERS = 250_000, 4_000_000
 _TEXT = 1 << 20
 #: Pairs that a task holds before equal ones are added.
 _PAIRS = 4_000_000
@@ -44,14 +45,18 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places from each start on, as many as its size."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 class Aligner:
     """Both tokenizers, and the units met so far with their tokens, groups and links."""
 
     def __init__(self, first: str, second: str, counts: PartFiles | None = None) -> None:
         from sentencepiece import SentencePieceProcessor
 
-        self.first = dict(open_tokenizer(first))
-        self.first["words"] = {}
+        self.first = open_tokenizer(first)
         self.second = SentencePieceProcessor(model_file=second)
         self.counts = counts
         letters = {c: b for b, c in _byte_letters().items()}
@@ -69,11 +74,14 @@ class Aligner:
         self.sizes = [np.array([len(b) for b in x], np.int64) for x in (self.first_bytes, self.second_bytes)]
         joins = any(re.search(rf"[^{_MARK}]{_MARK}|\n", p) for p in pieces)
         self.cuts = not joins and self.first["spaced"]
+        #: Characters that a piece of the second tokenizer joins with a stop behind them.
+        self.stops = {stop: {p[i - 1] for p in pieces for i in range(1, len(p)) if p[i] == stop} for stop in ".,"}
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.letters = 0
+        self.used = np.zeros(1 << 12, np.int64)
         self.fine = np.zeros(1 << 12, bool)
         #: Units with a link that has no count: they stand only in texts without tokens.
         self.uncounted = np.zeros(1 << 12, bool)
@@ -83,6 +91,31 @@ class Aligner:
         self.bounds = np.zeros(1 << 12, np.int64)
         self.links = np.zeros(1 << 14, np.int64)
 
+    def forget(self) -> None:
+        """Drop the units that were met once, and of too many others the rarer ones."""
+        n = len(self.index)
+        used = self.used[:n]
+        least = 2
+        if np.count_nonzero(used >= least) > KEPT // 2:
+            least = max(2, int(np.partition(used, n - KEPT // 2)[n - KEPT // 2]) + 1)
+        kept = np.flatnonzero(used >= least)
+        names = list(self.index)
+        old = self.__dict__.copy()
+        self.clear()
+        for i in kept.tolist():
+            self.index[names[i]] = len(self.index)
+            self.letters += len(names[i])
+        k = len(kept)
+        for name in ("fine", "uncounted", "used", "told"):
+            setattr(self, name, old[name][:n][kept].copy())
+        self.used[:] = 0
+        if self.counts is None:
+            at = _spans(old["bounds"][kept], old["told"][kept, 2])
+            self.links = old["links"][at]
+            self.bounds = np.concatenate([[0], np.cumsum(self.told[:k, 2])])
+        else:
+            self.groups = [old["groups"][i] for i in kept.tolist()]
+
     def units(self, text: str) -> list[str]:
         """The text behind a space, cut; the units joined are that text."""
         text = " " + text
@@ -92,15 +125,25 @@ class Aligner:
             return _CUT.split(text)
         return [u for u in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u]
 
-    def _encode_first(self, units: list[str]) -> list[np.ndarray]:
-        words = self.first["words"]
-        plain = [u for u in units if "\n" not in u or u == "\n"]
-        _learn(self.first, plain)
-        rest = [u for u in units if words.get(u) is None]
-        coded = self.first["tokenizer"].encode_batch(rest, add_special_tokens=False)
-        own = {u: np.array(c.ids, np.uint32) for u, c in zip(rest, coded)}
-        out = [own[u] if u in own else np.frombuffer(words[u], "<u4") for u in units]
-        words.clear()
+    def _encode_first(self, units: list[str]) -> list[list[int]]:
+        """Ids of units: one piece of letters goes to the merges alone, others are encoded whole."""
+        merge = self.first["tokenizer"].model.tokenize
+        out: list = [None] * len(units)
+        rest = []
+        for i, u in enumerate(units):
+            body = u[1:] if u[0] == " " else u
+            if body.isalpha() and self.cuts:
+                if u.isascii():
+                    out[i] = [t.id for t in merge(u.replace(" ", self.first["letters"][32]))]
+                    continue
+                if max(body) < "ɐ":
+                    letters = u.encode().decode("latin-1").translate(self.first["letters"])
+                    out[i] = [t.id for t in merge(letters)]
+                    continue
+            rest.append(i)
+        coded = self.first["tokenizer"].encode_batch_fast([units[i] for i in rest], add_special_tokens=False)
+        for i, c in zip(rest, coded):
+            out[i] = c.ids
         return out
 
     def _encode_second(self, units: list[str]) -> list[list[int]]:
@@ -114,11 +157,58 @@ class Aligner:
         ]
 
     def learn(self, units: list[str]) -> None:
-        """Encode and align units that are not known yet."""
+        """Encode and align units that are not known yet.
+
+        A unit with a stop behind a letter or digit is put together from both.
+        """
+        ended = [u for u in units if u[-1] in self.stops and u[-2:-1].isalnum() and u[-2] not in self.stops[u[-1]]]
+        if not ended or not self.cuts:
+            self._learn_whole(units)
+            return
+        parts = {u[:-1] for u in ended} | {u[-1] for u in ended}
+        self._learn_whole([u for u in parts.union(units).difference(ended) if u not in self.index])
+        at, n = len(self.index), len(ended)
+        stems = np.fromiter((self.index[u[:-1]] for u in ended), np.int64, n)
+        stops = np.fromiter((self.index[u[-1]] for u in ended), np.int64, n)
+        self._room(n)
+        for held in (self.fine, self.uncounted, self.told):
+            join = np.add if held is self.told else np.logical_and if held is self.fine else np.logical_or
+            held[at : at + n] = join(held[stems], held[stops])
+        self.told[at : at + n] *= self.fine[at : at + n, None]
+        if self.counts is None:
+            both = np.stack([stems, stops], axis=1)
+            sizes = self.told[both, 2] * self.fine[at : at + n, None]
+            links = self.links[_spans(self.bounds[both].ravel(), sizes.ravel())]
+            self._keep_links(at, links, np.cumsum(sizes.sum(axis=1)))
+        else:
+            self.groups += [
+                f"{self.groups[a]};{self.groups[b]}" for a, b in zip(stems.tolist(), stops.tolist())
+            ]
+        for u in ended:
+            self.index[u] = len(self.index)
+            self.letters += len(u)
+
+    def _room(self, n: int) -> None:
+        """Arrays hold ``n`` units more."""
+        size = len(self.index) + n + 1
+        for name in ("fine", "uncounted", "used", "bounds"):
+            setattr(self, name, _grown(getattr(self, name), size))
+        if size > len(self.told):
+            self.told = np.concatenate([self.told, np.zeros((max(n + 1, len(self.told)), 5), np.int64)])
+
+    def _keep_links(self, at: int, links: np.ndarray, upto: np.ndarray) -> None:
+        base = int(self.bounds[at])
+        self.bounds[at + 1 : at + len(upto) + 1] = base + upto
+        self.links = _grown(self.links, base + len(links))
+        self.links[base : base + len(links)] = links
+
+    def _learn_whole(self, units: list[str]) -> None:
+        if not units:
+            return
         raw = [u.encode() for u in units]
         sides = [self._encode_first(units), self._encode_second(units)]
         lengths = [np.array([len(x) for x in side], np.int64) for side in sides]
-        flat = [np.concatenate([np.asarray(x, np.int64) for x in side]) for side in sides]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64) for side in sides]
         whole = b"".join(raw)
         fine = np.ones(len(units), bool)
         for ids, side, table in zip(flat, sides, (self.first_bytes, self.second_bytes)):
@@ -135,22 +225,15 @@ class Aligner:
         upto = np.searchsorted(both, np.cumsum(size), "right")
         before = np.concatenate([[0], upto[:-1]])
         at, n = len(self.index), len(units)
-        self.fine = _grown(self.fine, at + n)
+        self._room(n)
         self.fine[at : at + n] = fine
-        if at + n > len(self.told):
-            self.told = np.concatenate([self.told, np.zeros((max(n, len(self.told)), 5), np.int64)])
         told = self.told[at : at + n]
         told[:, 0], told[:, 1], told[:, 2] = *lengths, upto - before
         if self.counts is None:
-            self.bounds = _grown(self.bounds, at + n + 1)
-            base = self.bounds[at]
-            self.bounds[at + 1 : at + n + 1] = base + upto
-            self.links = _grown(self.links, int(base) + len(links))
-            self.links[base : base + len(links)] = links
+            self._keep_links(at, links, upto)
         else:
             parts = (links % PAIR) % PARTS
             sums, best = self.counts.look_up(parts, links, ["sums", "best"])
-            self.uncounted = _grown(self.uncounted, at + n)
             absent = np.concatenate([[0], np.cumsum(sums == 0)])
             self.uncounted[at : at + n] = absent[upto] > absent[before]
             for column, values in ((3, best), (4, sums)):
@@ -182,13 +265,14 @@ class Aligner:
     def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Unit numbers of all texts, the bounds of the texts in them, and which texts have tokens."""
         if len(self.index) > KEPT or self.letters > KEPT_LETTERS:
-            self.clear()
+            self.forget()
         cut = [self.units(t) if t else [] for t in texts]
         flat = [u for units in cut for u in units]
-        new = [u for u in dict.fromkeys(flat) if u not in self.index]
+        new = list(set(flat).difference(self.index))
         if new:
             self.learn(new)
         numbers = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        self.used[: len(self.index)] += np.bincount(numbers, minlength=len(self.index))
         bounds = np.concatenate([[0], np.cumsum([len(u) for u in cut])]).astype(np.int64)
         wrong = np.concatenate([[0], np.cumsum(~self.fine[numbers])])
         fine = (wrong[bounds[1:]] == wrong[bounds[:-1]]) & (bounds[1:] > bounds[:-1])
@@ -234,8 +318,7 @@ def tally_links(docs: DataFrame, text: str, first: str, second: str) -> DataFram
                 numbers = numbers[np.repeat(fine, np.diff(bounds))]
                 told, times = np.unique(numbers, return_counts=True)
                 n = aligner.told[told, 2]
-                starts = np.repeat(aligner.bounds[told] - (np.cumsum(n) - n), n)
-                keys.append(aligner.links[starts + np.arange(len(starts))])
+                keys.append(aligner.links[_spans(aligner.bounds[told], n)])
                 counts.append(np.repeat(times, n))
                 if sum(map(len, keys)) > _PAIRS:
                     held = added()
