@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sumstone.llm.common import WORD, freeze
+from sumstone.llm.common import WORD, freeze, offsets_by_part, row_places
 
 #: A target stops at this many times its source's size, and so does a document.
 LIMIT = 3.0
@@ -106,10 +106,18 @@ def source_rates(sized: DataFrame, source: str, size: str, limit: float = LIMIT)
     return freeze(rates, "mix-rates")
 
 
-def _first_copies(key: Column) -> Column:
-    """The rate rounded up with the chance of its fraction, drawn from the hash of the key."""
-    draw = F.pmod(F.xxhash64(key, F.lit("mix")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return F.floor(F.col("_rate") + draw).cast("long")
+def _draw(key: Column) -> Column:
+    """A number from 0 to 1 for each key."""
+    return F.pmod(F.xxhash64(key, F.lit("mix")), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
+def _copies_before(row: Column, key: Column) -> Column:
+    """Copies of the rows before number ``row`` among those with one key and size.
+
+    They follow the rate as closely as whole copies can; what the first row gets, too, is the rate
+    rounded up with the chance of its fraction.
+    """
+    return F.floor(F.col("_rate") * row + _draw(key)).cast("long")
 
 
 def mix(
@@ -117,42 +125,53 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``size, source_size, target, copies`` and ``taken`` (copies times size).
 
-    Each source is taken at its rate, rounded to whole copies of documents by the hash of the key.
+    Each source is taken at its rate, rounded to whole copies of documents by the hash of the key;
+    rows with the same source, key and size are numbered and share the copies of all of them evenly.
     What that leaves of the target is then made up: of each size class one document may give or
     take a copy, and going down the sizes each one that still fits does.  No document is taken more
-    than ``limit`` times.  The outcome depends on the rows only, so reruns agree; rows with the same
-    key and size move together.  A null source is a source, a null key a key; a document of size 0
-    is taken by its rate and adds nothing; an empty table gives an empty result.
+    than ``limit`` times.  The outcome depends on the rows only, so reruns agree; which of the rows
+    alike in source, key and size gets a copy more does not matter.  A null source is a source, a
+    null key a key; a document of size 0 is taken by its rate and adds nothing; an empty table gives
+    an empty result.  The five columns replace such of ``docs``; other names may be any.
     """
-    taken_names = ("size", "source_size", "target", "copies", "taken")
-    docs = docs.select([c for c in docs.columns if c not in taken_names])
-    narrow = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), size.alias("_size"))
-    narrow = freeze(narrow, "mix-sizes")
-    rates = source_rates(narrow, "_source", "_size", limit)
-    rows = _with_rates(narrow, rates).withColumn("_copies", _first_copies(F.col("_key")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+    packed = docs.select(
+        F.struct(*kept).alias("_doc"),
+        F.col(key).alias("_key"),
+        F.col(source).alias("_source"),
+        size.alias("_size"),
+    )
+    alike = ["_source", "_key", "_size"]
+    groups = packed.groupBy(*alike).agg(F.count(F.lit(1)).alias("_rows"))
+    groups = freeze(groups, "mix-sizes")
+    rates = source_rates(groups.withColumn("_words", F.col("_size") * F.col("_rows")), "_source", "_words", limit)
+    rows = _with_rates(groups, rates)
+    rows = rows.withColumns(
+        {
+            "_copies": _copies_before(F.lit(1), F.col("_key")),
+            "_all": _copies_before(F.col("_rows"), F.col("_key")),
+        }
+    )
 
     left = rows.groupBy("_source").agg(
-        (F.first("target") - F.sum(F.col("_copies") * F.col("_size"))).alias("_left")
+        (F.first("target") - F.sum(F.col("_all") * F.col("_size"))).alias("_left")
     )
     sides = F.explode(
         F.array(
             F.when(F.col("_copies") + 1 <= limit, F.lit(1)), F.when(F.col("_copies") > 0, F.lit(-1))
         )
     )
-    able = rows.filter(F.col("_size") > 0).select("_source", "_key", "_size", sides.alias("_side"))
+    able = rows.filter(F.col("_size") > 0).select(*alike, sides.alias("_side"))
     able = able.filter(F.col("_side").isNotNull())
     rung = F.floor(F.log2("_size") * CLASSES)
     order = F.struct(F.xxhash64("_key").alias("h"), F.col("_key").alias("k"), F.col("_size").alias("s"))
-    # Rows alike in key and size count as one: what they weigh together is summed with the choice.
+    # The first of rows alike gives or takes the copy.
     picked = able.groupBy("_source", "_side", rung.alias("_rung")).agg(F.min(order).alias("_pick"))
-    picked = picked.select("_source", "_side", F.col("_pick.k").alias("_key"), F.col("_pick.s").alias("_size"))
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("_source", "_key", "_size", "_side")]
-    weighed = able.alias("a").join(picked.alias("p"), same[0] & same[1] & same[2] & same[3], "left_semi")
-    weighed = weighed.groupBy("_source", "_side", "_key", "_size").agg(F.sum("_size").alias("_weight"))
-    ladder = weighed.groupBy(F.col("_source").alias("_of")).agg(
-        F.sort_array(
-            F.collect_list(F.struct("_weight", "_side", "_key", "_size")), asc=False
-        ).alias("_ladder")
+    choice = F.struct(
+        F.col("_pick.s").alias("_weight"), "_side", F.col("_pick.k").alias("_key"), F.col("_pick.s").alias("_size")
+    )
+    ladder = picked.groupBy(F.col("_source").alias("_of")).agg(
+        F.sort_array(F.collect_list(choice), asc=False).alias("_ladder")
     )
     climbed = left.join(ladder, F.col("_source").eqNullSafe(F.col("_of"))).select(
         "_source", F.expr(_CLIMB).alias("_done")
@@ -163,18 +182,43 @@ def mix(
     )
     moves = freeze(moves, "mix-moves")  # at most a row for each source and size class
 
-    wide = docs.withColumns({"size": size, "_source": F.col(source)})
-    wide = _with_rates(wide, rates)
-    moves = moves.withColumnsRenamed({"_source": "_of", "_key": "_who", "_size": "_big"})
-    met = (
-        F.col(key).eqNullSafe(F.col("_who"))
-        & F.col("size").eqNullSafe(F.col("_big"))
-        & F.col("_source").eqNullSafe(F.col("_of"))
+    repeated = freeze(groups.filter("_rows > 1"), "mix-repeated")
+    wide = join_alike(packed, repeated, alike, "left")
+    single = wide.filter("_rows IS NULL").drop("_rows").withColumn("_nth", F.lit(0).cast("long"))
+    numbered = _numbered(wide.filter("_rows IS NOT NULL").drop("_rows"), alike)
+    out = join_alike(_with_rates(single.unionByName(numbered), rates), moves, alike, "left")
+    own = _copies_before(F.col("_nth") + 1, F.col("_key")) - _copies_before(F.col("_nth"), F.col("_key"))
+    moved = F.when(F.col("_nth") == 0, F.coalesce("_moved", F.lit(0))).otherwise(0)
+    return out.select(
+        "_doc.*", F.col("_size").alias("size"), "source_size", "target",
+        (own + moved).cast("long").alias("copies"),
+        ((own + moved) * F.col("_size")).cast("long").alias("taken"),
     )
-    copies = _first_copies(F.col(key)) + F.coalesce(F.col("_moved"), F.lit(0))
-    out = wide.join(moves, met, "left").withColumn("copies", copies.cast("long"))
-    out = out.withColumn("taken", F.col("copies") * F.col("size"))
-    return out.drop("_of", "_who", "_big", "_moved", "_rate", "_source")
+
+
+def join_alike(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal ``keys``, null being equal to null; those of the left side stay."""
+    renamed = right.withColumnsRenamed({k: f"_r{k}" for k in keys})
+    met = F.lit(True)
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"_r{k}"))
+    return left.join(renamed, met, how).drop(*[f"_r{k}" for k in keys])
+
+
+def _numbered(rows: DataFrame, alike: list[str]) -> DataFrame:
+    """``rows`` with ``_nth``: their number from 0 among rows alike, however many those are.
+
+    Rows are written with the task that held them and their place in it; a window sees the rows of
+    one task only, and the counts of earlier tasks are added.
+    """
+    part, place = row_places()
+    placed = freeze(rows.withColumns({"_part": part, "_seq": place}), "mix-rows")
+    counts = placed.groupBy(*alike, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = offsets_by_part(counts, alike, "_n").drop("_n")
+    here = Window.partitionBy(*alike, "_part").orderBy("_seq")
+    local = placed.withColumn("_nth", (F.row_number().over(here) - 1).cast("long"))
+    joined = join_alike(local, before, [*alike, "_part"], "left")
+    return joined.withColumn("_nth", F.col("_nth") + F.col("_before")).drop("_part", "_seq", "_before")
 
 
 #: Down the ladder of one source: a rung on the side that is missing is taken if it still fits.

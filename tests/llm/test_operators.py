@@ -397,6 +397,40 @@ def test_targets_and_rates(spark):
         assert abs(taken[s] - want[s]) <= 0.02 * want[s] + 1
 
 
+def test_repeated_rows_share_copies_evenly(spark):
+    """A third of the rows alike, null keys and keys of two sizes: targets are met all the same."""
+    rows = [(1, "a", 50, f"t{i}") for i in range(400)] + [(1000 + i, "a", 50, "u") for i in range(800)]
+    rows += [(None, "b", 50, "v")] * 300 + [(5000 + i % 2, "b", 40 + 10 * (i % 2), "w") for i in range(1300)]
+    rows += [(9000 + i, "c", 7, "x") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, words long, text string").repartition(7)
+    out = mixing.mix(docs, "doc_id", "source", F.col("words")).collect()
+    again = mixing.mix(docs.repartition(3), "doc_id", "source", F.col("words")).collect()
+    told = lambda found: Counter((r.doc_id, r.source, r.size, r.copies) for r in found)
+    assert told(out) == told(again) and len(out) == len(rows)
+    assert sorted(r.text for r in out) == sorted(r[3] for r in rows)
+    taken, target = Counter(), {}
+    for r in out:
+        assert 0 <= r.copies <= 3 and r.taken == r.copies * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for s, want in target.items():
+        assert abs(taken[s] - want) <= 0.01 * want
+    each = [r.copies for r in out if r.doc_id == 1]
+    assert max(each) - min(each) <= 2
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = "doc_id, source, size, copies, _source, _key, _size, _doc, _rate, _nth"
+    docs = spark.createDataFrame(
+        [(i, "ab"[i % 2], 7, "c", i, i + 1, i + 2, i + 3, i + 4, i + 5) for i in range(40)], names.split(", ")
+    )
+    out = mixing.mix(docs, "doc_id", "source", F.lit(10).cast("long"))
+    for r in out.collect():
+        i = r.doc_id
+        assert (r["_source"], r["_key"], r["_size"], r["_doc"], r["_rate"], r["_nth"]) == tuple(range(i, i + 6))
+        assert r.size == 10
+
+
 def test_two_margins_are_met(spark):
     cells = spark.createDataFrame([(0, 0, 10.0), (0, 1, 30.0), (1, 0, 20.0), (1, 1, 40.0)], "a int, b int, n double")
     a, b = mixing.entropy_balance(cells, ["a", "b"], "n", [np.array([60.0, 40.0]), np.array([30.0, 70.0])])
