@@ -14,12 +14,13 @@ import numpy as np
 
 from sumstone.llm.common import worker_state
 
-#: Words kept before the store is emptied.
+#: Words kept; those that do not come up again are dropped by halves.
 KEPT = 600_000
 
 _END = 0xFFFFFFFF
 _MARKS = ("\0", "\1", "\2")
 _STOPS = (".", ",")
+_BORDER = "ɐ"
 _ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
@@ -44,7 +45,9 @@ def open_tokenizer(path: str) -> dict:
             "spaced": ids("a b") != ids("a") + ids("b"),
             "lower": ids("Q") == ids("q"),
             "letters": _byte_letters(),
-            "words": {},
+            "words": {},  # met in the present half of the store
+            "old": {},  # met in the half before
+            "odd": set(),  # words that cannot stand alone
         }
     return state[path]
 
@@ -55,9 +58,10 @@ def _packed(ids: list[int]) -> bytes:
 
 def _learn(state: dict, unknown: list[str]) -> None:
     """Add the ids of ``unknown`` words; None for one that cannot stand alone."""
-    words, tokenizer, spaced = state["words"], state["tokenizer"], state["spaced"]
+    words, old, tokenizer, spaced = state["words"], state["old"], state["tokenizer"], state["spaced"]
+    letters, lower, merge = state["letters"], state["lower"], tokenizer.model.tokenize
     bare: list[str] = []  # letters only, with a space before at most
-    whole: list[str] = [w for w in (".", ",") if w not in words]
+    whole: list[str] = [w for w in _STOPS if w not in words]
     ended: list[str] = []  # letters and one full stop or comma
     for word in unknown:
         body = word[1:] if spaced and word[:1] == " " else word
@@ -69,18 +73,24 @@ def _learn(state: dict, unknown: list[str]) -> None:
             whole.append(word)
         else:
             words[word] = None
-    bare += {w[:-1] for w in ended}.difference(words, bare)
-    joined = "\n".join(bare)
-    if state["lower"]:
-        joined = joined.lower()
-    # Letters below this border have one form and keep it: nothing but the merges is left to do.
-    if max(joined, default="") < "ɐ":
-        pieces = joined.encode().decode("latin-1").translate(state["letters"])
-        merge = tokenizer.model.tokenize
-        for word, piece in zip(bare, pieces.split(state["letters"][10])):
-            words[word] = array("I", [t.id for t in merge(piece)]).tobytes()
-    else:
-        whole += bare
+            state["odd"].add(word)
+    for stem in {w[:-1] for w in ended}.difference(words, bare):
+        if stem in old:
+            words[stem] = old[stem]
+        else:
+            bare.append(stem)
+    # Letters below the border have one form and keep it: nothing but the merges is left to do.
+    plain = [w for w in bare if w.isascii()]
+    joined = "\n".join(plain).replace(" ", letters[32])
+    others = []
+    for w in bare:
+        if not w.isascii():
+            (others if max(w.lower() if lower else w) < _BORDER else whole).append(w)
+    rest = "\n".join(others)
+    rest = (rest.lower() if lower else rest).encode().decode("latin-1").translate(letters)
+    pieces = (joined.lower() if lower else joined).split("\n") + rest.split(letters[10])
+    for word, piece in zip([*plain, *others], pieces if plain else pieces[1:]):
+        words[word] = array("I", [t.id for t in merge(piece)]).tobytes()
     for word, coded in zip(whole, tokenizer.encode_batch(whole, add_special_tokens=False)):
         words[word] = _packed(coded.ids)
     for word in ended:
@@ -92,9 +102,11 @@ def encode(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts, each followed by ``end``, and the bounds of the texts in them."""
     state = open_tokenizer(path)
-    words, tokenizer, spaced = state["words"], state["tokenizer"], state["spaced"]
-    if len(words) > kept:
-        words.clear()
+    tokenizer, spaced = state["tokenizer"], state["spaced"]
+    if 2 * len(state["words"]) > kept:  # words that come up again move to the new half
+        state["old"], state["words"] = state["words"], {}
+        state["odd"] = {w for w in state["odd"] if w in state["old"]}
+    words, old, odd_words = state["words"], state["old"], state["odd"]
     words["\1"] = _packed([_END])
 
     def chunks(text: str) -> list[str]:
@@ -106,15 +118,23 @@ def encode(
     plain: list[str] = []
     for i, text in enumerate(texts):
         text = text or ""
-        odd = not spaced and any(c in text for c in _ODD_SPACES)
-        if not text or odd or any(c in text for c in _MARKS):
+        # A control sign makes a text unprintable, as line ends do: most need no closer look.
+        control = not text.replace("\n", "").isprintable()
+        odd = control and not spaced and any(c in text for c in _ODD_SPACES)
+        if not text or odd or control and any(c in text for c in _MARKS):
             alone[i], text = text, f"\2{i}"
         plain.append(text)
     gap = "\0\1\0" if spaced else " \1 "
     found = chunks(gap.join([*plain, ""])[: -1 if spaced else None])
     known = set(found)
-    _learn(state, [w for w in known if w not in words and w[:1] != "\2"])
-    if spaced and any(words.get(w, b"") is None for w in known):
+    unknown = []
+    for w in known.difference(words):
+        if w in old:
+            words[w] = old[w]
+        elif w[:1] != "\2":
+            unknown.append(w)
+    _learn(state, unknown)
+    if spaced and not known.isdisjoint(odd_words):
         for i, text in enumerate(plain):
             if i not in alone and any(words[w] is None for w in chunks(text)):
                 alone[i], plain[i] = text, f"\2{i}"
