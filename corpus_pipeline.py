@@ -18,6 +18,15 @@ from sumstone.llm.queries import language_model, quality_model, table, vocabular
 SHINGLE_WORDS, SIMILAR, OUT_OF = 5, 80, 100
 
 
+def by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns renamed by place, and the new name of each.
+
+    A stage may then add columns of any name; ``toDF(*docs.columns)`` gives the names back.
+    """
+    new = {name: f"_c{i}_" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*new.values()), new
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language: those with no letter, null and empty texts.
 
@@ -26,15 +35,19 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_model(docs)
     if not model["languages"]:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = language.identify(docs, "text", model)
-    return found.filter(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    plain, at = by_place(docs)
+    found = language.identify(plain, at["text"], model)
+    kept = found.filter(F.col("lang_pred") != language.UNDETERMINED)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that are hardly of good quality."""
     model = quality_model(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, "text", model)
-    return scored.filter(quality.accepted(F.col("score")) == 1).select(*docs.columns)
+    plain, at = by_place(docs)
+    scored = quality.score(plain, at["text"], model)
+    kept = scored.filter(quality.accepted(F.col("score")) == 1)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,24 +56,28 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows with one id are told apart by a frozen row number, the smallest stays; a row without an id
     stays only if no row of its group has one.
     """
-    rows = freeze(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    no_id = F.col("doc_id").isNull().alias("no_id")
-    order = F.struct(no_id, F.col("doc_id").alias("id"), F.col("_row").alias("row"))
-    keyed = rows.select(order.alias("_order"), "text")
+    plain, at = by_place(docs)
+    rows = freeze(plain.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    id_ = F.col(at["doc_id"])
+    order = F.struct(id_.isNull().alias("no_id"), id_.alias("id"), F.col("_row").alias("row"))
+    keyed = rows.select(order.alias("_order"), F.col(at["text"]).alias("text"))
     groups = similarity.near_groups(keyed, "_order", "text", SHINGLE_WORDS, SIMILAR, OUT_OF)
     others = groups.filter("component_id.row <> _order.row").select(F.col("_order.row").alias("_row"))
     others = freeze(others, "near-copies")
     # Most documents are no near copy for certain and need not move to be told so.
     maybe = F.coalesce(similarity.key_filter(others)(F.xxhash64("_row")), F.lit(False))
     unsure = rows.filter(maybe).join(others, "_row", "left_anti")
-    return rows.filter(~maybe).unionByName(unsure.select(*rows.columns)).select(*docs.columns)
+    kept = rows.filter(~maybe).unionByName(unsure.select(*rows.columns))
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each document as often as the weight of its source asks, none up to three times."""
-    counted = mixing.mix(docs, "doc_id", "source", mixing.word_count(F.col("text")))
+    plain, at = by_place(docs)
+    counted = mixing.mix(plain, at["doc_id"], at["source"], mixing.word_count(F.col(at["text"])))
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return counted.filter("copies > 0").withColumn("_copy", again).select(*docs.columns)
+    taken = counted.filter("copies > 0").withColumn("_copy", again)
+    return taken.select(*plain.columns).toDF(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
