@@ -121,3 +121,17 @@ def test_run_chains_the_stages(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns)
     assert out.count() > 100
+
+
+def test_stages_keep_columns_of_any_name(spark, sf_dir):
+    """Names that stages use inside are carried with their values."""
+    docs = table(spark, sf_dir, "documents")
+    own = ["size", "score", "lang_pred", "_row", "_copy", "_source", "target", "copies", "taken", "_order", "_words"]
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in own])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns and kept.count() > 0
+        wrong = F.lit(False)
+        for c in own:
+            wrong = wrong | ~F.col(c).eqNullSafe(F.concat(F.lit(c), F.col("doc_id")))
+        assert kept.filter(wrong).count() == 0
