@@ -9,6 +9,7 @@ documents again and looks the counts of their links up.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -35,6 +36,7 @@ _PAIRS = 4_000_000
 _MARK = "▁"
 #: White space, or the mark that stands for it, beside a space or a line end; or a byte 0.
 _UNCLEAR = re.compile(r"[\s▁] |[ \n][\s▁]|[\s▁]\n| $|\0")
+_DOUBTFUL = ("  ", " \n", "\n ", "\n\n", _MARK)
 _CUT = re.compile(r"(?<=[^\s▁])(?= [^\s▁])")
 PAIR = np.int64(1) << np.int64(32)
 
@@ -118,29 +120,33 @@ class Aligner:
 
     def units(self, text: str) -> list[str]:
         """The text behind a space, cut; the units joined are that text."""
+        # The cheap look lets no text with other white space pass, and sends a few more to the search.
+        doubtful = not text.replace("\n", "").isprintable() or text[-1] == " " or text[0].isspace()
+        doubtful = doubtful or any(pair in text for pair in _DOUBTFUL)
         text = " " + text
         if not self.cuts:
             return [text]
-        if _UNCLEAR.search(text):
+        if doubtful and _UNCLEAR.search(text):
             return _CUT.split(text)
         return [u for u in text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if u]
 
     def _encode_first(self, units: list[str]) -> list[list[int]]:
         """Ids of units: one piece of letters goes to the merges alone, others are encoded whole."""
-        merge = self.first["tokenizer"].model.tokenize
+        merge, letters = self.first["tokenizer"].model.tokenize, self.first["letters"]
         out: list = [None] * len(units)
         rest = []
         for i, u in enumerate(units):
-            body = u[1:] if u[0] == " " else u
-            if body.isalpha() and self.cuts:
-                if u.isascii():
-                    out[i] = [t.id for t in merge(u.replace(" ", self.first["letters"][32]))]
+            spaced = u[0] == " "
+            body = u[1:] if spaced else u
+            if not body.isalpha() or not self.cuts:
+                rest.append(i)
+                continue
+            if not body.isascii():
+                if max(body) >= "ɐ":
+                    rest.append(i)
                     continue
-                if max(body) < "ɐ":
-                    letters = u.encode().decode("latin-1").translate(self.first["letters"])
-                    out[i] = [t.id for t in merge(letters)]
-                    continue
-            rest.append(i)
+                body = body.encode().decode("latin-1").translate(letters)
+            out[i] = [t.id for t in merge(letters[32] + body if spaced else body)]
         coded = self.first["tokenizer"].encode_batch_fast([units[i] for i in rest], add_special_tokens=False)
         for i, c in zip(rest, coded):
             out[i] = c.ids
@@ -205,26 +211,26 @@ class Aligner:
     def _learn_whole(self, units: list[str]) -> None:
         if not units:
             return
-        raw = [u.encode() for u in units]
+        raw, n = [u.encode() for u in units], len(units)
         sides = [self._encode_first(units), self._encode_second(units)]
-        lengths = [np.array([len(x) for x in side], np.int64) for side in sides]
+        lengths = [np.fromiter(map(len, side), np.int64, len(side)) for side in sides]
         flat = [np.fromiter(chain.from_iterable(side), np.int64) for side in sides]
         whole = b"".join(raw)
-        fine = np.ones(len(units), bool)
+        fine = np.ones(n, bool)
         for ids, side, table in zip(flat, sides, (self.first_bytes, self.second_bytes)):
             if b"".join(map(table.__getitem__, ids.tolist())) != whole:
                 fine &= [b"".join(table[i] for i in x) == r for x, r in zip(side, raw)]
         if not fine.all():  # units that differ from their tokens are known, but have none
             flat = [ids[np.repeat(fine, n)] for ids, n in zip(flat, lengths)]
             lengths = [n * fine for n in lengths]
-        size = np.array([len(r) for r in raw], np.int64) * fine
+        size = np.fromiter(map(len, raw), np.int64, n) * fine
         ends = [np.cumsum(table[ids]) for table, ids in zip(self.sizes, flat)]
         both = np.intersect1d(*ends, assume_unique=True)
         last = [np.searchsorted(e, both) for e in ends]
         links = flat[0][last[0]] * PAIR + flat[1][last[1]]
         upto = np.searchsorted(both, np.cumsum(size), "right")
         before = np.concatenate([[0], upto[:-1]])
-        at, n = len(self.index), len(units)
+        at = len(self.index)
         self._room(n)
         self.fine[at : at + n] = fine
         told = self.told[at : at + n]
@@ -240,8 +246,7 @@ class Aligner:
                 upon = np.concatenate([[0], np.cumsum(values)])
                 told[:, column] = upon[upto] - upon[before]
             self.groups += self._group_texts(flat, last, lengths)
-        for i, u in enumerate(units):
-            self.index[u] = at + i
+        self.index.update(zip(units, range(at, at + n)))
         self.letters += len(whole)
 
     @staticmethod
@@ -270,7 +275,11 @@ class Aligner:
         flat = [u for units in cut for u in units]
         new = list(set(flat).difference(self.index))
         if new:
+            collecting = gc.isenabled()
+            gc.disable()  # many small lists, none of them in a cycle
             self.learn(new)
+            if collecting:
+                gc.enable()
         numbers = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         self.used[: len(self.index)] += np.bincount(numbers, minlength=len(self.index))
         bounds = np.concatenate([[0], np.cumsum([len(u) for u in cut])]).astype(np.int64)
