@@ -53,14 +53,38 @@ def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else one beside the warehouse.
 
     Both are settings of the session, so a cluster names its shared store once; a folder of one
-    machine is never made up here.
+    machine is never made up here.  On a cluster a warehouse on local disks is refused: each machine
+    would write to its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    local_disk = warehouse.startswith(("file:", "/")) or "://" not in warehouse
+    if local_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return warehouse + "/_scratch"
+
+
+#: Scratch folders named in this process, until they are removed.
+_MADE: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub-folder of the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that this process named, and return how many there were.
+
+    To be called once results are stored elsewhere: frames that still read a folder fail afterwards.
+    """
+    hadoop, removed = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    while _MADE:
+        folder = hadoop.Path(_MADE.pop())
+        store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(store.exists(folder) and store.delete(folder, True))
+    return removed
