@@ -28,7 +28,7 @@ from sumstone.llm.pair_table import PARTS, PartFiles, with_sums, write_hashes, w
 from sumstone.llm.tokens import _byte_letters, open_tokenizer
 
 #: Units and characters of them that a worker keeps, and bytes of text taken together.
-KEPT, KEPT_LETTERS = 250_000, 4_000_000
+KEPT, KEPT_LETTERS = 300_000, 4_000_000
 _TEXT = 1 << 20
 #: Pairs that a task holds before equal ones are added.
 _PAIRS = 4_000_000
@@ -211,8 +211,19 @@ class Aligner:
     def _learn_whole(self, units: list[str]) -> None:
         if not units:
             return
+        sides: list[list] = [[], []]
+        if self.cuts:  # a space and ASCII letters: the most usual kind, taken without questions
+            plain = [u for u in units if u[0] == " " and u.isascii() and u[1:].isalpha()]
+            if plain:
+                merge, mark = self.first["tokenizer"].model.tokenize, self.first["letters"][32]
+                marked = "\n".join(plain).replace(" ", mark).split("\n")
+                sides[0] = [[t.id for t in merge(u)] for u in marked]
+                sides[1] = self.second.encode([u[1:] for u in plain], num_threads=1)
+                units = plain + list(set(units).difference(plain))
+        others = units[len(sides[0]) :]
+        sides[0] += self._encode_first(others)
+        sides[1] += self._encode_second(others)
         raw, n = [u.encode() for u in units], len(units)
-        sides = [self._encode_first(units), self._encode_second(units)]
         lengths = [np.fromiter(map(len, side), np.int64, len(side)) for side in sides]
         flat = [np.fromiter(chain.from_iterable(side), np.int64) for side in sides]
         whole = b"".join(raw)
@@ -272,7 +283,8 @@ class Aligner:
         if len(self.index) > KEPT or self.letters > KEPT_LETTERS:
             self.forget()
         cut = [self.units(t) if t else [] for t in texts]
-        flat = [u for units in cut for u in units]
+        flat = list(chain.from_iterable(cut))
+        sizes = [len(units) for units in cut]
         new = list(set(flat).difference(self.index))
         if new:
             collecting = gc.isenabled()
@@ -280,9 +292,10 @@ class Aligner:
             self.learn(new)
             if collecting:
                 gc.enable()
+        del cut
         numbers = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         self.used[: len(self.index)] += np.bincount(numbers, minlength=len(self.index))
-        bounds = np.concatenate([[0], np.cumsum([len(u) for u in cut])]).astype(np.int64)
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         wrong = np.concatenate([[0], np.cumsum(~self.fine[numbers])])
         fine = (wrong[bounds[1:]] == wrong[bounds[:-1]]) & (bounds[1:] > bounds[:-1])
         return numbers, bounds, fine

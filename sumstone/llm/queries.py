@@ -31,6 +31,7 @@ from sumstone.llm import (
     wavelet,
 )
 from sumstone.llm.common import held_out
+from sumstone.llm.periodic import Run, collapse
 from sumstone.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -247,14 +248,14 @@ for _name in ("n_runs", "start", "length", "period", "exponent_milli"):
 RUN_DIGESTS.add("runs_sha256", "string").add("collapsed_sha256", "string")
 
 
-def run_digests(words: list[bytes], runs: list[periodic.Run]) -> tuple:
+def run_digests(words: list[bytes], runs: list[Run]) -> tuple:
     """Number of runs, the run of the greatest exponent, digests of all runs and of what stays."""
     best: tuple = (None,) * 4
     if runs:
         start, length, period = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]))
         best = (start, length, period, 1000 * length // period)
     lines = "".join(f"{start},{length},{period}\n" for start, length, period in runs)
-    kept = b" ".join(periodic.collapse(words, runs))
+    kept = b" ".join(collapse(words, runs))
     digests = (hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
     return len(runs), *best, *digests
 

@@ -10,7 +10,6 @@ compared shingle by shingle.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -29,6 +28,7 @@ from sumstone.llm.common import (
     row_ranges,
     text_bytes,
     word_ranges,
+    worker_state,
 )
 from sumstone.llm.graph import components
 
@@ -96,8 +96,16 @@ def _step(num: int, den: int) -> float:
     return min(3 * math.log(den / num), math.log(1.4))
 
 
-@functools.cache
 def bracket_plan(number: int, num: int, den: int) -> tuple[int, int, int]:
+    """``_bracket_plan``, worked out once a worker."""
+    known = worker_state("brackets")
+    key = (number, num, den, MISS, MOST_LEAST, EFFORT)
+    if key not in known:
+        known[key] = _bracket_plan(number, num, den)
+    return known[key]
+
+
+def _bracket_plan(number: int, num: int, den: int) -> tuple[int, int, int]:
     """Hash classes of a size bracket, how often shingles are dealt to them, and how many shingles a
     class must hold to count.
 

@@ -140,6 +140,10 @@ class Transducer:
         self.filled = 0
         self.pairs.clear()
 
+    def crowded(self) -> bool:
+        """True if the machine should be compiled anew; a slice adds a transition a character at most."""
+        return len(self.states) > MOST_STATES or self.filled > 8 * MOST_STATES
+
     def _compile(self, state: int, c: int) -> int:
         """The transition of a state by a class: next state and emitted tokens in one number."""
         open_, found = [], None
@@ -278,7 +282,7 @@ class Transducer:
         out = np.zeros(len(texts), np.int64)
         full = np.flatnonzero(sizes)
         if len(full):
-            if len(self.states) > MOST_STATES:
+            if self.crowded():
                 self.restart()
             starts = (np.cumsum(sizes) - sizes)[full]
             classes = self.read("".join(texts))
@@ -299,7 +303,7 @@ class Transducer:
                 state = 0
             elif before is not None:
                 total -= int(self.finals[state])  # the last segment goes on
-            if len(self.states) > MOST_STATES:
+            if self.crowded():
                 kept = self.states[state]
                 self.restart()
                 state = self.numbers.setdefault(kept, len(self.states))
