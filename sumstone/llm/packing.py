@@ -77,13 +77,14 @@ def pack(
     linear: float = 1.0,
     quadratic: float = 1 / 1024,
     group: int = GROUP,
+    words: int = WORDS,
 ) -> DataFrame:
     """Pieces of all documents: ``key, start, length, ids, doc_tokens, sequence_id, offset``.
 
     ``ids`` are little-endian unsigned 32-bit token ids; each id of a document and its ``end`` lies
     in exactly one piece.  ``capacity`` is a power of two, and so is every sequence length, so
     nothing is padded.  Each task packs the documents that it reads in groups of about ``group``
-    tokens, so no row moves between tasks, however documents are distributed, and memory is bounded
+    tokens (a worker keeps the ids of ``words`` words), so no row moves between tasks, however documents are distributed, and memory is bounded
     by a group and the longest text.  A null text is empty and packs its end id alone; repeated rows
     are packed once each; an empty table gives an empty result.  ``sequence_id`` is unique, not
     gapless.
@@ -135,7 +136,7 @@ def pack(
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
             for lo, hi in row_ranges(sizes, _TEXT):
                 texts = batch.column(text).slice(lo, hi - lo).to_pylist()
-                ids, bounds = encode(tokenizer, texts, end, WORDS)
+                ids, bounds = encode(tokenizer, texts, end, words)
                 names = batch.column(key).slice(lo, hi - lo).to_pylist()
                 for name, a, b in zip(names, bounds[:-1], bounds[1:]):
                     held.append(ids[a:b])

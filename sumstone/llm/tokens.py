@@ -60,14 +60,12 @@ def _learn(state: dict, unknown: list[str]) -> None:
     """Add the ids of ``unknown`` words; None for one that cannot stand alone."""
     words, old, tokenizer, spaced = state["words"], state["old"], state["tokenizer"], state["spaced"]
     letters, lower, merge = state["letters"], state["lower"], tokenizer.model.tokenize
-    bare: list[str] = []  # letters only, with a space before at most
+    bare = [w for w in unknown if w.lstrip(" ").isalpha()]  # letters only, with a space before at most
     whole: list[str] = [w for w in _STOPS if w not in words]
     ended: list[str] = []  # letters and one full stop or comma
-    for word in unknown:
+    for word in set(unknown).difference(bare):
         body = word[1:] if spaced and word[:1] == " " else word
-        if body.isalpha():
-            bare.append(word)
-        elif body[-1:] in _STOPS and body[:-1].isalpha():
+        if body[-1:] in _STOPS and body[:-1].isalpha():
             ended.append(word)
         elif not spaced or word == "\n" or body.split() == [body]:
             whole.append(word)
@@ -89,8 +87,8 @@ def _learn(state: dict, unknown: list[str]) -> None:
     rest = "\n".join(others)
     rest = (rest.lower() if lower else rest).encode().decode("latin-1").translate(letters)
     pieces = (joined.lower() if lower else joined).split("\n") + rest.split(letters[10])
-    for word, piece in zip([*plain, *others], pieces if plain else pieces[1:]):
-        words[word] = array("I", [t.id for t in merge(piece)]).tobytes()
+    coded = [array("I", [t.id for t in merge(p)]).tobytes() for p in (pieces if plain else pieces[1:])]
+    words.update(zip([*plain, *others], coded))
     for word, coded in zip(whole, tokenizer.encode_batch(whole, add_special_tokens=False)):
         words[word] = _packed(coded.ids)
     for word in ended:
