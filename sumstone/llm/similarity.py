@@ -185,6 +185,7 @@ def class_rows(
     """``key, n, d1, d2`` of each whole text, and its signatures ``sigs`` if they are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("similarity", large=True)  # tables of earlier stages go
         for batch in batches:
             data, offs = text_bytes(batch.column(text))
             for lo, hi in row_ranges(np.diff(offs), _CHUNK):
@@ -310,6 +311,7 @@ def _plant(words: int, num: int, den: int, text: str):
     """Function of one tree: rows ``node, joined, text`` to ``node, root`` of those that link."""
 
     def run(tree: pa.Table) -> pa.Table:
+        worker_state("similarity", large=True)  # tables of earlier stages go
         data, offs = text_bytes(tree.column(text))
         sets = []
         for lo, hi in row_ranges(np.diff(offs), _CHUNK):
@@ -388,6 +390,7 @@ def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: i
     """
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("similarity", large=True)  # tables of earlier stages go
         for batch in batches:
             data, offs = text_bytes(batch.column(text))
             for lo, hi in row_ranges(np.diff(offs), _CHUNK):
