@@ -111,7 +111,7 @@ def op3_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
     tokenizer = vocabulary("byte_bpe_50k.json")
-    pieces = packing.pack(docs, "doc_id", "text", tokenizer, end=0, words=500_000)
+    pieces = packing.pack(docs, "doc_id", "text", tokenizer, end=0, words=1_000_000)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
         "sequence_id", "offset",
