@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,15 +18,22 @@ class RowCountError(ValueError):
 
 
 def dataset_summary(df: DataFrame) -> DataFrame:
-    """File name, rows, columns and size for every file a frame was read from."""
-    per_file = df.select(
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_size").alias("_bytes"),
-    )
+    """File name, rows, columns and size for every file a frame was read from.
+
+    A file without rows is there with zero of them: the first task of a write leaves one, with a
+    header only, if it has no rows.  Names and sizes are those of the file listing.
+    """
+    path, file, size = (F.col(f"_metadata.{c}") for c in ("file_path", "file_name", "file_size"))
+    seen = [path.alias("_path"), file.alias("file"), size.alias("_bytes")]
+    per_file = df.select(*seen, F.lit(1).alias("_row"))
+    # The names come encoded, and a reader takes them as globs.
+    names = [re.sub(r"([][{}*?\\])", r"\\\1", unquote(name)) for name in df.inputFiles()]
+    if names:
+        listed = df.sparkSession.read.format("binaryFile").load(names)
+        per_file = per_file.unionByName(listed.select(*seen, F.lit(0).alias("_row")))
     return (
         per_file.groupBy("_path", "file", "_bytes")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum("_row").alias("rows"))
         .select(
             "file",
             "rows",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shared import SF_DIR, plan_text, rows_of
 from sumstone import scratch_path
 from sumstone.operators import checks
+from sumstone.plans.catalog import QUERIES
 from sumstone.plans.registry import table
 from sumstone.sources import arrow_ipc, readers, writers
 
@@ -171,6 +172,24 @@ def test_dataset_summary_keeps_files_of_equal_name_apart(spark):
     assert sorted(r.rows for r in summary.collect()) == [3, 5]
 
 
+def test_dataset_summary_has_files_without_rows(spark):
+    root = scratch_path(spark, "a b[1]")
+    # The first task of a write leaves a file, with a header only, if it has no rows.
+    writers.write_csv(spark.range(0, 8, 1, 4).filter("id > 1"), root)
+    summary = checks.dataset_summary(readers.read_csv(spark, root.replace("[1]", "?1?"), schema="id bigint"))
+    sizes = [os.path.getsize(p) for p in glob.glob(f"{glob.escape(root.removeprefix('file:'))}/part-*")]
+    assert sorted(r.rows for r in summary.collect()) == [0, 2, 2, 2]
+    assert sum(r.bytes for r in summary.collect()) == sum(sizes)
+
+
+def test_sizes_of_a_conversion_are_known_with_an_empty_first_task(spark, conf, tmp_path):
+    # One row group across several pieces of the file: the first pieces hold no row.
+    table(spark, SF_DIR, "lineitem").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    conf("spark.sql.files.maxPartitionBytes", "64k")
+    conf("spark.sql.files.openCostInBytes", "0")
+    assert QUERIES["csv_to_parquet"](spark, str(tmp_path)).first().sizes_known
+
+
 def test_local_columns_and_bound_frames(spark):
     df = readers.from_columns(spark, {"a": [1, 2], "b": ["x", None]}, "a int, b string")
     assert readers.query(spark, "SELECT count(b) AS n FROM {t}", t=df).first().n == 1
