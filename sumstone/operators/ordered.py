@@ -23,15 +23,16 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 
 def small_or_lazy(per_group: DataFrame, most: int = 10_000) -> DataFrame:
-    """A frame of one row per group, as local rows if there are at most ``most``.
+    """A frame of one row per group, as local rows to broadcast if there are at most ``most``.
 
-    Spark then knows its size and broadcasts it.  Beyond that nothing is kept, and the frame stays
+    Spark doesn't know the size of local rows and would shuffle both sides of a join with them, all
+    rows of a frequent group into one task.  Beyond ``most`` nothing is kept, and the frame stays
     part of the plan, to be joined in a shuffle.
     """
     rows = per_group.limit(most + 1).collect()
     if len(rows) > most:
         return per_group
-    return per_group.sparkSession.createDataFrame(rows, per_group.schema)
+    return F.broadcast(per_group.sparkSession.createDataFrame(rows, per_group.schema))
 
 
 def join_per_group(
@@ -152,7 +153,7 @@ def ordinal_rank(
         return df.withColumn(out, F.when(known, number.over(within).cast("bigint")))
 
     schema = T.StructType([*[df.schema[k] for k in keys], T.StructField("_n", T.LongType())])
-    large = spark.createDataFrame([tuple(r) for r in large], schema)
+    large = F.broadcast(spark.createDataFrame([tuple(r) for r in large], schema))
     place = F.struct(F.col(value).alias("v"), F.col(tie_key).alias("t"))
     # About 100 rows of a hot key for each of its ranges, whatever its size.
     chance = F.lit(100.0 * RANGES) / F.col("_n")
@@ -162,7 +163,7 @@ def ordinal_rank(
     bounds = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_drawn"))
     bounds = bounds.withColumn("_every", every)
     bounds = bounds.select(*keys, F.expr("filter(_drawn, (x, i) -> (i + 1) % _every = 0)").alias("_bounds"))
-    bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
+    bounds = F.broadcast(spark.createDataFrame(bounds.collect(), bounds.schema))
 
     ranged = join_per_group(df.withColumn("_at", place), bounds, keys, "left")
     part = F.when(known, F.size(F.expr("filter(_bounds, x -> x <= _at)"))).otherwise(F.lit(RANGES * 200))

@@ -121,6 +121,13 @@ def test_quantiles_are_not_sorted_or_written(spark):
     assert "rangepartitioning" not in plan and "Sort " not in plan and "Window" not in plan
 
 
+def test_quantiles_do_not_shuffle_rows_to_meet_their_group(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("box_stats", "box_stats_over_ranges"):
+        plan = plan_of(spark, name)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
+
+
 def test_ranks_move_rows_once(spark):
     plan = plan_of(spark, "rank_in_user")
     assert plan.count("Exchange ") == 1
