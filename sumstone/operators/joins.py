@@ -1,6 +1,6 @@
 """Equi-joins: star joins, look-ups, membership in a computed set, key checks.
 
-No function here hints a broadcast for a side of unknown size.  Spark compares file statistics and,
+No function here hints a broadcast for a side of unknown size; one whose few rows were counted is.  Spark compares file statistics and,
 at run time, the bytes really written with ``spark.sql.autoBroadcastJoinThreshold``; a side beyond
 it goes through a shuffled join whose hot partitions adaptive execution splits.
 """
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sumstone.operators.ordered import same_keys
+from sumstone.operators.ordered import same_keys, small_or_lazy
 
 
 class DuplicateKeyError(ValueError):
@@ -154,11 +154,12 @@ def lookup(
 def hot_key_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """:func:`lookup` for a left side with very frequent keys, NULL among them.
 
-    Rows with a NULL key match nothing and are not shuffled; the shuffled join of the others leaves
-    hot partitions to adaptive execution, which splits them against the one right row of a key.
+    A right side of at most 10,000 rows is broadcast, and no left row moves.  Beyond that, rows with
+    a NULL key match nothing and are not shuffled; the shuffled join of the others leaves hot
+    partitions to adaptive execution, which splits them against the one right row of a key.
     """
     require_unique(right, keys)
-    keys = list(keys)
+    keys, right = list(keys), small_or_lazy(right)
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()

@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from shared import rows_of
+from shared import plan_text, rows_of
 from sumstone.functions.exact import exact_mean, exact_sum
 from sumstone.operators import aggregate as agg
 from sumstone.operators import checks, clean, filters, joins, setops
@@ -158,6 +158,15 @@ def test_hot_key_lookup_equals_lookup(spark):
     assert setops.frames_equal(plain, split)
 
 
+def test_hot_key_lookup_moves_no_row_to_few_labels(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(1_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("n"))
+    right = spark.createDataFrame([(0, "a"), (2, "c")], "k long, w string").distinct()
+    found = joins.hot_key_lookup(left, right, ["k"])
+    assert "Exchange hashpartitioning" not in plan_text(found)
+    assert found.filter("w = 'a'").count() == 500 and found.count() == 1_000
+
+
 def test_in_top_and_orphans(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4)], "k string, n int")
     top = agg.value_counts(df, "k", 1)
