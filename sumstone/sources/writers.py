@@ -67,11 +67,25 @@ def packed_csv(
     return read_csv(own, glob, schema=schema, all_text=schema is None).coalesce(files)
 
 
+#: Bytes that one task of a compaction reads and writes.
+MOST_PACKED = 256 * 1024 * 1024
+
+
 def compact_csv(
-    spark: SparkSession, glob: str, target: str, files: int, schema: str | None = None
+    spark: SparkSession,
+    glob: str,
+    target: str,
+    files: int,
+    schema: str | None = None,
+    most_bytes: int = MOST_PACKED,
 ) -> None:
-    """Many CSV files with the same header into at most ``files`` larger ones of like size."""
-    write_csv(packed_csv(spark, glob, files, schema), target)
+    """Many CSV files with the same header into at most ``files`` larger ones of like size.
+
+    A file is written by one task, so there are more of them where one would hold more than about
+    ``most_bytes`` otherwise.
+    """
+    total = folder_bytes(spark, glob).first()["bytes"]
+    write_csv(packed_csv(spark, glob, max(files, -(-total // most_bytes)), schema), target)
 
 
 def append_once(df: DataFrame, folder: str, batch: str) -> bool:

@@ -242,6 +242,16 @@ def test_files_are_packed_without_a_shuffle(spark):
     assert rows_of(back) == rows_of(readers.read_csv(spark, source, all_text=True))
 
 
+def test_compacted_files_are_bounded(spark):
+    root = scratch_path(spark, "large")
+    rows = spark.range(20_000)
+    writers.write_csv(rows, f"{root}/in", files=5)
+    writers.compact_csv(spark, f"{root}/in", f"{root}/out", 2, schema="id bigint", most_bytes=20_000)
+    sizes = [os.path.getsize(p) for p in glob.glob(f"{root.removeprefix('file:')}/out/*.csv")]
+    assert len(sizes) > 4 and max(sizes) <= 2 * 20_000
+    assert rows_of(readers.read_csv(spark, f"{root}/out", schema="id bigint")) == rows_of(rows)
+
+
 def test_conversion_report_has_the_sizes_of_the_files(spark):
     root = scratch_path(spark, "convert")
     writers.write_csv(table(spark, SF_DIR, "orders"), f"{root}/csv")
