@@ -134,9 +134,14 @@ def query(
 
 
 def from_columns(spark: SparkSession, columns: dict[str, Sequence], schema: str) -> DataFrame:
-    """A small table from local lists, one per column."""
+    """A small table from local lists, one per column.
+
+    Up to 10,000 rows are broadcast to a join: Spark doesn't know the size of local rows and would
+    shuffle the other side too, all rows of a frequent key into one task.
+    """
     rows = list(zip(*columns.values(), strict=True))
-    return spark.createDataFrame(rows, schema)
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= 10_000 else made
 
 
 def schema_table(df: DataFrame) -> DataFrame:

@@ -252,6 +252,12 @@ def test_compacted_files_are_bounded(spark):
     assert rows_of(readers.read_csv(spark, f"{root}/out", schema="id bigint")) == rows_of(rows)
 
 
+def test_local_columns_meet_a_table_without_a_shuffle(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    labels = readers.from_columns(spark, {"a": [1, 2], "b": ["x", None]}, "a int, b string")
+    assert "Exchange hashpartitioning" not in plan_text(spark.range(9).join(labels, F.col("id") == F.col("a")))
+
+
 def test_conversion_report_has_the_sizes_of_the_files(spark):
     root = scratch_path(spark, "convert")
     writers.write_csv(table(spark, SF_DIR, "orders"), f"{root}/csv")
