@@ -100,6 +100,8 @@ def grouped_by_attributes(
     dimensions: Sequence[tuple[DataFrame, str, str, Sequence[str]]],
     keys: Sequence[str],
     aggregates: dict[str, Column],
+    through: tuple[DataFrame, str, str] | None = None,
+    measures: Sequence[str] = (),
 ) -> DataFrame:
     """Aggregates by columns of the fact table and attributes of ``(dimension, fact key, key, attributes)``.
 
@@ -108,8 +110,13 @@ def grouped_by_attributes(
     carries no names, and names are attached to the groups: one aggregation, also where several keys
     share a name.  Rows are those of the inner
     joins; a key that a dimension repeats counts once for each.
+
+    ``through`` is a dimension ``(dimension, fact key, key)`` with keys of others, which meet it
+    before the facts do and so move fewer rows.  ``measures`` are columns of the dimensions that
+    ``aggregates`` use.
     """
-    codes, names = [], []
+    codes, names, direct = [], [], []
+    head = through[0] if through else None
     for i, (dim, fact_key, dim_key, attributes) in enumerate(dimensions):
         code, nth, key = f"_code{i}", f"_nth{i}", f"_key{i}"
         same_key = Window.partitionBy(code).orderBy(*attributes)
@@ -119,10 +126,17 @@ def grouped_by_attributes(
         same = F.lit(True)
         for a in attributes:
             same = same & F.col(a).eqNullSafe(F.col(f"_of{i}_{a}"))
-        coded = dim.join(renamed, same).select(F.col(dim_key).alias(key), code, nth)
-        fact = fact.join(coded, F.col(fact_key) == F.col(key)).drop(key)
+        kept = [m for m in measures if m in dim.columns]
+        coded = dim.join(renamed, same).select(F.col(dim_key).alias(key), code, nth, *kept)
+        if through and fact_key in head.columns:
+            head = head.join(coded, F.col(fact_key) == F.col(key)).drop(key)
+        else:
+            direct.append((coded, fact_key, key))
         codes.append([code, nth])
         names.append(named)
+    if through:
+        fact = star_join(fact, [(head, *through[1:])])
+    fact = star_join(fact, direct)
     flat = [c for pair in codes for c in pair]
     totals = fact.groupBy(*keys, *flat).agg(*[c.alias(n) for n, c in aggregates.items()])
     for pair, named in zip(codes, names):

@@ -231,16 +231,9 @@ def star_pruned(spark, sf):
     lines = within_keys(table(spark, sf, "lineitem"), orders, "l_orderkey", "o_orderkey")
     lines = maybe_in_keys(lines, orders, "l_orderkey", "o_orderkey")
     part, nation = table(spark, sf, "part"), table(spark, sf, "nation")
-    facts = star_join(
-        lines,
-        [
-            (orders, "l_orderkey", "o_orderkey"),
-            (part.select("p_partkey", "p_retailprice"), "l_partkey", "p_partkey"),
-        ],
-    )
     people = star_join(table(spark, sf, "customer"), [(nation, "c_nationkey", "n_nationkey")])
     report = grouped_by_attributes(
-        facts,
+        lines,
         [
             (people, "o_custkey", "c_custkey", ["n_name", "c_mktsegment"]),
             (part, "l_partkey", "p_partkey", ["p_brand"]),
@@ -248,6 +241,8 @@ def star_pruned(spark, sf):
         ],
         ["order_year", "o_orderpriority"],
         star_sums(),
+        through=(orders, "l_orderkey", "o_orderkey"),
+        measures=["p_retailprice"],
     )
     return report.select(*STAR_KEYS, *star_sums())
 

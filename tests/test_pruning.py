@@ -72,6 +72,14 @@ def test_the_field_is_tested_before_the_shuffle(spark, conf):
     assert any("Filter" in line and "l_orderkey" in line for line in lines)
 
 
+def test_customers_meet_orders_and_parts_are_met_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_text(catalog.QUERIES["star_pruned"](spark, SF_DIR))
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum("(l_partkey" in line for line in moved) == 1
+    assert plan.index("(o_custkey") > plan.index("(l_orderkey")  # below the join with the lines
+
+
 def test_codes_group_as_attributes_do(spark):
     fact = spark.createDataFrame(
         [(1, 10, 1.0), (2, 10, 2.0), (3, 20, 4.0), (4, 20, 8.0), (5, None, 16.0), (9, 10, 32.0), (None, 10, 64.0)],
