@@ -35,7 +35,7 @@ from sumstone.operators import aggregate as agg
 from sumstone.operators.clean import clean_table
 from sumstone.operators.filters import all_of, among, on_or_after
 from sumstone.operators.joins import in_top, lookup, star_join, within_keys
-from sumstone.operators.ordered import ordinal_rank
+from sumstone.operators.ordered import ordinal_rank, small_or_lazy
 from sumstone.operators.pivot import crosstab, pivot_mean
 from sumstone.operators.quantiles import box_stats
 from sumstone.operators.setops import append_summary, stack
@@ -148,12 +148,14 @@ def star_report(
 ) -> DataFrame:
     """Sales by year, county, store, vendor, category and item from ``from_year`` on, sorted.
 
-    Facts outside the calendar's keys are skipped in the scan, the others aggregated by their integer keys; names are
+    Facts outside the calendar's keys are skipped in the scan (a calendar of at most 10,000 days is
+    broadcast, so they don't move to meet it), the others aggregated by their integer keys; names are
     attached to the aggregated rows, so the large shuffle carries numbers only.  As a dimension may
     give one name to several keys, or repeat a key, the sums are added up once more by name, which
     is the same as grouping the joined facts by name.
     """
     dates = date.filter(F.col("CalendarYear") >= from_year).select("DateID", "CalendarYear")
+    dates = small_or_lazy(dates)
     ids = ["StoreID", "VendorID", "CategoryID", "ItemID"]
     dims = [
         (store.select("StoreID", "County", "StoreName"), "StoreID"),

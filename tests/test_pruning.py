@@ -80,6 +80,12 @@ def test_customers_meet_orders_and_parts_are_met_once(spark, conf):
     assert plan.index("(o_custkey") > plan.index("(l_orderkey")  # below the join with the lines
 
 
+def test_facts_do_not_move_to_the_calendar(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_text(catalog.QUERIES["star_report_sales"](spark, SF_DIR))
+    assert "hashpartitioning(DateID" not in plan and "BroadcastHashJoin [DateID" in plan
+
+
 def test_codes_group_as_attributes_do(spark):
     fact = spark.createDataFrame(
         [(1, 10, 1.0), (2, 10, 2.0), (3, 20, 4.0), (4, 20, 8.0), (5, None, 16.0), (9, 10, 32.0), (None, 10, 64.0)],
