@@ -24,7 +24,8 @@ SHARD = 1 << 20
 #: Bits between two entries of a rank directory.
 BLOCK = 512
 
-_TEXT = 1 << 21
+#: Bytes of text that are encoded together.
+_TEXT = 1 << 22
 
 
 def build(ids: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -215,8 +216,7 @@ def write_shards(
             give_back()
             sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
             for lo, hi in row_ranges(sizes, _TEXT):
-                texts = batch.column(text).slice(lo, hi - lo).to_pylist()
-                ids, bounds = encode(tokenizer, texts, end)
+                ids, bounds = encode(tokenizer, batch.column(text).slice(lo, hi - lo), end)
                 names = batch.column(key).slice(lo, hi - lo).to_pylist()
                 for name, a, b in zip(names, bounds[:-1], bounds[1:]):
                     rows.append(ids[a:b])

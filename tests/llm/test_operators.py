@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,7 +27,7 @@ from sumstone.llm import (
 )
 from sumstone.llm.common import freeze
 from sumstone.llm.graph import components
-from sumstone.llm.tokens import encode
+from sumstone.llm.tokens import encode, open_tokenizer
 from sumstone.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,6 +89,30 @@ def test_ids_are_the_tokenizers(odd_documents, path):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == wanted
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_ids_of_odd_letters_and_marks_are_the_tokenizers(path):
+    odd = ["T̈ab W̊, Å Å.", "İ. İ, ım.", "don't (it's), l'eau ''s", "é×a. ÷b «é». é#1", "क़. שׁ,", "Σας ǅ. K,"]
+    odd += ["a\x85b\xa0c\u3000d", "x\x1cy\x1f z\x00", "Ab.cd,EF!!gh 3rd 4,5", "\v\f\r\n", "HALLO### hallo."]
+    draw = np.random.default_rng(11)
+    signs = list("".join(odd) + " " * 20)
+    odd += ["".join(draw.choice(signs, 25)) for _ in range(500)]
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for texts in ([*odd, None, ""], pa.array(["left out", None, *odd]).slice(1)):
+        ids, bounds = encode(path, texts, 7)
+        assert len(bounds) == len(texts) + 1
+        for i, text in enumerate(texts if isinstance(texts, list) else texts.to_pylist()):
+            wanted = plain.encode(text or "", add_special_tokens=False).ids + [7]
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == wanted, text
+
+
+def test_forms_of_a_word_are_encoded_once():
+    texts = ["Qvorxel qvorxel, QVORXEL### qvorxel.", "(qvorxel) qvorxel;"]
+    encode(WORDS, texts, 7)
+    words = open_tokenizer(WORDS)["words"]
+    assert {w for w in words if "vorxel" in w.lower()} == {"qvorxel", "(qvorxel"}
+
+
 def test_packing_places_each_id_once(odd_documents, no_documents):
     repeated = odd_documents.unionByName(odd_documents)
     for group in (1000, 10_000_000):
