@@ -6,13 +6,14 @@ import ctypes
 import sys
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sumstone.session import scratch_path
+from sumstone.session import remove_folder, scratch_path
 
 #: White space of the word rule ``[^\x20\x09-\x0D]+``.
 SPACES = (9, 10, 11, 12, 13, 32)
@@ -25,9 +26,36 @@ def freeze(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage so that a lost executor costs a read, and fixes values that depend on how rows
     were dealt to tasks.
     """
+    return _written(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def frozen(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``freeze`` for one block: the written rows are removed behind it.
+
+    What is read from them has to be frozen or collected in the block.
+    """
+    path = scratch_path(df.sparkSession, label)
+    yield _written(df, path)
+    remove_folder(df.sparkSession, path)
+
+
+#: With it Spark removes a query's shuffle files at its end; else they stay until the driver happens
+#: to collect its garbage, and the files of many queries in a row are on disk at once.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_TIDY)
+        else:
+            spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

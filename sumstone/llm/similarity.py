@@ -16,11 +16,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sumstone.llm.common import (
     freeze,
+    frozen,
     joined,
     lower_ascii,
     mixed,
@@ -45,6 +46,8 @@ MOST_LEAST = 6
 EFFORT = 1.2
 #: Bits of the filter that keeps most texts without a candidate from being moved.
 FILTER = 1 << 26
+#: Commonest shingles of large families that are kept in memory, at most.
+COMMON = 1 << 18
 
 _CHUNK = 1 << 20
 
@@ -335,8 +338,9 @@ def near_groups(
     linked with nothing; a null text has none.  Repeated rows and equal texts are one class and are
     not compared with each other.  Null keys take part, but are never a group's smallest key unless
     it has no other.  No pairs are returned and no group is held whole by a task: candidates are
-    joined by the smallest member of each hash class, families of candidates are cut into trees of
-    about ``tree`` shingles, and only their members that are not yet joined visit the other trees.
+    joined by the smallest member of each hash class, large families of candidates are parted by
+    their rarest shingles, what is still large is cut into trees of about ``tree`` shingles, and only
+    members that are not yet joined visit the other trees.
     """
     # Signatures are worth more disk than the second reading of the texts that they cost here.
     rows = freeze(class_rows(docs, key, text, words, num, den, False), "shingles")
@@ -344,17 +348,19 @@ def near_groups(
     classes = signed.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(key).alias("_first"), F.first("sigs").alias("sigs")
     )
-    classes = freeze(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-
-    met = classes.select("node", F.explode("sigs").alias("sig"))
-    shared = met.groupBy("sig").agg(F.min("node").alias("centre"), F.count("node").alias("c"))
-    shared = shared.filter("c > 1").select("sig", "centre")
-    stars = met.join(shared, "sig").filter("node <> centre").select("node", "centre").distinct()
-    family = components(stars, "node", "centre").withColumnRenamed("root", "family")
-    members = classes.select("node", "n", "d1", "d2", "_first").join(family, "node")
-    weight = members.groupBy("family").agg(F.sum("n").alias("_w"))
-    trees = F.ceil(F.col("_w") / tree).cast("long").alias("trees")
-    members = freeze(members.join(weight.select("family", trees), "family"), "families")
+    with frozen(classes.withColumn("node", F.monotonically_increasing_id()), "signed") as signed:
+        classes = freeze(signed.drop("sigs"), "classes")
+        stars = _stars(signed.select("node", F.explode("sigs").alias("sig")))
+        family = components(stars, "node", "centre").withColumnRenamed("root", "family")
+    members = freeze(_with_trees(classes.join(family, "node"), tree), "families")
+    crowded = members.filter("trees > 1")
+    crowd = None
+    if crowded.limit(1).count():
+        crowd = freeze(_texts_of(docs, crowded, key, text, words), "crowd")
+        met = _rarest(crowd, text, words, num, den)
+        family = components(_stars(met), "node", "centre").withColumnRenamed("root", "family")
+        parted = _with_trees(crowded.drop("family", "trees").join(family, "node"), tree)
+        members = freeze(members.filter("trees = 1").unionByName(parted), "parted")
 
     plant = _plant(words, num, den, text)
     own_tree = F.pmod(F.xxhash64("node"), F.col("trees"))
@@ -366,8 +372,9 @@ def near_groups(
     links = placed.groupBy("family", "tree").applyInArrow(plant, "node long, root long")
     links = freeze(links.filter("node <> root"), "links")
 
-    if members.filter("trees > 1").limit(1).count():
-        crowd = freeze(texts.filter("trees > 1"), "crowd")
+    crowded = members.filter("trees > 1").select("node", "family", "trees")
+    if crowd is not None and crowded.limit(1).count():
+        crowd = crowd.select("node", text).join(crowded, "node")
         links = links.unionByName(_visits(crowd, links, plant, text, tree))
     roots = components(links, "node", "root")
 
@@ -382,66 +389,166 @@ def near_groups(
     return out.select(key, F.col("n").alias("n_shingles"), found.alias("component_id"))
 
 
+def _stars(met: DataFrame) -> DataFrame:
+    """``node, centre``: who shares a signature, and the smallest node that has it.
+
+    Rows ``node, sig`` move once: a count of each signature and a join would move them twice.
+    """
+    centre = F.min("node").over(Window.partitionBy("sig"))
+    stars = met.withColumn("centre", centre).filter("node <> centre")
+    return stars.select("node", "centre").distinct()
+
+
+def _with_trees(members: DataFrame, tree: int) -> DataFrame:
+    """``members`` with the number of trees that the shingles of their family need."""
+    weight = members.groupBy("family").agg(F.sum("n").alias("_w"))
+    trees = F.ceil(F.col("_w") / tree).cast("long").alias("trees")
+    return members.join(weight.select("family", trees), "family")
+
+
+def _rarest(crowd: DataFrame, text: str, words: int, num: int, den: int) -> DataFrame:
+    """``node, sig``: the rarest shingles of each set, so many that sets which link share one.
+
+    Sets of ``n`` shingles that link share ``n * num / den`` at least.  In any one order of all
+    shingles the smallest that they share is then among the first ``n - n * num / den + 1`` of
+    both.  Common shingles come last in it, so sets that only share a passage do not meet.
+    """
+    common, counts = _common(crowd, text, words)
+    shared = crowd.sparkSession.sparkContext.broadcast((common, counts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("similarity", large=True)  # tables of earlier stages go
+        common, counts = shared.value
+        for batch in batches:
+            data, offs = text_bytes(batch.column(text))
+            node = batch.column("node").to_numpy()
+            family = mixed(batch.column("family").to_numpy().view(np.uint64))
+            for lo, hi in row_ranges(np.diff(offs), _CHUNK):
+                values, bounds = shingles(data, offs, lo, hi, words)
+                rank = np.zeros(len(values), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, values), len(common) - 1)
+                    rank = np.where(common[at] == values, counts[at], 0)
+                sigs = [np.zeros(0, np.uint64)]
+                for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]), lo):
+                    first = (b - a) - -(-(b - a) * num // den) + 1
+                    rarest = np.argsort(rank[a:b], kind="stable")[:first]
+                    sigs.append(mixed(values[a:b][rarest] ^ family[i]))
+                nodes = np.repeat(node[lo:hi], [len(s) for s in sigs[1:]])
+                sig = np.concatenate(sigs).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(sig)], ["node", "sig"])
+
+    return crowd.select("node", "family", text).mapInArrow(run, "node long, sig long")
+
+
+def _common(crowd: DataFrame, text: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that many sets hold, ``COMMON`` at most, and about how many sets do.
+
+    Each task counts what comes again within about a megabyte of texts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("similarity", large=True)  # tables of earlier stages go
+        for batch in batches:
+            data, offs = text_bytes(batch.column(text))
+            for lo, hi in row_ranges(np.diff(offs), _CHUNK):
+                values, counts = np.unique(shingles(data, offs, lo, hi, words)[0], return_counts=True)
+                again = counts > 1
+                columns = [pa.array(values[again].view(np.int64)), pa.array(counts[again])]
+                yield pa.RecordBatch.from_arrays(columns, ["shingle", "c"])
+
+    counted = crowd.select(text).mapInArrow(run, "shingle long, c long")
+    counted = counted.groupBy("shingle").agg(F.sum("c").alias("c"))
+    level = F.floor(F.log2("c")).alias("level")
+    with frozen(counted, "counted") as counted:
+        held, least = 0, 64
+        for row in sorted(counted.groupBy(level).count().collect(), reverse=True):  # 64 at most
+            held += row["count"]
+            if held > COMMON:
+                break
+            least = row["level"]
+        found = counted.filter(level >= least).toArrow()
+    common = found.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(common)
+    return common[order], found.column("c").to_numpy()[order]
+
+
 def _texts_of(docs: DataFrame, members: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """One text for each member class, found by its digest among the rows with a first key.
 
     Digests are computed before anything is joined, so that rows which share a key do not meet each
-    other's classes, and rows of one class become one before they move.
+    other's classes, and rows of one class become one before they move.  Keys are looked up in the
+    same function: with one before it, each task would take two workers and their memory.
     """
+    shared = _key_bitmap(members.select("_first"))
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("similarity", large=True)  # tables of earlier stages go
         for batch in batches:
-            data, offs = text_bytes(batch.column(text))
+            maybe = _in_bitmap(shared.value, batch.column("_hash").to_numpy())
+            given = batch.column(text).filter(pa.array(maybe))
+            data, offs = text_bytes(given)
             for lo, hi in row_ranges(np.diff(offs), _CHUNK):
                 values, bounds = shingles(data, offs, lo, hi, words)
                 sets = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
                 pairs = np.array([digest(s) for s in sets], np.int64).reshape(-1, 2)
                 columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(np.diff(bounds))]
-                columns.append(batch.column(text).slice(lo, hi - lo))
+                columns.append(given.slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays(columns, ["d1", "d2", "n", text])
 
-    given = docs.filter(key_filter(members.select("_first"))(F.xxhash64(key))).select(text)
-    found = given.mapInArrow(told, f"d1 long, d2 long, n long, {text} string")
+    hashed = docs.select(F.xxhash64(key).alias("_hash"), text)
+    found = hashed.mapInArrow(told, f"d1 long, d2 long, n long, {text} string")
     found = found.groupBy("d1", "d2", "n").agg(F.first(text).alias(text))
     found = found.join(members.select("node", "family", "trees", "d1", "d2", "n"), ["d1", "d2", "n"])
     return found.select("node", "family", "trees", text)
 
 
-def key_filter(keys: DataFrame):
-    """Function of a key's hash: false only if the key is not among ``keys``.
-
-    One bit a key in a bitmap of fixed size, built where the keys are.  With very many keys it lets
-    more through; the join after it decides.
-    """
+def _key_bitmap(keys: DataFrame):
+    """One bit a key in a bitmap of fixed size, built where the keys are; to be read by tasks."""
     bit = F.pmod(F.xxhash64(*keys.columns), F.lit(FILTER))
     flag = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
     word = keys.select(F.shiftright(bit, 5).alias("w"), flag.alias("b"))
     words = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()  # at most FILTER / 32 rows
     bitmap = np.zeros(FILTER // 32, np.uint32)
     bitmap[words.column("w").to_numpy()] = words.column("b").to_numpy()
-    shared = keys.sparkSession.sparkContext.broadcast(bitmap)
+    return keys.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes.astype(np.int64) % FILTER
+    return bitmap[at >> 5] >> (at & 31).astype(np.uint32) & 1 == 1
+
+
+def key_filter(keys: DataFrame):
+    """Function of a key's hash: false only if the key is not among ``keys``.
+
+    With very many keys the bitmap lets more through; the join after it decides.
+    """
+    shared = _key_bitmap(keys)
 
     @F.pandas_udf("boolean")
     def maybe(hashes: pd.Series) -> pd.Series:
-        at = hashes.to_numpy(np.int64) % FILTER
-        return pd.Series(shared.value[at >> 5] >> (at & 31).astype(np.uint32) & 1 == 1)
+        return pd.Series(_in_bitmap(shared.value, hashes.to_numpy(np.int64)))
 
     return maybe
 
 
 def _visits(crowd: DataFrame, links: DataFrame, plant, text: str, tree: int) -> DataFrame:
-    """Links between the trees of a family: who is not in its largest group visits each other tree."""
+    """Links between the trees of a family: who is not in its largest group visits each other tree.
+
+    What is known of a family has one row for each with over ``tree`` shingles and is broadcast: to
+    meet it by family would bring all trees of a family to one task.
+    """
     roots = components(links, "node", "root").withColumnRenamed("root", "joined")
     crowd = crowd.join(roots, "node", "left").withColumn("joined", F.coalesce("joined", "node"))
     home = F.pmod(F.xxhash64("node"), F.col("trees"))
     crowd = freeze(crowd.withColumn("home", home), "crowd-joined")
     sizes = crowd.groupBy("family", "joined").count()
     largest = sizes.groupBy("family").agg(F.max_by("joined", F.struct("count", "joined")).alias("largest"))
-    guests = crowd.join(largest, "family").filter("joined <> largest").drop("largest")
+    guests = crowd.join(F.broadcast(largest), "family").filter("joined <> largest").drop("largest")
     load = guests.groupBy("family").agg(F.sum(F.length(text)).alias("_chars"))
     blocks = F.ceil(F.col("_chars") / (4 * tree)).cast("long").alias("blocks")
-    load = load.select("family", F.greatest(blocks, F.lit(1)).alias("blocks"))
+    load = F.broadcast(load.select("family", F.greatest(blocks, F.lit(1)).alias("blocks")))
     columns = ["family", "tree", "block", "node", "joined", text]
     hosts = crowd.join(load, "family").select(
         "family", F.col("home").alias("tree"),

@@ -82,9 +82,15 @@ def remove_scratch(spark: SparkSession) -> int:
 
     To be called once results are stored elsewhere: frames that still read a folder fail afterwards.
     """
-    hadoop, removed = spark.sparkContext._jvm.org.apache.hadoop.fs, 0
+    removed = 0
     while _MADE:
-        folder = hadoop.Path(_MADE.pop())
-        store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        removed += bool(store.exists(folder) and store.delete(folder, True))
+        removed += remove_folder(spark, _MADE[-1])
     return removed
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Remove one scratch folder that nothing reads any more; whether there was one."""
+    _MADE.remove(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(store.exists(folder) and store.delete(folder, True))

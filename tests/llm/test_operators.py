@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -25,7 +27,7 @@ from sumstone.llm import (
     similarity,
     wavelet,
 )
-from sumstone.llm.common import freeze
+from sumstone.llm.common import freeze, frozen
 from sumstone.llm.graph import components
 from sumstone.llm.tokens import encode, open_tokenizer
 from sumstone.session import scratch_path
@@ -375,6 +377,93 @@ def test_chains_and_large_groups(spark, tree, num):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == slow_groups(docs, 3, num, 100)
 
 
+def test_what_only_shares_a_passage_is_parted_before_it_is_compared(spark, monkeypatch):
+    """One passage in most texts makes one large family; by their rarest shingles few of it meet."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = [(i, passage + " " + " ".join(f"own{i % 50} w{i % 50}x{k}" for k in range(12))) for i in range(60)]
+    docs += [(100 + i, passage + f" tail{i}") for i in range(3)]
+    visits, seen = similarity._visits, []
+
+    def counted(crowd, *args):
+        seen.extend(r.node for r in crowd.select("node").collect())
+        return visits(crowd, *args)
+
+    monkeypatch.setattr(similarity, "_visits", counted)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    rows = similarity.near_groups(frame, "doc_id", "text", 3, 80, 100, 600).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == slow_groups(docs, 3, 80, 100)
+    assert len(seen) < 10
+
+
+@pytest.mark.parametrize("num", [50, 80, 90, 100])
+def test_linked_sets_share_one_of_their_rarest_shingles(spark, monkeypatch, num):
+    draw = np.random.default_rng(num)
+    common = [f"c{i}" for i in range(30)]
+    texts = []
+    for i in range(80):
+        at = draw.integers(0, len(texts)) if texts and i % 2 else None
+        words = list(common) + [f"o{x}" for x in draw.integers(0, 60, 20)] if at is None else texts[at].split(" ")
+        for k in draw.integers(0, len(words), draw.integers(0, 4)):
+            words[k] = f"e{draw.integers(0, 1000)}"
+        texts.append(" ".join(words))
+    crowd = spark.createDataFrame([(i, i // 60, t) for i, t in enumerate(texts)], "node long, family long, text string")
+    for most in (0, 20, similarity.COMMON):  # any number of common shingles is right
+        monkeypatch.setattr(similarity, "COMMON", most)
+        held = {}
+        for r in similarity._rarest(crowd, "text", 3, num, 100).collect():
+            held.setdefault(r.node, set()).add(r.sig)
+        split = [t.split(" ") for t in texts]
+        sets = [{tuple(w[i : i + 3]) for i in range(len(w) - 2)} for w in split]
+        pairs = [(i, j) for i in range(80) for j in range(i) if i // 60 == j // 60]
+        linked = [(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])]
+        assert all(held[i] & held[j] for i, j in linked)
+        assert linked
+
+
+def test_signatures_move_once(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(1, 7), (2, 7), (3, 7), (2, 8), (5, 8), (6, 9), (1, 10), (2, 10)]
+    stars = similarity._stars(spark.createDataFrame(rows, "node long, sig long"))
+    assert sorted(tuple(r) for r in stars.collect()) == [(2, 1), (3, 1), (5, 2)]
+    plan = stars._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(sig#", plan.split("== Initial Plan ==")[-1])) == 1
+
+
+def test_visits_of_a_family_are_dealt_to_many_tasks(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    texts = [" ".join(f"w{i} v{k}" for k in range(20)) for i in range(40)]
+    crowd = spark.createDataFrame([(i, 0, 4, t) for i, t in enumerate(texts)], "node long, family long, trees long, text string")
+    links = spark.createDataFrame([(2, 1)], "node long, root long")
+    plant = similarity._plant(3, 80, 100, "text")
+    found = similarity._visits(crowd, links, plant, "text", 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"FlatMapGroupsInArrow.*\n(.*\n)*?.*Exchange hashpartitioning\(family#\d+L, tree#\d+L, block#\d+L", plan)
+
+
+def test_frozen_queries_leave_no_shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles().mkString("\n").split("\n")
+        return {x for x in found if "/shuffle_" in x}
+
+    before = files()
+    option = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    rows = freeze(spark.range(1000, numPartitions=4).groupBy((F.col("id") % 10).alias("k")).count(), "tidy")
+    deadline = time.time() + 20  # files go a little after the query
+    while time.time() < deadline and files() - before:
+        time.sleep(0.5)
+    assert not files() - before and rows.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == option
+
+
+def test_rows_frozen_for_a_block_are_removed_behind_it(spark):
+    with frozen(spark.range(7), "block") as rows:
+        folder = rows.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+        assert rows.count() == 7 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     rows = components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()
